@@ -45,7 +45,7 @@ from cashcycle.schema import (
     UNITS,
 )
 from cashcycle.sources.mart import extract, read_extract, write_extract
-from cashcycle.sources.star import star_mart
+from cashcycle.sources.star import read_table, star_mart
 from cashcycle.sources.storage import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,17 @@ WATCHED_BALANCE = 4000
 
 
 def with_doubles(table: DataFrame) -> DataFrame:
-    decimals = [
-        f.name for f in table.schema.fields if isinstance(f.dataType, T.DecimalType)
-    ]
-    return table.withColumns({name: F.col(name).cast("double") for name in decimals})
+    """Decimals as doubles."""
+    return table.to(
+        T.StructType(
+            [
+                T.StructField(f.name, T.DoubleType())
+                if isinstance(f.dataType, T.DecimalType)
+                else f
+                for f in table.schema.fields
+            ]
+        )
+    )
 
 
 def extract_rows(
@@ -289,8 +296,8 @@ def brand_canonical(spark: SparkSession, path: str) -> DataFrame:
 
     The spelling follows the part size, so that both forms of a name occur.
     """
-    lines = spark.read.parquet(f"{path}/lineitem.parquet")
-    parts = spark.read.parquet(f"{path}/part.parquet")
+    lines = read_table(spark, path, "lineitem")
+    parts = read_table(spark, path, "part")
     name = F.col("p_name")
     spelled = F.when(F.col("p_size") <= 20, name).otherwise(
         F.replace(name, F.lit(" "), F.lit(""))
@@ -358,11 +365,12 @@ def tracking_table(spark: SparkSession, path: str) -> DataFrame:
 
 def star_watchlist(spark: SparkSession, path: str) -> DataFrame:
     """Suppliers with a high balance, listed for every region but one."""
-    read = spark.read.parquet
+    nations = read_table(spark, path, "nation")
+    regions = read_table(spark, path, "region")
     suppliers = (
-        read(f"{path}/supplier.parquet")
-        .join(read(f"{path}/nation.parquet"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(read(f"{path}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey"))
+        read_table(spark, path, "supplier")
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
     )
     return suppliers.where(
         (F.col("s_acctbal") >= WATCHED_BALANCE) & (F.col("r_name") != UNLISTED_REGION)
@@ -397,7 +405,8 @@ def scorecard_display(spark: SparkSession, path: str) -> DataFrame:
 def regional_tracking(spark: SparkSession, path: str) -> DataFrame:
     """The tracking table of a full report run for a list of regions."""
     mart = star_mart(spark, path, MART_COLUMNS)
-    return run_report(mart, MID_MONTH.as_of, regions=REGIONS)["tracking"]
+    report = run_report(mart, MID_MONTH.as_of, REGIONS, tables=["tracking"])
+    return report["tracking"]
 
 
 def monthly_tracking(spark: SparkSession, path: str) -> DataFrame:
@@ -406,7 +415,8 @@ def monthly_tracking(spark: SparkSession, path: str) -> DataFrame:
     options = ReportOptions(
         brand_days=P.SHORT_DAYS + 1, distinct_skus=True, calendar_months=True
     )
-    return run_report(mart, MONTH_END.as_of, options=options)["tracking"]
+    report = run_report(mart, MONTH_END.as_of, options=options, tables=["tracking"])
+    return report["tracking"]
 
 
 def monthly_cogs_sheet(spark: SparkSession, path: str) -> DataFrame:

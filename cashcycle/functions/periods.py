@@ -50,9 +50,9 @@ class Span:
     def dates(self) -> list[date]:
         return [self.start + timedelta(days=n) for n in range(self.days)]
 
-    def contains(self, day: Column | str = DAY) -> Column:
-        day = F.col(day) if isinstance(day, str) else day
-        return day.between(F.lit(self.start), F.lit(self.end))
+    def contains(self, day: str = DAY) -> Column:
+        """The column ``day`` lies in the span, as a literal range Spark can push down."""
+        return F.expr(f"{day} BETWEEN DATE '{self.start}' AND DATE '{self.end}'")
 
 
 def _is_month_end(day: date) -> bool:

@@ -43,6 +43,9 @@ MATRICES = {
     "inbound": INBOUND,
 }
 
+SUPPLIER_TABLES = ("tracking", "tracking_yaml", "scorecard")
+ALL_TABLES = (*SUPPLIER_TABLES, *MATRICES, *(f"sheet_{name}" for name in MATRICES))
+
 
 @dataclass(frozen=True)
 class ReportOptions:
@@ -71,48 +74,63 @@ def run_report(
     regions: Iterable[str] | None = None,
     watchlist: DataFrame | None = None,
     options: ReportOptions = ReportOptions(),
+    tables: Iterable[str] = ALL_TABLES,
 ) -> dict[str, DataFrame]:
-    """All report tables for one date, keyed by name.
+    """The report tables for one date, keyed by name.
 
     The mart is scanned once for the supplier-day cells, which feed every table,
     and once more over the brand days, whose de-duplication needs whole rows. Tables
     that others build on are written to shared storage, so that writing the report
-    repeats no work. The calendar-month report has no scorecard.
+    repeats no work; ``tables`` limits it to the ones asked for. The calendar-month report has no scorecard.
     """
     periods = ReportPeriods(as_of)
     span = options.span(periods)
     rows = extract(mart, span, regions)
     windows = periods.inbound_windows(options.month_window)
 
+    wanted = set(tables)
+
     cells = stage(supplier_day_cells(rows, as_of, windows), "cells")
-    daily = stage(daily_totals(cells), "daily")
-    categories = stage(
+    categories = (
         main_category_snapshot(cells, as_of)
         if options.category_on_report_date
-        else main_category(cells),
-        "categories",
-    )
-    brands = supplier_brands(rows, Span.trailing(as_of, options.brand_days))
-    skus = sku_count_distinct(rows, as_of) if options.distinct_skus else None
-
-    all_suppliers = stage(tracking(cells, brands, as_of, categories, skus), "tracking")
-    watched = (
-        all_suppliers if watchlist is None else on_watchlist(all_suppliers, watchlist)
+        else main_category(cells)
     )
-    tables = {"tracking": all_suppliers, "tracking_yaml": watched}
-    if not options.calendar_months:
-        sums = scorecard_sums(cells, periods, windows)
-        tables["scorecard"] = scorecard(watched, sums)
+    report = {}
+    if wanted & set(SUPPLIER_TABLES):
+        brands = supplier_brands(rows, Span.trailing(as_of, options.brand_days))
+        skus = sku_count_distinct(rows, as_of) if options.distinct_skus else None
+        everyone = tracking(cells, brands, as_of, categories, skus)
+        if len(wanted & set(SUPPLIER_TABLES)) > 1:
+            everyone = stage(everyone, "tracking")
+        watched = everyone if watchlist is None else on_watchlist(everyone, watchlist)
+        report |= {"tracking": everyone, "tracking_yaml": watched}
+        if not options.calendar_months:
+            report["scorecard"] = scorecard(
+                watched, scorecard_sums(cells, periods, windows)
+            )
+    if wanted - set(SUPPLIER_TABLES):
+        daily = stage(daily_totals(cells), "daily")
+        categories = stage(categories, "categories")
     for name, measure in MATRICES.items():
-        tables[name] = matrix_table(daily, categories, measure, span)
-        if options.calendar_months:
-            metrics = calendar_metrics(daily, measure, periods)
-        elif measure == INBOUND:
-            metrics = period_metrics(daily, measure, windows)
-        else:
-            metrics = period_metrics(daily, measure, periods.trailing_windows())
-        tables[f"sheet_{name}"] = sheet(daily, categories, metrics, measure, span)
-    return tables
+        if name in wanted:
+            report[name] = matrix_table(daily, categories, measure, span)
+        if f"sheet_{name}" in wanted:
+            metrics = _sheet_metrics(daily, measure, periods, options)
+            report[f"sheet_{name}"] = sheet(daily, categories, metrics, measure, span)
+    return {name: table for name, table in report.items() if name in wanted}
+
+
+def _sheet_metrics(
+    daily: DataFrame, measure: str, periods: ReportPeriods, options: ReportOptions
+) -> DataFrame:
+    if options.calendar_months:
+        return calendar_metrics(daily, measure, periods)
+    if measure == INBOUND:
+        windows = periods.inbound_windows(options.month_window)
+    else:
+        windows = periods.trailing_windows()
+    return period_metrics(daily, measure, windows)
 
 
 def write_report(

@@ -11,9 +11,9 @@ from cashcycle.schema import CATEGORY, KEYS, REGION, SUPPLIER
 
 def with_category(table: DataFrame, categories: DataFrame) -> DataFrame:
     """Put the main category in front; suppliers without one keep their row."""
-    others = [name for name in table.columns if name not in KEYS]
-    return table.join(categories, list(KEYS), "left").select(
-        REGION, CATEGORY, SUPPLIER, *others
+    front = (REGION, CATEGORY, SUPPLIER)
+    return table.join(categories, list(KEYS), "left").selectExpr(
+        *front, f"* EXCEPT ({', '.join(front)})"
     )
 
 
