@@ -319,17 +319,17 @@ def _matrix(measure: str) -> Query:
     return query
 
 
+def category_cells(source: DataFrame, measure: str) -> DataFrame:
+    """Daily totals of one measure by category, with what ranks the categories."""
+    measures = tuple(sorted({measure, INVENTORY}))
+    return stage(daily_totals(source, measures, by=(CATEGORY,)), "cells")
+
+
 def _sheet(measure: str) -> Query:
     def query(spark: SparkSession, path: str) -> DataFrame:
         columns = {measure, CATEGORY, INVENTORY}
         source = extract_rows(spark, path, list(columns))
-        measures = sorted({measure, INVENTORY})
-        cells = stage(
-            source.groupBy(*KEYS, DAY, CATEGORY).agg(
-                *[F.sum(m).alias(m) for m in measures]
-            ),
-            "cells",
-        )
+        cells = category_cells(source, measure)
         daily = daily_totals(cells, (measure,))
         spans = (
             MID_MONTH.inbound_windows()
@@ -352,15 +352,7 @@ def _tracking_from(
 
 
 def tracking_table(spark: SparkSession, path: str) -> DataFrame:
-    columns = [CATEGORY, SKU, UNITS, INVENTORY, TERMS]
-    source = extract_rows(spark, path, columns)
-    terms = F.when(F.col(DAY) == F.lit(MID_MONTH.as_of), F.col(TERMS)).alias(TERMS)
-    cells = (
-        source.withColumn(rows.SKU_ROWS, F.when(F.col(SKU).isNotNull(), 1).otherwise(0))
-        .groupBy(*KEYS, DAY, CATEGORY, terms)
-        .agg(*[F.sum(m).alias(m) for m in (UNITS, INVENTORY, rows.SKU_ROWS)])
-    )
-    return _tracking_from(spark, path, stage(cells, "cells"), MID_MONTH)
+    return _tracking_from(spark, path, report_cells(spark, path, MID_MONTH), MID_MONTH)
 
 
 def star_watchlist(spark: SparkSession, path: str) -> DataFrame:
@@ -423,12 +415,7 @@ def monthly_cogs_sheet(spark: SparkSession, path: str) -> DataFrame:
     source = extract_rows(
         spark, path, [CATEGORY, COGS, INVENTORY], MONTH_END.monthly_extract_span
     )
-    cells = stage(
-        source.groupBy(*KEYS, DAY, CATEGORY).agg(
-            *[F.sum(m).alias(m) for m in (COGS, INVENTORY)]
-        ),
-        "cells",
-    )
+    cells = category_cells(source, COGS)
     daily = daily_totals(cells, (COGS,))
     return sheet(
         daily,

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cashcycle.functions.measures import zero_if_missing
+from cashcycle.functions.money import from_whole, to_whole, whole_scales
 from cashcycle.functions.periods import Span
 from cashcycle.operators.rows import (
     BLACK_INVENTORY,
@@ -16,7 +18,7 @@ from cashcycle.operators.rows import (
     repln_column,
     with_additive_measures,
 )
-from cashcycle.schema import CATEGORY, DAY, KEYS, MEASURES, TERMS
+from cashcycle.schema import CATEGORY, DAY, INBOUND, INVENTORY, KEYS, MEASURES, TERMS
 
 
 def supplier_day_cells(
@@ -32,18 +34,33 @@ def supplier_day_cells(
     instead of taking a string minimum keeps this a hash aggregation.
     """
     terms = F.when(F.col(DAY) == F.lit(as_of), F.col(TERMS)).alias(TERMS)
-    sums = [*MEASURES, SKU_ROWS, BLACK_INVENTORY]
+    sources = {name: name for name in MEASURES}
+    sources |= {SKU_ROWS: SKU_ROWS, BLACK_INVENTORY: INVENTORY}
     for label in windows:
-        sums += [repln_column(label), green_column(label)]
-    return (
-        with_additive_measures(rows, windows)
+        sources |= {repln_column(label): INBOUND, green_column(label): INBOUND}
+    scales = whole_scales(rows, MEASURES)
+    totals = (
+        with_additive_measures(to_whole(rows, scales), windows)
         .groupBy(*KEYS, DAY, CATEGORY, terms)
-        .agg(*[F.sum(name).alias(name) for name in sums])
+        .agg(*[F.sum(name).alias(name) for name in sources])
     )
+    return from_whole(
+        totals,
+        {name: scales[source] for name, source in sources.items() if source in scales},
+    )
+
 
+def daily_totals(
+    cells: DataFrame, measures: tuple[str, ...] = MEASURES, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Supplier totals per day, the long form of the daily matrices.
 
-def daily_totals(cells: DataFrame, measures: tuple[str, ...] = MEASURES) -> DataFrame:
-    """Supplier totals per day, the long form of the daily matrices."""
-    return cells.groupBy(*KEYS, DAY).agg(
-        *[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in measures]
+    ``by`` adds further columns to the grouping.
+    """
+    scales = whole_scales(cells, measures)
+    totals = (
+        to_whole(cells, scales)
+        .groupBy(*KEYS, DAY, *by)
+        .agg(*[F.sum(zero_if_missing(name)).alias(name) for name in measures])
     )
+    return from_whole(totals, scales)

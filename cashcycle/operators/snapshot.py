@@ -7,8 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cashcycle.functions.measures import zero_if_missing
+from cashcycle.functions.periods import Span
+from cashcycle.operators.cells import daily_totals
 from cashcycle.operators.rows import SKU_ROWS, snapshot_rows
+from cashcycle.operators.windows import window_sums
 from cashcycle.schema import CATEGORY, DAY, INVENTORY, KEYS, SKU, TERMS, UNITS
 
 SKU_COUNT = "no_skus_WH"
@@ -24,11 +26,8 @@ def inventory_value(rows: DataFrame, as_of: date) -> DataFrame:
 
 
 def _snapshot_sum(rows: DataFrame, as_of: date, measure: str, name: str) -> DataFrame:
-    return (
-        snapshot_rows(rows, as_of)
-        .groupBy(*KEYS)
-        .agg(F.sum(zero_if_missing(measure)).alias(name))
-    )
+    on_date = Span(as_of, as_of)
+    return window_sums(snapshot_rows(rows, as_of), {name: (measure, on_date)})
 
 
 def sku_count(rows: DataFrame, as_of: date) -> DataFrame:
@@ -82,13 +81,11 @@ def main_category(cells: DataFrame) -> DataFrame:
     cells replaces a join of the latest days with the mart, and Spark keeps only
     the best row per supplier and task before it shuffles for the ranking.
     """
-    totals = cells.groupBy(*KEYS, DAY, CATEGORY).agg(
-        F.sum(zero_if_missing(INVENTORY)).alias("_value")
-    )
+    totals = daily_totals(cells, (INVENTORY,), by=(CATEGORY,))
     best_first = Window.partitionBy(*KEYS).orderBy(
         F.col(DAY).desc(),
         F.col(CATEGORY).isNull(),
-        F.col("_value").desc(),
+        F.col(INVENTORY).desc(),
         F.col(CATEGORY),
     )
     return (

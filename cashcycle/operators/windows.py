@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.functions.measures import mean_in, safe_ratio, sum_in
+from cashcycle.functions.money import from_whole, to_whole, whole_scales
 from cashcycle.functions.periods import ReportPeriods, Span
 from cashcycle.operators.rows import BLACK_INVENTORY, green_column, repln_column
 from cashcycle.schema import (
@@ -30,11 +31,15 @@ PREFIX = {COGS: "cogs", INBOUND: "inb", INVENTORY: "inv", PAYABLES: "payable"}
 
 def window_sums(rows: DataFrame, sums: Mapping[str, tuple[str, Span]]) -> DataFrame:
     """Sums per supplier: output name -> (measure, window). Rows may be of any grain."""
-    return rows.groupBy(*KEYS).agg(*_sum_columns(sums))
-
-
-def _sum_columns(sums: Mapping[str, tuple[str, Span]]) -> list[Column]:
-    return [sum_in(span, measure).alias(name) for name, (measure, span) in sums.items()]
+    scales = whole_scales(rows, {measure for measure, _ in sums.values()})
+    totals = (
+        to_whole(rows, scales)
+        .groupBy(*KEYS)
+        .agg(*[sum_in(span, m).alias(name) for name, (m, span) in sums.items()])
+    )
+    return from_whole(
+        totals, {name: scales[m] for name, (m, _) in sums.items() if m in scales}
+    )
 
 
 def period_sums(

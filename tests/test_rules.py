@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from marts import AS_OF, by_supplier, mart
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
 
 from cashcycle import ReportPeriods, Span, extract, run_report
 from cashcycle.functions.periods import CALENDAR
@@ -350,3 +353,30 @@ def test_cells_and_rows_give_the_same_tables(spark):
             if row[f"inb_{label}"] is not None:
                 assert row[f"inb_repln_{label}"] <= row[f"inb_{label}"]
                 assert row[f"green_repln_{label}"] <= row[f"inb_repln_{label}"]
+
+
+def test_decimals_are_summed_exactly(spark):
+    text = "99999999999999.9999"
+    source = mart(spark, {}, {}, {"grass_date": days_ago(1)}).withColumns(
+        {name: F.lit(text).cast("decimal(18,4)") for name in ("cogs_usd", "inventory_value_usd")}
+    )
+    daily = daily_totals(source, ("cogs_usd", "inventory_value_usd"))
+    assert dict(daily.dtypes)["cogs_usd"] == "decimal(28,4)"
+    assert sorted(row.cogs_usd for row in daily.collect()) == [Decimal(text), 2 * Decimal(text)]
+    sums = windows.period_sums(source, "cogs_usd", PERIODS.trailing_windows()).first()
+    assert sums.cogs_m0 == 3 * Decimal(text)
+    assert sums.cogs_m2 is None
+
+
+def test_too_large_totals_are_exact_or_an_error(spark):
+    source = mart(spark, *[{} for _ in range(20)]).withColumn(
+        "cogs_usd", F.lit("99999999999999.9999").cast("decimal(18,4)")
+    )
+    with pytest.raises(ArithmeticException):
+        daily_totals(source, ("cogs_usd",)).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        total = daily_totals(source, ("cogs_usd",)).first().cogs_usd
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert total == 20 * Decimal("99999999999999.9999")
