@@ -6,7 +6,12 @@ Every function takes and returns lazy DataFrames.
 """
 
 from cashcycle.functions.periods import ReportPeriods, Span
-from cashcycle.plans.report import ReportOptions, run_report, write_report
+from cashcycle.plans.report import (
+    ReportOptions,
+    report_on_extract,
+    run_report,
+    write_report,
+)
 from cashcycle.sources.mart import extract
 
 __all__ = [
@@ -14,6 +19,7 @@ __all__ = [
     "ReportPeriods",
     "Span",
     "extract",
+    "report_on_extract",
     "run_report",
     "write_report",
 ]

@@ -11,7 +11,6 @@ from cashcycle.sources.storage import stage
 
 #: Lookups up to this many rows are sent to every executor.
 BROADCAST_ROWS = 100_000
-SALTS = 64
 
 
 def join_lookup(
@@ -19,22 +18,16 @@ def join_lookup(
     lookup: DataFrame,
     on: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Left-join ``rows`` with a lookup that has one row per key.
 
     The lookup is written once and counted. A small one is broadcast, so the rows
-    stay where they are. A large one is joined on the key plus a salt: the rows of
-    a hot key spread over ``salts`` tasks and the lookup is repeated once per salt.
+    stay where they are. A large one is merged after a shuffle, in which adaptive
+    execution splits the partition of a hot key into several tasks. Random salts
+    would spread such a key too, but a task repeated after a lost executor would draw
+    other salts and could lose or double rows.
     """
-    on = list(on)
     lookup = stage(lookup, "lookup")
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), on, "left")
-    salted_rows = rows.withColumn(
-        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    )
-    salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    return salted_rows.join(salted_lookup, [*on, "_salt"], "left").drop("_salt")
+        return rows.join(F.broadcast(lookup), list(on), "left")
+    return rows.join(lookup.hint("merge"), list(on), "left")

@@ -76,18 +76,31 @@ def run_report(
     options: ReportOptions = ReportOptions(),
     tables: Iterable[str] = ALL_TABLES,
 ) -> dict[str, DataFrame]:
-    """The report tables for one date, keyed by name.
+    """The report tables for one date, for all or some regions, keyed by name.
 
-    The mart is scanned once for the supplier-day cells, which feed every table,
-    and once more over the brand days, whose de-duplication needs whole rows. Tables
-    that others build on are written to shared storage, so that writing the report
-    repeats no work; ``tables`` limits it to the ones asked for. The calendar-month report has no scorecard.
+    ``tables`` limits the report to the tables asked for.
+    """
+    rows = extract(mart, options.span(ReportPeriods(as_of)), regions)
+    return report_on_extract(rows, as_of, watchlist, options, tables)
+
+
+def report_on_extract(
+    rows: DataFrame,
+    as_of: date,
+    watchlist: DataFrame | None = None,
+    options: ReportOptions = ReportOptions(),
+    tables: Iterable[str] = ALL_TABLES,
+) -> dict[str, DataFrame]:
+    """The report tables from extract rows, such as a cached extract.
+
+    The rows are read once for the supplier-day cells, which feed every table, and
+    once more over the brand days, whose de-duplication needs whole rows. Tables that
+    others build on are written to shared storage, so that writing the report repeats
+    no work. The calendar-month report has no scorecard.
     """
     periods = ReportPeriods(as_of)
     span = options.span(periods)
-    rows = extract(mart, span, regions)
     windows = periods.inbound_windows(options.month_window)
-
     wanted = set(tables)
 
     cells = stage(supplier_day_cells(rows, as_of, windows), "cells")

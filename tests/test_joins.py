@@ -27,7 +27,7 @@ def test_canonical_brands(spark, broadcast_rows):
     rows += [(n, "xiaomi") for n in range(300, 500)]
     source = spark.createDataFrame(rows, "id int, brand string").repartition(3)
     names = {brand for _, brand in rows}
-    got = canonical_brands(source, broadcast_rows=broadcast_rows, salts=4).collect()
+    got = canonical_brands(source, broadcast_rows=broadcast_rows).collect()
     assert sorted(got) == [(i, expected_brand(b, names)) for i, b in rows]
 
 
@@ -45,7 +45,7 @@ def test_only_existing_blank_free_spellings_are_mapped(spark):
 def test_join_lookup_keeps_every_row(spark, broadcast_rows):
     rows = spark.range(4000).selectExpr("id", "IF(id % 3 = 0, 0, id % 50) AS k")
     lookup = spark.range(40).selectExpr("id AS k", "id * 10 AS v")
-    joined = join_lookup(rows, lookup, ["k"], broadcast_rows=broadcast_rows, salts=8)
+    joined = join_lookup(rows, lookup, ["k"], broadcast_rows=broadcast_rows)
     got = {r.id: (r.k, r.v) for r in joined.collect()}
     assert len(got) == joined.count() == 4000
     for i, (k, v) in got.items():
@@ -53,12 +53,24 @@ def test_join_lookup_keeps_every_row(spark, broadcast_rows):
         assert v == (k * 10 if k < 40 else None)
 
 
-def test_large_lookup_is_not_broadcast(spark):
-    rows = spark.range(100).selectExpr("id AS k")
-    lookup = spark.range(50).selectExpr("id AS k", "id AS v")
-    small = join_lookup(rows, lookup, ["k"])
-    large = join_lookup(rows, lookup, ["k"], broadcast_rows=10)
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(small)
-    assert "strategy=broadcast" not in plan(large)
-    assert "_salt" in plan(large)
+def test_large_lookup_is_merged_and_hot_keys_are_split(spark):
+    rows = spark.range(0, 400_000, 1, 16).selectExpr(
+        "IF(id % 3 = 0, 0, id % 5000) AS k", "CAST(id AS STRING) AS text"
+    )
+    lookup = spark.range(5000).selectExpr("id AS k", "id AS v")
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = join_lookup(rows, lookup, ["k"], broadcast_rows=10)
+        assert len(joined.collect()) == 400_000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert "BroadcastHashJoin" not in plan
