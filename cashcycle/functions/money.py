@@ -1,13 +1,15 @@
 """Summing exact decimals as whole numbers.
 
-Spark adds decimals beyond 18 digits as arbitrary-precision numbers, and a sum of
-``DECIMAL(18,4)`` needs 28. Summing the mart's rows that way takes about three times
-as long as summing whole numbers, so the pass over the rows counts in units of the
-last decimal place and its totals become decimals again.
-
-The results are the same decimals. A total that does not fit 64 bits raises an error
-in ANSI mode, Spark's default; without ANSI mode it would wrap around, so there the
-decimals are summed as they are.
+Spark adds decimals beyond 18 digits as arbitrary-precision numbers, and its sum of
+``DECIMAL(18,4)`` has 28. Summing rows that way takes about three times as long as
+summing whole numbers, and the wide totals are slow to write and read again. Measures
+of up to 18 digits are therefore summed in units of their last decimal place, and the
+totals keep the type of the measure.
+
+The values are the same. A total that does not fit raises an error in ANSI mode,
+Spark's default; declare measures with more than 18 digits if totals may be that
+large. Such measures, and sessions without ANSI mode, where a sum could wrap around
+unnoticed, use Spark's own decimal sums.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LONG_DIGITS = 18
-SUM_DIGITS = LONG_DIGITS + 10
 
 
 def whole_scales(rows: DataFrame, measures: Iterable[str]) -> dict[str, int]:
@@ -45,7 +46,7 @@ def from_whole(totals: DataFrame, scales: Mapping[str, int]) -> DataFrame:
     return totals.withColumns(
         {
             name: (F.col(name) * F.lit(Decimal(1).scaleb(-scale))).cast(
-                T.DecimalType(SUM_DIGITS, scale)
+                T.DecimalType(LONG_DIGITS, scale)
             )
             for name, scale in scales.items()
         }

@@ -156,4 +156,5 @@ def days_in_current_period(day: Column) -> Column:
 
 
 def day_text(day: Column | str = DAY) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """A date as ``yyyy-MM-dd``."""
+    return (F.col(day) if isinstance(day, str) else day).cast("string")

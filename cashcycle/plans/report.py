@@ -109,6 +109,8 @@ def report_on_extract(
         if options.category_on_report_date
         else main_category(cells)
     )
+    if len(wanted) > 1:
+        categories = stage(categories, "categories")
     report = {}
     if wanted & set(SUPPLIER_TABLES):
         brands = supplier_brands(rows, Span.trailing(as_of, options.brand_days))
@@ -124,7 +126,6 @@ def report_on_extract(
             )
     if wanted - set(SUPPLIER_TABLES):
         daily = stage(daily_totals(cells), "daily")
-        categories = stage(categories, "categories")
     for name, measure in MATRICES.items():
         if name in wanted:
             report[name] = matrix_table(daily, categories, measure, span)

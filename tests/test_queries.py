@@ -32,3 +32,19 @@ def test_entry_has_rows(spark):
     table = driver.entry(spark)
     assert table.count() > 0
     assert len(table.columns) == 23
+
+
+@pytest.mark.parametrize(
+    "name", ["scorecard", "sheet_inbound", "working_capital_days", "brand_counts", "watchlist"]
+)
+def test_query_without_broadcasts(spark, sf_dir, connection, name):
+    """The same results when no table is small enough to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ours = QUERIES[name](spark, sf_dir)
+        plan = ours._jdf.queryExecution().executedPlan().toString()
+        ours = ours.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    assert canonical(ours) == canonical(connection.execute(ORACLES[name]).df())

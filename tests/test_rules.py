@@ -355,13 +355,16 @@ def test_cells_and_rows_give_the_same_tables(spark):
                 assert row[f"green_repln_{label}"] <= row[f"inb_repln_{label}"]
 
 
+def with_money(source, text: str, kind: str):
+    return source.withColumn("cogs_usd", F.lit(text).cast(kind))
+
+
 def test_decimals_are_summed_exactly(spark):
-    text = "99999999999999.9999"
-    source = mart(spark, {}, {}, {"grass_date": days_ago(1)}).withColumns(
-        {name: F.lit(text).cast("decimal(18,4)") for name in ("cogs_usd", "inventory_value_usd")}
-    )
-    daily = daily_totals(source, ("cogs_usd", "inventory_value_usd"))
-    assert dict(daily.dtypes)["cogs_usd"] == "decimal(28,4)"
+    text = "12345678901234.5678"
+    source = mart(spark, {}, {}, {"grass_date": days_ago(1)})
+    source = with_money(source, text, "decimal(18,4)")
+    daily = daily_totals(source, ("cogs_usd",))
+    assert dict(daily.dtypes)["cogs_usd"] == "decimal(18,4)"
     assert sorted(row.cogs_usd for row in daily.collect()) == [Decimal(text), 2 * Decimal(text)]
     sums = windows.period_sums(source, "cogs_usd", PERIODS.trailing_windows()).first()
     assert sums.cogs_m0 == 3 * Decimal(text)
@@ -369,14 +372,16 @@ def test_decimals_are_summed_exactly(spark):
 
 
 def test_too_large_totals_are_exact_or_an_error(spark):
-    source = mart(spark, *[{} for _ in range(20)]).withColumn(
-        "cogs_usd", F.lit("99999999999999.9999").cast("decimal(18,4)")
-    )
+    text = "99999999999999.9999"
+    source = mart(spark, *[{} for _ in range(20)])
+    narrow = with_money(source, text, "decimal(18,4)")
+    wide = with_money(source, text, "decimal(20,4)")
     with pytest.raises(ArithmeticException):
-        daily_totals(source, ("cogs_usd",)).collect()
+        daily_totals(narrow, ("cogs_usd",)).collect()
+    assert daily_totals(wide, ("cogs_usd",)).first().cogs_usd == 20 * Decimal(text)
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        total = daily_totals(source, ("cogs_usd",)).first().cogs_usd
+        total = daily_totals(narrow, ("cogs_usd",)).first().cogs_usd
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
-    assert total == 20 * Decimal("99999999999999.9999")
+    assert total == 20 * Decimal(text)
