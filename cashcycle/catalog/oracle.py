@@ -407,6 +407,13 @@ ORACLES: dict[str, str] = {
     "extract_roundtrip": EXTRACT_ROWS,
     "extract_roundtrip_inferred": EXTRACT_ROWS,
     "report_roundtrip": TRACKING + "\nSELECT * FROM tracking",
+    "matrix_roundtrip": ctes(EXTRACT, DAILY)
+    + f"""
+SELECT {KEYS}, grass_date, CAST(cogs_usd AS DOUBLE) AS cogs_usd,
+       CAST(inbound_value_usd AS DOUBLE) AS inbound_value_usd,
+       CAST(acct_payables_usd AS DOUBLE) AS acct_payables_usd,
+       CAST(inventory_value_usd AS DOUBLE) AS inventory_value_usd
+FROM daily""",
     "snapshot_rows": EXTRACT_ROWS + f" WHERE grass_date = DATE '{AS_OF}'",
     "trailing_rows": ctes(EXTRACT)
     + f"\nSELECT {KEYS}, sku_id, brand, grass_date FROM ex WHERE {within(LAST_30)}",

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from cashcycle.schema import (
     CREATED,
     DAY,
     EXTRACT_COLUMNS,
+    FLOWS,
     INBOUND,
     INVENTORY,
     KEYS,
@@ -40,6 +42,7 @@ from cashcycle.schema import (
     PURCHASE_TYPE,
     REGION,
     SKU,
+    STOCKS,
     SUPPLIER,
     TERMS,
     UNITS,
@@ -125,6 +128,21 @@ def report_roundtrip(spark: SparkSession, path: str) -> DataFrame:
     return read_extract(spark, folders["tracking"], schema=table.schema)
 
 
+def matrix_roundtrip(spark: SparkSession, path: str) -> DataFrame:
+    """The four matrices, written as CSV, read back and turned into long form."""
+    daily = stage(all_daily_totals(spark, path), "daily")
+    span = MID_MONTH.extract_span
+    tables = {m: matrices.daily_matrix(daily, m, span) for m in (*FLOWS, *STOCKS)}
+    folders = write_report(tables, new_path(spark, "report"))
+    copies = [
+        matrices.matrix_to_long(
+            read_extract(spark, folders[measure], schema=table.schema), measure
+        )
+        for measure, table in tables.items()
+    ]
+    return reduce(lambda one, two: one.join(two, [*KEYS, DAY], "full"), copies)
+
+
 def snapshot_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.snapshot_rows(mart_extract(spark, path), MID_MONTH.as_of)
 
@@ -431,6 +449,7 @@ QUERIES: Mapping[str, Query] = {
     "extract_roundtrip": extract_roundtrip,
     "extract_roundtrip_inferred": extract_roundtrip_inferred,
     "report_roundtrip": report_roundtrip,
+    "matrix_roundtrip": matrix_roundtrip,
     "snapshot_rows": snapshot_rows,
     "trailing_rows": trailing_rows,
     "dedup_rows": dedup_rows,

@@ -63,7 +63,7 @@ def brand_spellings(rows: DataFrame) -> DataFrame:
     )
 
 
-def canonical_brands(rows: DataFrame, **join_options: int) -> DataFrame:
+def canonical_brands(rows: DataFrame) -> DataFrame:
     """Rename each blank-free brand to its spaced spelling where one occurs."""
-    joined = join_lookup(rows, brand_spellings(rows), [BRAND], **join_options)
+    joined = join_lookup(rows, brand_spellings(rows), [BRAND])
     return joined.withColumn(BRAND, F.coalesce("spaced", BRAND)).select(*rows.columns)

@@ -5,29 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cashcycle.sources.storage import stage
 
-#: Lookups up to this many rows are sent to every executor.
-BROADCAST_ROWS = 100_000
 
-
-def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def join_lookup(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left-join ``rows`` with a lookup that has one row per key.
 
-    The lookup is written once and counted. A small one is broadcast, so the rows
-    stay where they are. A large one is merged after a shuffle, in which adaptive
-    execution splits the partition of a hot key into several tasks. Random salts
-    would spread such a key too, but a task repeated after a lost executor would draw
-    other salts and could lose or double rows.
+    The lookup is written first, so that Spark knows its size. Up to the session's
+    broadcast threshold it is broadcast and the rows stay where they are. Beyond it
+    both sides are shuffled, and adaptive execution splits the partition of a hot key
+    into several tasks. Random salts would spread such a key too, but a task repeated
+    after a lost executor would draw other salts and could lose or double rows.
     """
-    lookup = stage(lookup, "lookup")
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return rows.join(F.broadcast(lookup), list(on), "left")
-    return rows.join(lookup.hint("merge"), list(on), "left")
+    return rows.join(stage(lookup, "lookup"), list(on), "left")

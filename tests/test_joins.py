@@ -20,14 +20,25 @@ def expected_brand(brand, names):
     return max(spaced, default=brand)
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_canonical_brands(spark, broadcast_rows):
+@pytest.fixture(params=["10MB", "-1"])
+def threshold(spark, request):
+    """Lookups that are broadcast, and lookups that are not."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_canonical_brands(spark, threshold):
     random.seed(3)
     rows = [(n, random.choice(NAMES)) for n in range(300)]
     rows += [(n, "xiaomi") for n in range(300, 500)]
     source = spark.createDataFrame(rows, "id int, brand string").repartition(3)
     names = {brand for _, brand in rows}
-    got = canonical_brands(source, broadcast_rows=broadcast_rows).collect()
+    got = canonical_brands(source).collect()
     assert sorted(got) == [(i, expected_brand(b, names)) for i, b in rows]
 
 
@@ -41,11 +52,11 @@ def test_only_existing_blank_free_spellings_are_mapped(spark):
     assert kept == ["a bc", "ab c", "solo", "two words"]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 10])
-def test_join_lookup_keeps_every_row(spark, broadcast_rows):
+def test_join_lookup_keeps_every_row(spark, threshold):
     rows = spark.range(4000).selectExpr("id", "IF(id % 3 = 0, 0, id % 50) AS k")
     lookup = spark.range(40).selectExpr("id AS k", "id * 10 AS v")
-    joined = join_lookup(rows, lookup, ["k"], broadcast_rows=broadcast_rows)
+    joined = join_lookup(rows, lookup, ["k"])
+    assert ("BroadcastHashJoin" in plan_of(joined)) == (threshold != "-1")
     got = {r.id: (r.k, r.v) for r in joined.collect()}
     assert len(got) == joined.count() == 4000
     for i, (k, v) in got.items():
@@ -59,6 +70,7 @@ def test_large_lookup_is_merged_and_hot_keys_are_split(spark):
     )
     lookup = spark.range(5000).selectExpr("id AS k", "id AS v")
     settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
@@ -66,9 +78,9 @@ def test_large_lookup_is_merged_and_hot_keys_are_split(spark):
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = join_lookup(rows, lookup, ["k"], broadcast_rows=10)
+        joined = join_lookup(rows, lookup, ["k"])
         assert len(joined.collect()) == 400_000
-        plan = joined._jdf.queryExecution().executedPlan().toString()
+        plan = plan_of(joined)
     finally:
         for key in settings:
             spark.conf.unset(key)
