@@ -98,6 +98,7 @@ def ctes(window: Window, *more: str) -> str:
 
 
 def sum_over(window: Window, value: str, name: str) -> str:
+    value = f"COALESCE({value}, 0)"
     return f"CAST(SUM(CASE WHEN {within(window)} THEN {value} END) AS DOUBLE) AS {name}"
 
 
@@ -111,10 +112,11 @@ def per_supplier(columns: list[str], source: str) -> str:
 
 
 DAILY = f"""daily AS (
-  SELECT {KEYS}, grass_date, SUM(cogs_usd) AS cogs_usd,
-         SUM(stock_on_hand) AS stock_on_hand, SUM(inbound_value_usd) AS inbound_value_usd,
-         SUM(acct_payables_usd) AS acct_payables_usd,
-         SUM(inventory_value_usd) AS inventory_value_usd
+  SELECT {KEYS}, grass_date, SUM(COALESCE(cogs_usd, 0)) AS cogs_usd,
+         SUM(COALESCE(stock_on_hand, 0)) AS stock_on_hand,
+         SUM(COALESCE(inbound_value_usd, 0)) AS inbound_value_usd,
+         SUM(COALESCE(acct_payables_usd, 0)) AS acct_payables_usd,
+         SUM(COALESCE(inventory_value_usd, 0)) AS inventory_value_usd
   FROM ex GROUP BY {KEYS}, grass_date
 )"""
 
@@ -122,7 +124,7 @@ CATEGORY = f"""latest AS (
   SELECT {KEYS}, MAX(grass_date) AS grass_date FROM ex GROUP BY {KEYS}
 ),
 category_values AS (
-  SELECT {KEYS}, category_cluster, SUM(inventory_value_usd) AS total
+  SELECT {KEYS}, category_cluster, SUM(COALESCE(inventory_value_usd, 0)) AS total
   FROM ex JOIN latest USING (grass_region, supplier_name, grass_date)
   WHERE category_cluster IS NOT NULL
   GROUP BY {KEYS}, category_cluster
@@ -164,8 +166,8 @@ top_wide AS (
 def tracking_cte(as_of: str, sku_count: str = "COUNT(sku_id)") -> str:
     return f"""snap AS (
   SELECT {KEYS}, {sku_count} AS "no_skus_WH",
-         CAST(SUM(stock_on_hand) AS BIGINT) AS inv_count,
-         CAST(SUM(inventory_value_usd) AS DOUBLE) AS inventory_value_usd,
+         CAST(SUM(COALESCE(stock_on_hand, 0)) AS BIGINT) AS inv_count,
+         CAST(SUM(COALESCE(inventory_value_usd, 0)) AS DOUBLE) AS inventory_value_usd,
          MIN(payment_terms) AS payment_terms
   FROM ex WHERE grass_date = DATE '{as_of}' GROUP BY {KEYS}
 ),
@@ -219,8 +221,8 @@ def end_parts(ends: dict[str, str]) -> list[str]:
 
 def l30_part(window: Window) -> str:
     inside = f"FILTER (WHERE {within(window)})"
-    return f"""CAST(SUM(inventory_value_usd) {inside} AS DOUBLE)
-      / NULLIF(CAST(SUM(cogs_usd) {inside} AS DOUBLE), 0) AS l30_inv_days"""
+    return f"""CAST(SUM(COALESCE(inventory_value_usd, 0)) {inside} AS DOUBLE)
+      / NULLIF(CAST(SUM(COALESCE(cogs_usd, 0)) {inside} AS DOUBLE), 0) AS l30_inv_days"""
 
 
 def on_ends(ends: dict[str, str]) -> str:
@@ -386,11 +388,13 @@ def row_flag_columns() -> list[str]:
             )
         for name, condition in (("inb_repln", old), ("green_repln", green)):
             columns.append(
-                f"CAST(CASE WHEN {condition} THEN inbound_value_usd ELSE 0 END AS DOUBLE)"
+                f"CAST(CASE WHEN {condition} THEN COALESCE(inbound_value_usd, 0) ELSE 0 END"
+                " AS DOUBLE)"
                 f" AS {name}_{label}"
             )
     columns.append(
-        "CAST(CASE WHEN color = 'Black' THEN inventory_value_usd ELSE 0 END AS DOUBLE)"
+        "CAST(CASE WHEN color = 'Black' THEN COALESCE(inventory_value_usd, 0) ELSE 0 END"
+        " AS DOUBLE)"
         " AS black_inv_usd"
     )
     return columns
@@ -466,9 +470,9 @@ SELECT regions.grass_region, period, period_end, COUNT(ex.supplier_name) AS n_ro
 FROM regions CROSS JOIN ends
 LEFT JOIN ex ON ex.grass_region = regions.grass_region AND ex.grass_date = period_end
 GROUP BY regions.grass_region, period, period_end""",
-    "inv_count": snapshot("CAST(SUM(stock_on_hand) AS BIGINT) AS inv_count"),
+    "inv_count": snapshot("CAST(SUM(COALESCE(stock_on_hand, 0)) AS BIGINT) AS inv_count"),
     "inv_value": snapshot(
-        "CAST(SUM(inventory_value_usd) AS DOUBLE) AS inventory_value_usd"
+        "CAST(SUM(COALESCE(inventory_value_usd, 0)) AS DOUBLE) AS inventory_value_usd"
     ),
     "sku_count": snapshot('COUNT(sku_id) AS "no_skus_WH"'),
     "sku_count_distinct": snapshot('COUNT(DISTINCT sku_id) AS "no_skus_WH"'),

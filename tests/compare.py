@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -27,7 +28,7 @@ def canonical(frame) -> list[tuple]:
 
 
 def _plain(value) -> str:
-    if value is None or value != value:
+    if pd.isna(value):
         return "NULL"
     if isinstance(value, bool) or type(value).__name__ == "bool_":
         return str(bool(value))
