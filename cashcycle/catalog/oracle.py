@@ -550,6 +550,11 @@ FROM source LEFT JOIN spellings ON brand = compact""",
     "daily_payables": matrix("acct_payables_usd"),
     "daily_inventory": matrix("inventory_value_usd"),
     "daily_inbound": matrix("inbound_value_usd"),
+    "matrix_with_category": ctes(
+        EXTRACT, DAILY, CATEGORY, matrix_cte("cogs_usd", EXTRACT)
+    )
+    + """
+SELECT * FROM matrix LEFT JOIN category USING (grass_region, supplier_name)""",
     "tracking": TRACKING + "\nSELECT * FROM tracking",
     "tracking_watchlist": TRACKING
     + f",\n{WATCHLIST}\nSELECT * FROM tracking WHERE {WATCHED}",

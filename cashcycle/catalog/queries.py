@@ -233,18 +233,22 @@ def all_daily_totals(spark: SparkSession, path: str) -> DataFrame:
     return _daily(spark, path, MEASURES)
 
 
-def _trailing(measure: str) -> Query:
+def _flow(measure: str, periods: ReportPeriods, spans: Mapping[str, Span]) -> Query:
+    """Window sums straight from the rows: one shuffle."""
+
     def query(spark: SparkSession, path: str) -> DataFrame:
-        daily = _daily(spark, path, [measure])
-        return windows.period_metrics(daily, measure, MID_MONTH.trailing_windows())
+        source = extract_rows(spark, path, [measure], periods.extract_span)
+        return windows.period_sums(source, measure, spans)
 
     return query
 
 
-def _inbound(periods: ReportPeriods, mode: str) -> Query:
+def _stock(measure: str) -> Query:
+    """Window means, which need the daily totals first."""
+
     def query(spark: SparkSession, path: str) -> DataFrame:
-        source = extract_rows(spark, path, [INBOUND], periods.extract_span)
-        return windows.period_sums(source, INBOUND, periods.inbound_windows(mode))
+        daily = _daily(spark, path, [measure])
+        return windows.period_means(daily, measure, MID_MONTH.trailing_windows())
 
     return query
 
@@ -273,14 +277,19 @@ def l30_inventory_days(spark: SparkSession, path: str) -> DataFrame:
     return windows.l30_inventory_days(source, MID_MONTH)
 
 
-def _monthly(operator: Callable, periods: ReportPeriods, *measures: str) -> Query:
+def _monthly_flows(periods: ReportPeriods) -> Query:
     def query(spark: SparkSession, path: str) -> DataFrame:
-        daily = _daily(spark, path, measures, periods.monthly_extract_span)
-        return operator(daily, periods)
+        source = extract_rows(spark, path, FLOWS, periods.monthly_extract_span)
+        return windows.monthly_flow_sums(source, periods)
 
     return query
 
 
+def monthly_stock_means(spark: SparkSession, path: str) -> DataFrame:
+    daily = _daily(spark, path, STOCKS, MID_MONTH.monthly_extract_span)
+    return windows.monthly_stock_means(daily, MID_MONTH)
+
+
 def working_capital_days(spark: SparkSession, path: str) -> DataFrame:
     daily = _daily(spark, path, [COGS, INVENTORY, PAYABLES])
     return windows.working_capital_days(daily, MID_MONTH)
@@ -337,6 +346,15 @@ def _matrix(measure: str) -> Query:
     return query
 
 
+def matrix_with_category(spark: SparkSession, path: str) -> DataFrame:
+    source = extract_rows(spark, path, [CATEGORY, COGS, INVENTORY])
+    cells = category_cells(source, COGS)
+    daily = daily_totals(cells, (COGS,))
+    return matrix_table(
+        daily, snapshot.main_category(cells), COGS, MID_MONTH.extract_span
+    )
+
+
 def category_cells(source: DataFrame, measure: str) -> DataFrame:
     """Daily totals of one measure by category, with what ranks the categories."""
     measures = tuple(sorted({measure, INVENTORY}))
@@ -469,11 +487,11 @@ QUERIES: Mapping[str, Query] = {
         snapshot.main_category_snapshot, CATEGORY, INVENTORY
     ),
     "daily_totals": all_daily_totals,
-    "cogs_trailing": _trailing(COGS),
-    "inventory_trailing": _trailing(INVENTORY),
-    "payables_trailing": _trailing(PAYABLES),
-    "inbound_trailing": _inbound(MID_MONTH, P.ROLLING_30),
-    "inbound_calendar": _inbound(MONTH_END, CALENDAR),
+    "cogs_trailing": _flow(COGS, MID_MONTH, MID_MONTH.trailing_windows()),
+    "inventory_trailing": _stock(INVENTORY),
+    "payables_trailing": _stock(PAYABLES),
+    "inbound_trailing": _flow(INBOUND, MID_MONTH, MID_MONTH.inbound_windows()),
+    "inbound_calendar": _flow(INBOUND, MONTH_END, MONTH_END.inbound_windows(CALENDAR)),
     "replenishment": _replenishment(windows.replenishment, MID_MONTH, P.ROLLING_30),
     "replenishment_calendar": _replenishment(
         windows.replenishment, MONTH_END, CALENDAR
@@ -484,13 +502,9 @@ QUERIES: Mapping[str, Query] = {
     "eop_inventory": eop_inventory,
     "black_stock": black_stock,
     "l30_inventory_days": l30_inventory_days,
-    "monthly_flow_sums": _monthly(windows.monthly_flow_sums, MID_MONTH, COGS, INBOUND),
-    "monthly_flow_sums_month_end": _monthly(
-        windows.monthly_flow_sums, MONTH_END, COGS, INBOUND
-    ),
-    "monthly_stock_means": _monthly(
-        windows.monthly_stock_means, MID_MONTH, INVENTORY, PAYABLES
-    ),
+    "monthly_flow_sums": _monthly_flows(MID_MONTH),
+    "monthly_flow_sums_month_end": _monthly_flows(MONTH_END),
+    "monthly_stock_means": monthly_stock_means,
     "working_capital_days": working_capital_days,
     "brand_counts": brand_counts,
     "top_brands": top_brands,
@@ -502,6 +516,7 @@ QUERIES: Mapping[str, Query] = {
     "daily_payables": _matrix(PAYABLES),
     "daily_inventory": _matrix(INVENTORY),
     "daily_inbound": _matrix(INBOUND),
+    "matrix_with_category": matrix_with_category,
     "tracking": tracking_table,
     "tracking_watchlist": tracking_watchlist,
     "scorecard": scorecard,

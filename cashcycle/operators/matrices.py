@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cashcycle.functions.periods import Span, day_text
+from cashcycle.functions.periods import Span
 from cashcycle.schema import DAY, KEYS
 
 
@@ -13,14 +13,15 @@ def daily_matrix(daily: DataFrame, measure: str, span: Span) -> DataFrame:
     """One column per day of ``span``; NULL where the supplier has no rows.
 
     The days are given, so Spark needs no extra job to find them, and a day on
-    which nobody has rows still gets its column.
+    which nobody has rows still gets its column. Pivoting on the day itself keeps the
+    partitioning of the daily totals.
     """
     days = [day.isoformat() for day in span.dates()]
     return (
         daily.where(span.contains())
-        .select(*KEYS, day_text().alias("_day"), measure)
+        .select(*KEYS, DAY, measure)
         .groupBy(*KEYS)
-        .pivot("_day", days)
+        .pivot(DAY, days)
         .agg(F.first(measure))
     )
 

@@ -144,10 +144,10 @@ def calendar_metrics(
     return metrics if measure in STOCKS else metrics.fillna(0)
 
 
-def monthly_flow_sums(daily: DataFrame, periods: ReportPeriods) -> DataFrame:
+def monthly_flow_sums(rows: DataFrame, periods: ReportPeriods) -> DataFrame:
     """COGS and inbound per calendar period; a period without rows sums to 0."""
     return window_sums(
-        daily,
+        rows,
         {
             f"{PREFIX[measure]}_{label}": (measure, span)
             for measure in FLOWS

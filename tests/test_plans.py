@@ -69,3 +69,10 @@ def test_matrix_needs_no_job_to_find_its_days(spark, sf_dir):
     plan = plan_of(QUERIES["daily_cogs"](spark, sf_dir))
     assert scans(plan, "lineitem") == 1
     assert "pivotfirst" in plan.lower()
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+
+
+def test_flow_windows_are_one_shuffle(spark, sf_dir):
+    for name in ("cogs_trailing", "inbound_trailing", "monthly_flow_sums", "replenishment"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1

@@ -37,7 +37,7 @@ def random_rows(seed: int, n: int) -> list[tuple]:
         return None if rng.random() < gap else value
 
     def money():
-        return maybe(Decimal(rng.choice([0, 0, 1, 2.5, 99.9999, -5.1663])).quantize(Decimal("0.0001")))
+        return maybe(Decimal(rng.choice(["0", "0", "1", "2.5", "99.9999", "-5.1663"])))
 
     rows = []
     for as_of in (catalog.MID_MONTH.as_of, catalog.MONTH_END.as_of):
