@@ -410,6 +410,7 @@ ORACLES: dict[str, str] = {
     "mart_extract": EXTRACT_ROWS,
     "extract_roundtrip": EXTRACT_ROWS,
     "extract_roundtrip_inferred": EXTRACT_ROWS,
+    "mart_roundtrip": from_rows(sums_of("cogs_usd", "cogs", TRAILING)),
     "report_roundtrip": TRACKING + "\nSELECT * FROM tracking",
     "matrix_roundtrip": ctes(EXTRACT, DAILY)
     + f"""

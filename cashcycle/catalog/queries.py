@@ -47,7 +47,13 @@ from cashcycle.schema import (
     TERMS,
     UNITS,
 )
-from cashcycle.sources.mart import extract, read_extract, write_extract
+from cashcycle.sources.mart import (
+    extract,
+    read_extract,
+    read_mart,
+    write_extract,
+    write_mart,
+)
 from cashcycle.sources.star import read_table, star_mart
 from cashcycle.sources.storage import new_path, stage
 
@@ -122,6 +128,15 @@ def extract_roundtrip_inferred(spark: SparkSession, path: str) -> DataFrame:
     return copy.withColumn(SKU, F.col(SKU).cast("string"))
 
 
+def mart_roundtrip(spark: SparkSession, path: str) -> DataFrame:
+    """COGS windows over the mart as a table partitioned by region and day."""
+    span = MID_MONTH.extract_span
+    target = new_path(spark, "mart")
+    write_mart(star_mart(spark, path, MART_COLUMNS).where(span.contains()), target)
+    source = extract(read_mart(spark, target), span)
+    return windows.period_sums(source, COGS, MID_MONTH.trailing_windows())
+
+
 def report_roundtrip(spark: SparkSession, path: str) -> DataFrame:
     table = tracking_table(spark, path)
     folders = write_report({"tracking": table}, new_path(spark, "report"))
@@ -466,6 +481,7 @@ QUERIES: Mapping[str, Query] = {
     "mart_extract": mart_extract,
     "extract_roundtrip": extract_roundtrip,
     "extract_roundtrip_inferred": extract_roundtrip_inferred,
+    "mart_roundtrip": mart_roundtrip,
     "report_roundtrip": report_roundtrip,
     "matrix_roundtrip": matrix_roundtrip,
     "snapshot_rows": snapshot_rows,
