@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cashcycle.functions.periods import ReportPeriods
 from cashcycle.plans.report import (
@@ -19,6 +20,7 @@ from cashcycle.plans.report import (
     report_on_extract,
     write_report,
 )
+from cashcycle.schema import REGION
 from cashcycle.sources.mart import extract, read_extract, read_mart, write_extract
 from cashcycle.sources.watchlist import read_watchlist
 
@@ -50,6 +52,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     )
     if args.extract:
         rows = read_extract(spark, args.extract)
+        if args.regions:
+            rows = rows.where(F.col(REGION).isin(args.regions))
     else:
         span = options.span(ReportPeriods(args.date))
         rows = extract(read_mart(spark, args.mart), span, args.regions)

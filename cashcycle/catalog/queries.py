@@ -23,7 +23,7 @@ from cashcycle.operators.watchlist import on_watchlist
 from cashcycle.plans import scorecard as scorecards
 from cashcycle.plans.report import ReportOptions, run_report, write_report
 from cashcycle.plans.sheets import matrix_table, sheet
-from cashcycle.plans.tracking import supplier_brands, tracking
+from cashcycle.plans.tracking import TRACKING_CELLS, supplier_brands, tracking
 from cashcycle.schema import (
     BRAND,
     CATEGORY,
@@ -97,11 +97,10 @@ def extract_rows(
 def report_cells(
     spark: SparkSession, path: str, periods: ReportPeriods, mode: str = P.ROLLING_30
 ) -> DataFrame:
-    """Supplier-day cells for one report, written once and used by all its parts."""
+    """The supplier-day cells of one report."""
     columns = [c for c in EXTRACT_COLUMNS if c != BRAND]
     source = extract_rows(spark, path, columns, periods.extract_span)
-    windows_ = periods.inbound_windows(mode)
-    return stage(supplier_day_cells(source, periods.as_of, windows_), "cells")
+    return supplier_day_cells(source, periods.as_of, periods.inbound_windows(mode))
 
 
 def brand_rows(spark: SparkSession, path: str, span: Span) -> DataFrame:
@@ -403,7 +402,8 @@ def _tracking_from(
 
 
 def tracking_table(spark: SparkSession, path: str) -> DataFrame:
-    return _tracking_from(spark, path, report_cells(spark, path, MID_MONTH), MID_MONTH)
+    cells = report_cells(spark, path, MID_MONTH).select(*TRACKING_CELLS)
+    return _tracking_from(spark, path, stage(cells, "cells"), MID_MONTH)
 
 
 def star_watchlist(spark: SparkSession, path: str) -> DataFrame:
@@ -430,7 +430,7 @@ def tracking_watchlist(spark: SparkSession, path: str) -> DataFrame:
 
 def _scorecard(periods: ReportPeriods, mode: str) -> Query:
     def query(spark: SparkSession, path: str) -> DataFrame:
-        cells = report_cells(spark, path, periods, mode)
+        cells = stage(report_cells(spark, path, periods, mode), "cells")
         sums = windows.scorecard_sums(cells, periods, periods.inbound_windows(mode))
         table = _tracking_from(spark, path, cells, periods)
         return scorecards.scorecard(table, sums)

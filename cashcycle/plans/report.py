@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from cashcycle.functions.periods import ROLLING_30, SHORT_DAYS, ReportPeriods, Span
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
+from cashcycle.operators.rows import rows_in
 from cashcycle.operators.snapshot import (
     main_category,
     main_category_snapshot,
@@ -23,7 +24,7 @@ from cashcycle.operators.windows import (
 )
 from cashcycle.plans.scorecard import scorecard
 from cashcycle.plans.sheets import matrix_table, sheet
-from cashcycle.plans.tracking import supplier_brands, tracking
+from cashcycle.plans.tracking import TRACKING_CELLS, supplier_brands, tracking
 from cashcycle.schema import (
     COGS,
     INBOUND,
@@ -93,6 +94,8 @@ def report_on_extract(
 ) -> dict[str, DataFrame]:
     """The report tables from extract rows, such as a cached extract.
 
+    Rows outside the report's range of days are left out.
+
     The rows are read once for the supplier-day cells, which feed every table, and
     once more over the brand days, whose de-duplication needs whole rows. Tables that
     others build on are written to shared storage, so that writing the report repeats
@@ -100,10 +103,14 @@ def report_on_extract(
     """
     periods = ReportPeriods(as_of)
     span = options.span(periods)
+    rows = rows_in(rows, span)
     windows = periods.inbound_windows(options.month_window)
     wanted = set(tables)
 
-    cells = stage(supplier_day_cells(rows, as_of, windows), "cells")
+    cells = supplier_day_cells(rows, as_of, windows)
+    if wanted <= {"tracking", "tracking_yaml"}:
+        cells = cells.select(*TRACKING_CELLS)
+    cells = stage(cells, "cells")
     categories = (
         main_category_snapshot(cells, as_of)
         if options.category_on_report_date

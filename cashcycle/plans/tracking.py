@@ -14,13 +14,23 @@ from cashcycle.operators.brands import (
     top_brands,
     top_brands_wide,
 )
+from cashcycle.operators.rows import SKU_ROWS
 from cashcycle.operators.snapshot import (
     SKU_COUNT,
     UNIT_COUNT,
     main_category,
     snapshot_totals,
 )
-from cashcycle.schema import CATEGORY, INVENTORY, KEYS, NO_BRAND, SUPPLIER, TERMS
+from cashcycle.schema import (
+    CATEGORY,
+    DAY,
+    INVENTORY,
+    KEYS,
+    NO_BRAND,
+    SUPPLIER,
+    TERMS,
+    UNITS,
+)
 
 BRAND_COLUMNS = tuple(f"brand_{place}" for place in range(1, TOP_BRANDS + 1))
 TRACKING_COLUMNS = (
@@ -33,6 +43,8 @@ TRACKING_COLUMNS = (
     *BRAND_COLUMNS,
     TERMS,
 )
+#: What the tracking table needs of the supplier-day cells.
+TRACKING_CELLS = (*KEYS, DAY, CATEGORY, TERMS, SKU_ROWS, UNITS, INVENTORY)
 
 
 def supplier_brands(rows: DataFrame, span: Span) -> DataFrame:

@@ -63,6 +63,26 @@ def test_mart_and_cached_extract_give_the_same_report(spark, mart_path, tmp_path
     assert sorted(suppliers) == ["T", "V"]
 
 
+def test_region_and_date_of_a_cached_extract(spark, mart_path, tmp_path):
+    run(
+        spark,
+        parse(
+            ["--mart", mart_path, "--date", "20191118", "--out", f"{tmp_path}/a"]
+            + ["--tables", "tracking", "--save-extract", f"{tmp_path}/extract"]
+        ),
+    )
+    folders = run(
+        spark,
+        parse(
+            ["--extract", f"{tmp_path}/extract", "--date", "20191115"]
+            + ["--regions", "R2", "R3", "--out", f"{tmp_path}/b", "--tables", "tracking", "cogs"]
+        ),
+    )
+    for name in ("tracking", "cogs"):
+        table = spark.read.csv(folders[name], header=True)
+        assert [(r.grass_region, r.supplier_name) for r in table.collect()] == [("R2", "U")]
+
+
 def test_calendar_months_write_no_scorecard(spark, mart_path, tmp_path):
     folders = run(
         spark,
