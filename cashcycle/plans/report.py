@@ -127,7 +127,7 @@ def report_on_extract(
             everyone = stage(everyone, "tracking")
         watched = everyone if watchlist is None else on_watchlist(everyone, watchlist)
         report |= {"tracking": everyone, "tracking_yaml": watched}
-        if not options.calendar_months:
+        if "scorecard" in wanted and not options.calendar_months:
             report["scorecard"] = scorecard(
                 watched, scorecard_sums(cells, periods, windows)
             )
