@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from cashcycle.llm import toxicity
 from cashcycle.llm.contamination import find_leaks
+from cashcycle.llm.langid import identify
 from cashcycle.llm.lines import remove_repeated_lines
 from cashcycle.llm.minhash import NearDuplicateOptions, near_duplicates
-from cashcycle.llm.tables import read
+from cashcycle.llm.packing import PackOptions, pack
+from cashcycle.llm.tables import fold_of, read
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +26,42 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs.filter(fold_of("doc_id", 3) != 1), read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    kept = remove_repeated_lines(docs)
+    found = identify(docs, docs.filter(fold_of("doc_id", 4) != 2))
+    held_out = (fold_of("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "margin", "rejected")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_lines(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(read(spark, sf_dir, "documents"), PackOptions(path))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_minhash, op3_decontamination, op8_line_dedup]
+    named = [
+        op2_minhash,
+        op3_decontamination,
+        op5_toxicity,
+        op7_language_id,
+        op8_line_dedup,
+        op9_packing,
+        pipeline,
+    ]
     return {f.__name__: f for f in named}
