@@ -2,8 +2,8 @@
 
 Each language has a raw-content zstandard dictionary made of a bounded sample of its
 texts: of the ``sample_rows`` documents with the smallest hashed ids the first
-``sample_chars`` characters each, up to ``dictionary_bytes``. A text is lower-cased, cut into
-blocks of ``block_bytes`` and encoded whole with every dictionary; the language with the
+``sample_chars`` characters each, up to ``dictionary_bytes``. A text is taken as its
+lower-case words, cut into blocks of ``block_bytes`` and encoded whole with every dictionary; the language with the
 smallest total wins. Where two totals are equal, the share of the text's words that stand in
 a dictionary decides by up to half a byte. ``margin`` is how much larger the second total
 is; below ``min_margin`` the text is rejected.
@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,11 @@ from pyspark.sql import functions as F
 from cashcycle.llm.tables import texts
 
 UNKNOWN = "und"
+_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}']+")
+
+
+def _letters(text: str) -> bytes:
+    return _NO_LETTERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
 @dataclass(frozen=True)
@@ -54,8 +60,7 @@ def dictionaries(train: DataFrame, options: LanguageOptions) -> dict[str, bytes]
     whole = chosen.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("texts"))
     found = {}
     for row in whole.orderBy("lang").toLocalIterator():  # sample_rows * sample_chars at most, each
-        text = "\n".join(x.text for x in row.texts).lower().encode("utf-8", "replace")
-        found[row.lang] = text[: options.dictionary_bytes]
+        found[row.lang] = _letters("\n".join(x.text for x in row.texts))[: options.dictionary_bytes]
     return found
 
 
@@ -80,7 +85,7 @@ class Identifier:
             self.compressors.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=parameters))
 
     def totals(self, text: str) -> np.ndarray:
-        data = text.lower().encode("utf-8", "replace")
+        data = _letters(text)
         step = self.options.block_bytes
         blocks = [data[k : k + step] for k in range(0, len(data), step)]
         totals = np.array([sum(len(c.compress(b)) for b in blocks) for c in self.compressors], float)

@@ -15,6 +15,7 @@ from cashcycle.llm.langid import identify
 from cashcycle.llm.lines import remove_repeated_lines
 from cashcycle.llm.minhash import NearDuplicateOptions, near_duplicates
 from cashcycle.llm.packing import PackOptions, pack
+from cashcycle.llm.secrets import find_secrets, secret_digest
 from cashcycle.llm.tables import fold_of, read
 
 
@@ -33,6 +34,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(find_secrets(read(spark, sf_dir, "documents")))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = identify(docs, docs.filter(fold_of("doc_id", 4) != 2))
@@ -59,6 +64,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_minhash,
         op3_decontamination,
         op5_toxicity,
+        op6_secrets,
         op7_language_id,
         op8_line_dedup,
         op9_packing,
