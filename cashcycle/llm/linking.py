@@ -2,17 +2,18 @@
 
 ``components`` contracts links to stars in a logarithmic number of joins.
 ``linked_groups`` finds components of all items that share a key and pass a check,
-without ever listing all pairs of a large group: it first checks each member against
-its key's smallest member, and afterwards only pairs that are still in different
-components. Nothing is capped: pairs that share a key and are never checked are in one
-component already.
+without listing all pairs of a large group. It first checks each item against one
+item it shares a key with, then items of small components against a few delegates of
+larger ones, and at last what is still apart: pairs of single items, and items against the
+whole of a larger component, in blocks. Nothing is capped: pairs that share a key
+and are never checked are in one component already.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashcycle.llm.scratch import Scratch
@@ -52,36 +53,80 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     return found
 
 
+def _sized(keys: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, component, size) of the items whose key still has several components."""
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    known = found.join(sizes, "component").select("id", "component", "size")
+    known = keys.join(known, "id", "left").select(
+        "key",
+        "id",
+        F.coalesce("component", "id").alias("component"),
+        F.coalesce("size", F.lit(1)).alias("size"),
+    )
+    mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return known.join(mixed.filter("lo < hi").select("key"), "key")
+
+
+def _probes(apart: DataFrame) -> DataFrame:
+    """(id, component): items and larger components, not their own, that share a key."""
+    groups = apart.filter("size > 1").select("key", F.col("component").alias("c"), F.col("size").alias("n")).distinct()
+    other = F.expr("component <> c AND (size < n OR (size = n AND component > c))")
+    return apart.join(groups, "key").filter(other).select("id", F.col("c").alias("component")).distinct()
+
+
+def _delegates(found: DataFrame, n: int, seed: int) -> DataFrame:
+    """(component, delegate): ``n`` members of each component, by hash."""
+    order = Window.partitionBy("component").orderBy(F.xxhash64("id", F.lit(seed)), "id")
+    ranked = found.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= n)
+    return ranked.select("component", F.col("id").alias("delegate"))
+
+
 def linked_groups(
-    scratch: Scratch, keys: DataFrame, check: Callable[[DataFrame], DataFrame]
+    scratch: Scratch,
+    keys: DataFrame,
+    check: Callable[[DataFrame], DataFrame],
+    check_blocks: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    rounds: tuple[int, ...] = (4, 16),
 ) -> DataFrame:
     """(id, component) of items that share a key and pass ``check``, transitively.
 
-    ``keys`` is (key, id), distinct. ``check`` takes pairs (a, b) with a < b and returns
-    those that are linked. Items without links are left out.
+    ``keys`` is (key, id), distinct. ``check`` takes pairs (a, b), a and b different, and
+    returns those that are linked. ``check_blocks`` takes (id, component) and the members
+    (id, component) and returns the links of each id with members of that component;
+    without it these pairs go to ``check``. Items without links are left out.
     """
     shared = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
     shared = shared.filter("lead < last").select("key", "lead")
     members = scratch.keep(keys.join(shared, "key"), "members")
-    stars = members.filter("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    stars = scratch.keep(stars.distinct(), "stars")
-    links = scratch.keep(check(stars), "links")
+    stars = members.filter("id <> lead").groupBy("id").agg(F.min("lead").alias("lead"))
+    links = scratch.keep(check(stars.select(F.col("lead").alias("a"), F.col("id").alias("b"))), "links0")
+    members = members.select("key", "id")
     found = components(scratch, links)
-    known = members.select("key", "id").join(found, "id", "left")
-    known = known.withColumn("component", F.coalesce("component", "id"))
-    mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    known = scratch.keep(known.join(mixed.filter("lo < hi"), "key").drop("lo", "hi"), "mixed")
-    scratch.drop("members")
-    x, y = known.alias("x"), known.alias("y")
-    rest = x.join(y, F.expr("x.key = y.key AND x.id < y.id AND x.component <> y.component"))
-    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    rest = scratch.keep(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    scratch.drop("mixed", "stars")
-    more = scratch.keep(check(rest), "more")
-    scratch.drop("rest")
-    if more.isEmpty():
-        return found
-    scratch.drop("components")
-    found = components(scratch, links.union(more))
-    scratch.drop("links", "more")
-    return found
+    every = links
+    for turn, n in enumerate(rounds, 1):
+        apart = scratch.keep(_sized(members, found), "apart")
+        pairs = _probes(apart).join(_delegates(found, n, turn), "component")
+        more = scratch.keep(check(pairs.select(F.col("delegate").alias("a"), F.col("id").alias("b"))), f"links{turn}")
+        if more.isEmpty():
+            continue
+        every = every.union(more)
+        found = components(scratch, every)
+    apart = scratch.keep(_sized(members, found), "apart")
+    probes = _probes(apart)
+    if check_blocks is None:
+        whole = found.select("component", F.col("id").alias("member"))
+        pairs = probes.join(whole, "component").select(F.col("member").alias("a"), F.col("id").alias("b"))
+        last = check(pairs)
+    else:
+        last = check_blocks(probes, found)
+    last = scratch.keep(last, "last_groups")
+    single = apart.filter("size = 1").select("key", "id")
+    own = single.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    single = single.join(own, "id")
+    x, y = single.alias("x"), single.alias("y")
+    first = "x.key = y.key AND x.id < y.id AND array_min(array_intersect(x.keys, y.keys)) = x.key"
+    pairs = x.join(y, F.expr(first)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    singles = scratch.keep(check(pairs), "last_singles")
+    last = last.union(singles)
+    scratch.drop("members", "apart")
+    return found if last.isEmpty() else components(scratch, every.union(last))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import linked_groups
-from cashcycle.llm.scratch import Scratch
+from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import texts
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 
@@ -132,6 +132,16 @@ def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return texts(docs).mapInArrow(run, "id long, shingles binary")
 
 
+def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    small, large = (left, right) if len(left) <= len(right) else (right, left)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= percent * (len(left) + len(right) - common)
+
+
 def _similar(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, sa, sb) whose full sets are similar enough."""
 
@@ -139,14 +149,35 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * common >= percent * (len(left) + len(right) - common))
+                left, right = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                keep.append(_linked(left, right, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _similar_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of each row's id with the members of its block (ids, sets)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(c) for c in ("id", "shingles", "members")]
+            for own, mine, members in zip(*columns, strict=True):
+                left = np.frombuffer(mine.as_buffer(), np.uint64)
+                for member in members:
+                    right = np.frombuffer(member["shingles"].as_buffer(), np.uint64)
+                    if _linked(left, right, percent):
+                        a.append(member["id"].as_py())
+                        b.append(own.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+BLOCK = 64
+
+
 def near_duplicates(
     docs: DataFrame, options: NearDuplicateOptions | None = None
 ) -> DataFrame:
@@ -166,6 +197,10 @@ def near_duplicates(
 
     sizes = items.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        wanted = texts(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        return _shingle_sets(wanted, options.shingle).dropDuplicates(["id"])
+
     def check(pairs: DataFrame) -> DataFrame:
         left = sizes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("ga"))
         right = sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
@@ -175,16 +210,30 @@ def near_duplicates(
             & (apart <= options.radius)
         )
         near = scratch.keep(near.select("a", "b"), "near")
-        ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = _shingle_sets(texts(docs).join(ids, "doc_id", "left_semi"), options.shingle)
-        sets = scratch.keep(sets.dropDuplicates(["id"]), "sets")
+        ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
+        sets = scratch.keep(sets_of(ids), "sets")
         both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         return _similar(both, options.threshold_percent)
 
+    def check_blocks(probes: DataFrame, members: DataFrame) -> DataFrame:
+        probes = scratch.keep(probes, "probes")
+        asked = members.join(probes.select("component").distinct(), "component", "left_semi")
+        ids = probes.select("id").union(asked.select("id")).distinct()
+        sets = scratch.keep(sets_of(ids), "sets")
+        sizes_ = asked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+        placed = asked.join(sizes_, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        blocks = placed.join(sets, "id").groupBy("component", "block").agg(
+            F.collect_list(F.struct("id", "shingles")).alias("members")
+        )
+        spread = probes.join(sizes_, "component").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        rows = spread.select("id", "component", "block").join(sets, "id").join(blocks, ["component", "block"])
+        with arrow_rows(scratch.spark, BLOCK):
+            return scratch.keep(_similar_in_blocks(rows, options.threshold_percent), "in_blocks")
+
     keys = items.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    found = linked_groups(scratch, keys, check)
-    scratch.drop("near", "sets")
+    found = linked_groups(scratch, keys, check, check_blocks)
+    scratch.drop("near", "sets", "probes")
     classes = items.join(found, items.doc_id == found.id, "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cashcycle.sources.storage import new_path
@@ -30,3 +33,15 @@ class Scratch:
             if path is not None:
                 place = context._jvm.org.apache.hadoop.fs.Path(path)
                 place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs that run inside hand their Python tasks batches of at most ``n`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
