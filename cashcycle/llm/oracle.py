@@ -28,4 +28,19 @@ ORACLES: dict[str, str] = {
         SELECT z.doc_id, z.n AS n_shingles, coalesce(k.c, z.doc_id) AS component_id, coalesce(k.c, z.doc_id) = z.doc_id AS kept
         FROM sized z LEFT JOIN classes k ON list_sort(z.s) = k.s
     """,
+    "op10_embedding_dedup": """
+        WITH RECURSIVE vectors AS (SELECT vec_id, min(embedding)::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL GROUP BY vec_id),
+        usable AS (
+            SELECT vec_id, e FROM vectors
+            WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+            ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.95),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        smallest AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT v.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, s.c AS component_id, s.c = v.vec_id AS kept
+        FROM vectors v JOIN smallest s ON s.a = v.vec_id LEFT JOIN counted k ON k.a = v.vec_id
+    """,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cashcycle.llm import toxicity
 from cashcycle.llm.contamination import find_leaks
+from cashcycle.llm.embeddings import linked_vectors
 from cashcycle.llm.langid import identify
 from cashcycle.llm.lines import remove_repeated_lines
 from cashcycle.llm.minhash import NearDuplicateOptions, near_duplicates
@@ -55,6 +56,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), PackOptions(path))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -68,6 +73,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_language_id,
         op8_line_dedup,
         op9_packing,
+        op10_embedding_dedup,
         pipeline,
     ]
     return {f.__name__: f for f in named}
