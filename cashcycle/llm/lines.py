@@ -2,8 +2,8 @@
 
 A line is a run of text between line feeds. It is normalised to its words: letters in
 lower case (A-Z and the Latin-1 capitals), digits as 0, everything else of ASCII a
-separator. Lines of fewer than ``min_words`` words are left alone. A line's SimHash has 64
-bits, cut into ``blocks`` blocks: lines within ``distance`` bits agree in at least
+separator. Lines of fewer than ``min_words`` words are left alone. A line's SimHash of its
+words, the longer ones with more weight, has 64 bits, cut into ``blocks`` blocks: lines within ``distance`` bits agree in at least
 ``blocks - distance`` blocks, so every choice of that many blocks is a key. Candidates are
 linked when their bits differ in at most ``distance`` places and the Levenshtein distance
 of the normalised lines is at most ``1 - similarity`` of the longer one.
@@ -26,6 +26,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,15 +81,26 @@ def line_offsets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return edges, np.searchsorted(starts, offsets)
 
 
-def _simhashes(words: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _weights(lengths: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Words of four bytes and more weigh by length, up to 6: the short ones are common
+    words, which make unlike lines alike. A line of short words only counts them all."""
+    weights = np.clip(lengths - 3, 0, 6).astype(np.uint8)
+    blank = np.add.reduceat(weights, first, dtype=np.int64) == 0
+    weights[np.repeat(blank, counts)] = 1
+    return weights
+
+
+def _simhashes(words: np.ndarray, weights: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
     out = np.empty(len(first), np.uint64)
     step = 4096
     for lo in range(0, len(first), step):
         hi = min(lo + step, len(first))
         a, b = first[lo], first[hi - 1] + counts[hi - 1]
         bits = np.unpackbits(words[a:b].view(np.uint8).reshape(-1, 8), axis=1)
+        bits *= weights[a:b, None]
         ones = np.add.reduceat(bits, first[lo:hi] - a, axis=0, dtype=np.int32)
-        out[lo:hi] = np.packbits(2 * ones > counts[lo:hi, None], axis=1).view(np.uint64)[:, 0]
+        total = np.add.reduceat(weights[a:b], first[lo:hi] - a, dtype=np.int32)
+        out[lo:hi] = np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64)[:, 0]
     return out
 
 
@@ -109,7 +121,8 @@ def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
                 place = np.arange(len(words)) - np.repeat(begin, counts)
                 factor = stream(31, int(counts.max())) | np.uint64(1)
                 codes = mix(np.add.reduceat(words * factor[place], begin) + counts.astype(np.uint64))
-                simhashes = _simhashes(words, begin, counts)
+                weights = _weights(ends - starts, begin, counts)
+                simhashes = _simhashes(words, weights, begin, counts)
                 documents = np.searchsorted(first_line, numbers, "right") - 1
                 keep = counts >= options.min_words
                 documents = documents[keep]
@@ -202,10 +215,17 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
 def remove_repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataFrame:
     """``docs`` with one occurrence left of each group of repeated lines."""
 
+    # Texts meet their removals packed: half the bytes to shuffle.
+    @F.pandas_udf("binary")
+    def packed(text: pd.Series) -> pd.Series:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return text.map(lambda t: None if t is None else pack(t.encode("utf-8", "surrogatepass")))
+
     @F.pandas_udf("string")
     def without(text: pd.Series, removed: pd.Series) -> pd.Series:
-        out = []
-        for whole, gone in zip(text, removed, strict=True):
+        unpack, out = zstandard.ZstdDecompressor().decompress, []
+        for data, gone in zip(text, removed, strict=True):
+            whole = None if data is None else unpack(data).decode("utf-8", "surrogatepass")
             if whole is not None and gone is not None and len(gone):
                 gone = {int(g) for g in gone}
                 whole = "\n".join(x for k, x in enumerate(whole.split("\n")) if k not in gone)
@@ -214,11 +234,10 @@ def remove_repeated_lines(docs: DataFrame, options: LineOptions | None = None) -
 
     gone = repeated_lines(docs, options).groupBy(F.col("doc_id").alias("__id"))
     gone = gone.agg(F.collect_set("line").alias("__gone"))
-    joined = docs.join(gone, F.col("doc_id") == F.col("__id"), "left")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(without("text", "__gone"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    changed = [text.alias("text") if c == "text" else v for c, v in zip(docs.columns, columns, strict=True)]
-    out = joined.select(*changed)
+    columns = [packed("text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    joined = docs.select(*columns).join(gone, F.col("doc_id") == F.col("__id"), "left")
+    columns = [without("text", "__gone").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    out = joined.select(*columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
