@@ -16,6 +16,7 @@ from cashcycle.llm.langid import identify
 from cashcycle.llm.lines import remove_repeated_lines
 from cashcycle.llm.minhash import NearDuplicateOptions, near_duplicates
 from cashcycle.llm.packing import PackOptions, pack
+from cashcycle.llm.repeats import remove_repeats
 from cashcycle.llm.secrets import find_secrets, secret_digest
 from cashcycle.llm.tables import fold_of, read
 
@@ -28,6 +29,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs.filter(fold_of("doc_id", 3) != 1), read(spark, sf_dir, "labels"))
@@ -68,6 +73,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op2_minhash,
         op3_decontamination,
+        op4_repeats,
         op5_toxicity,
         op6_secrets,
         op7_language_id,

@@ -118,6 +118,20 @@ def span_hashes(
     return mix(total * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def prefix_sums(buf: np.ndarray) -> np.ndarray:
+    """Sums of bytes times powers of a base, from which any range can be hashed."""
+    power, _ = _power_tables(len(buf) + 1)
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE[buf] * power[: len(buf)], out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of the bytes that ``prefix_sums`` was taken of."""
+    _, inverse = _power_tables(len(sums))
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of a document's ``size``-word shingles in order; with fewer words the
     whole sequence is one; without words there is none."""
