@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cashcycle.llm import toxicity
+from cashcycle.llm import scoring, toxicity
 from cashcycle.llm.contamination import find_leaks
 from cashcycle.llm.embeddings import linked_vectors
 from cashcycle.llm.langid import identify
@@ -21,6 +21,15 @@ from cashcycle.llm.secrets import find_secrets, secret_digest
 from cashcycle.llm.tables import fold_of, read
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    options = scoring.ScoringOptions(public_tokenizers.path("word_bpe_49k.json"))
+    scored = scoring.score(docs, docs.filter(fold_of("doc_id", 7) != 2), options)
+    held_out = (fold_of("doc_id", 7) == 2).alias("held_out")
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held_out, *columns)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), NearDuplicateOptions(shingle=2))
 
@@ -71,6 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
+        op1_lm_scoring,
         op2_minhash,
         op3_decontamination,
         op4_repeats,
