@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import linked_groups
 from cashcycle.llm.scratch import Scratch
-from cashcycle.llm.tables import texts
+from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, mix, span_hashes, stream, word_spans
 
 SIMHASH_BITS = 64
@@ -155,12 +155,14 @@ def _line_texts(docs: DataFrame) -> DataFrame:
     """(id, words) of the asked-for lines of each row: their normalised text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches):
             ids, words = [], []
             asked = batch.column("asked").to_pylist()
             for text, wanted in zip(batch.column("text").to_pylist(), asked, strict=True):
                 lines = text.encode().split(b"\n")
                 for want in wanted:
+                    if want["line"] >= len(lines):
+                        continue  # of another row with this id
                     line = np.frombuffer(lines[want["line"]], np.uint8)
                     ids.append(want["code"])
                     words.append(b" ".join(normalise(line).tobytes().split()).decode("utf-8", "replace"))
@@ -181,27 +183,30 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     )
     items = scratch.keep(items, "items")
 
+    tables: dict[str, DataFrame] = {}
+
+    def prepare(ids: DataFrame) -> None:
+        ids = scratch.keep(ids.withColumnRenamed("id", "code"), "ids")
+        wanted = items.join(ids, "code", "left_semi")
+        tables["bits"] = scratch.keep(wanted.select("code", "simhash"), "bits")
+        asked = wanted.groupBy(F.col("first.doc_id").alias("doc_id"))
+        asked = asked.agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "code")).alias("asked"))
+        tables["words"] = scratch.keep(_line_texts(packed_texts(docs).join(asked, "doc_id")), "words")
+
     def check(pairs: DataFrame) -> DataFrame:
-        bits = items.select("code", "simhash")
+        bits, words = tables["bits"], tables["words"]
         near = pairs.join(bits.select(F.col("code").alias("a"), F.col("simhash").alias("ha")), "a")
         near = near.join(bits.select(F.col("code").alias("b"), F.col("simhash").alias("hb")), "b")
         near = near.filter(F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= options.distance)
-        near = scratch.keep(near.select("a", "b"), "near")
-        codes = near.select(F.col("a").alias("code")).union(near.select("b")).distinct()
-        asked = items.join(codes, "code").groupBy(F.col("first.doc_id").alias("doc_id"))
-        asked = asked.agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "code")).alias("asked"))
-        found = texts(docs)
-        words = _line_texts(found.join(asked, "doc_id").filter("text IS NOT NULL"))
-        words = scratch.keep(words, "words")
-        both = near.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
+        both = near.select("a", "b").join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
         both = both.join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
         most = F.floor(F.greatest(F.length("wa"), F.length("wb")) * F.lit(1 - options.similarity) + 1e-9).cast("int")
         both = both.withColumn("most", most)
         return both.filter("levenshtein(wa, wb, most) >= 0").select("a", "b").distinct()
 
     keys = items.select(F.explode(block_keys(options)).alias("key"), F.col("code").alias("id"))
-    found = linked_groups(scratch, keys, check)
-    scratch.drop("near", "words")
+    found = linked_groups(scratch, keys, prepare, check)
+    scratch.drop("words", "bits", "ids")
     grouped = items.join(found, items.code == found.id, "left")
     grouped = grouped.withColumn("group", F.coalesce("component", "code"))
     kept = grouped.groupBy("group").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))

@@ -19,9 +19,13 @@ from pyspark.sql import functions as F
 from cashcycle.llm.scratch import Scratch
 
 
-def _state(edges: DataFrame) -> tuple:
-    code = F.xxhash64("a", "b").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(code)).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Each a has one b, and no b is an a."""
+    sides = edges.select(F.col("a").alias("id"), F.lit(1).alias("below")).union(
+        edges.select(F.col("b").alias("id"), F.lit(0).alias("below"))
+    )
+    seen = sides.groupBy("id").agg(F.sum("below").alias("below"), F.min("below").alias("least"))
+    return seen.filter("below > 1 OR (below = 1 AND least = 0)").isEmpty()
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:
@@ -31,26 +35,20 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = scratch.keep(edges.filter("a <> b").distinct(), "edges0")
-    state, turn = _state(edges), 0
-    while state[0]:
+    turn = 0
+    while not _is_stars(edges):
         turn += 1
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = both.join(least, "a").filter("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = least.select("a", F.col("m").alias("b"))
         edges = scratch.keep(small.union(stars).distinct(), f"edges{turn}")
         scratch.drop(f"edges{turn - 1}")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     members = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
-    found = scratch.keep(members.union(roots), "components")
-    scratch.drop(f"edges{turn}")
-    return found
+    return members.union(roots)
 
 
 def _sized(keys: DataFrame, found: DataFrame) -> DataFrame:
@@ -84,34 +82,34 @@ def _delegates(found: DataFrame, n: int, seed: int) -> DataFrame:
 def linked_groups(
     scratch: Scratch,
     keys: DataFrame,
+    prepare: Callable[[DataFrame], None],
     check: Callable[[DataFrame], DataFrame],
     check_blocks: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-    rounds: tuple[int, ...] = (4, 16),
+    delegates: int = 8,
 ) -> DataFrame:
     """(id, component) of items that share a key and pass ``check``, transitively.
 
-    ``keys`` is (key, id), distinct. ``check`` takes pairs (a, b), a and b different, and
-    returns those that are linked. ``check_blocks`` takes (id, component) and the members
-    (id, component) and returns the links of each id with members of that component;
-    without it these pairs go to ``check``. Items without links are left out.
+    ``keys`` is (key, id), distinct. ``prepare`` gets the ids that share a key at all, once.
+    ``check`` takes pairs (a, b), a and b different, and returns those that are linked.
+    ``check_blocks`` takes (id, component) and the members (id, component) and returns the
+    links of each id with members of that component; without it these pairs go to
+    ``check``. Items without links are left out.
     """
     shared = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
     shared = shared.filter("lead < last").select("key", "lead")
     members = scratch.keep(keys.join(shared, "key"), "members")
+    prepare(members.select("id").distinct())
     stars = members.filter("id <> lead").groupBy("id").agg(F.min("lead").alias("lead"))
-    links = scratch.keep(check(stars.select(F.col("lead").alias("a"), F.col("id").alias("b"))), "links0")
+    links = scratch.keep(check(stars.select(F.col("lead").alias("a"), F.col("id").alias("b"))), "links_stars")
     members = members.select("key", "id")
-    found = components(scratch, links)
-    every = links
-    for turn, n in enumerate(rounds, 1):
-        apart = scratch.keep(_sized(members, found), "apart")
-        pairs = _probes(apart).join(_delegates(found, n, turn), "component")
-        more = scratch.keep(check(pairs.select(F.col("delegate").alias("a"), F.col("id").alias("b"))), f"links{turn}")
-        if more.isEmpty():
-            continue
-        every = every.union(more)
-        found = components(scratch, every)
-    apart = scratch.keep(_sized(members, found), "apart")
+    found = scratch.keep(components(scratch, links), "groups1")
+    apart = scratch.keep(_sized(members, found), "apart1")
+    pairs = _probes(apart).join(_delegates(found, delegates, 1), "component")
+    more = scratch.keep(check(pairs.select(F.col("delegate").alias("a"), F.col("id").alias("b"))), "links_delegates")
+    if not more.isEmpty():
+        links = links.union(more)
+        found = scratch.keep(components(scratch, links), "groups2")
+        apart = scratch.keep(_sized(members, found), "apart2")
     probes = _probes(apart)
     if check_blocks is None:
         whole = found.select("component", F.col("id").alias("member"))
@@ -119,14 +117,14 @@ def linked_groups(
         last = check(pairs)
     else:
         last = check_blocks(probes, found)
-    last = scratch.keep(last, "last_groups")
     single = apart.filter("size = 1").select("key", "id")
     own = single.groupBy("id").agg(F.collect_set("key").alias("keys"))
     single = single.join(own, "id")
     x, y = single.alias("x"), single.alias("y")
     first = "x.key = y.key AND x.id < y.id AND array_min(array_intersect(x.keys, y.keys)) = x.key"
     pairs = x.join(y, F.expr(first)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    singles = scratch.keep(check(pairs), "last_singles")
-    last = last.union(singles)
-    scratch.drop("members", "apart")
-    return found if last.isEmpty() else components(scratch, every.union(last))
+    last = scratch.keep(last.union(check(pairs)), "links_last")
+    scratch.drop("members", "apart1", "apart2")
+    if last.isEmpty():
+        return found
+    return scratch.keep(components(scratch, links.union(last)), "groups3")

@@ -4,10 +4,12 @@ A document is the set of its distinct ``shingle``-word shingles. Its signature h
 ``chunks * chunk_size`` MinHash values of 16 bits. Two signatures that differ in at most
 ``chunks * (errors + 1) - 1`` values have, by pigeonhole, a chunk with at most ``errors``
 differing values; every way to leave ``errors`` values out of a chunk is enumerated as a
-key, so such a pair always shares a key. With 10 chunks of 4 values and one error, all pairs
-within distance 19 of 40 are found: at Jaccard similarity 0.8 the mean distance is 8, and
-one pair in 50,000 lies beyond 19. Candidates are confirmed on the full sets, read again
-from the texts of candidate documents only.
+key, so such a pair always shares a key. With 9 chunks of 6 values and one error, all pairs
+within distance 17 of 54 are found, and most beyond: a pair of Jaccard similarity 0.8 has a
+mean distance of 10.8 and shares no key once in 14,000. Candidates further apart than
+``max_distance`` (four and a half standard deviations more) are dropped, the others confirmed
+on the full sets, read again from the texts of documents that share a key. A key holds
+five values, so documents that only have a common passage seldom share one.
 
 Documents with equal sets form one item before keys are made, so a group of copies of any
 size costs one row. ``linking.linked_groups`` keeps groups of near copies from meeting in
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import linked_groups
 from cashcycle.llm.scratch import Scratch, arrow_rows
-from cashcycle.llm.tables import texts
+from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 
 
@@ -40,9 +42,10 @@ from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 class NearDuplicateOptions:
     shingle: int = 5
     threshold_percent: int = 80
-    chunks: int = 10
-    chunk_size: int = 4
+    chunks: int = 9
+    chunk_size: int = 6
     errors: int = 1
+    max_distance: int = 24
 
     @property
     def values(self) -> int:
@@ -122,14 +125,16 @@ def shingle_features(docs: DataFrame, options: NearDuplicateOptions) -> DataFram
     )
 
 
-def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+def _shingle_sets(packed: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of packed texts: the sorted hashes as bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked(batches):
             for rows, buf, offsets in chunks(batch):
                 sets = [s.tobytes() for s in document_shingles(buf, offsets, size)]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _binary(sets)], ["id", "shingles"])
 
-    return texts(docs).mapInArrow(run, "id long, shingles binary")
+    return packed.mapInArrow(run, "id long, shingles binary")
 
 
 def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -195,45 +200,44 @@ def near_duplicates(
     )
     items = scratch.keep(items.select("digest", "item.*"), "items")
 
-    sizes = items.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+    tables: dict[str, DataFrame] = {}
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = texts(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        return _shingle_sets(wanted, options.shingle).dropDuplicates(["id"])
+    def prepare(ids: DataFrame) -> None:
+        ids = scratch.keep(ids, "ids")
+        brief = items.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+        tables["brief"] = scratch.keep(brief.join(ids, "id", "left_semi"), "brief")
+        wanted = packed_texts(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        tables["sets"] = scratch.keep(_shingle_sets(wanted, options.shingle).dropDuplicates(["id"]), "sets")
 
     def check(pairs: DataFrame) -> DataFrame:
-        left = sizes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("ga"))
-        right = sizes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
+        brief, sets = tables["brief"], tables["sets"]
+        left = brief.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("ga"))
+        right = brief.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
         apart = F.expr("size(filter(zip_with(ga, gb, (x, y) -> x <> y), d -> d))")
         near = pairs.join(left, "a").join(right, "b").filter(
             F.expr(f"100 * least(na, nb) >= {options.threshold_percent} * greatest(na, nb)")
-            & (apart <= options.radius)
+            & (apart <= options.max_distance)
         )
-        near = scratch.keep(near.select("a", "b"), "near")
-        ids = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-        sets = scratch.keep(sets_of(ids), "sets")
-        both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+        both = near.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         return _similar(both, options.threshold_percent)
 
     def check_blocks(probes: DataFrame, members: DataFrame) -> DataFrame:
-        probes = scratch.keep(probes, "probes")
+        sets, probes = tables["sets"], scratch.keep(probes, "probes")
         asked = members.join(probes.select("component").distinct(), "component", "left_semi")
-        ids = probes.select("id").union(asked.select("id")).distinct()
-        sets = scratch.keep(sets_of(ids), "sets")
-        sizes_ = asked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-        placed = asked.join(sizes_, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        blocks_of = asked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+        placed = asked.join(blocks_of, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
         blocks = placed.join(sets, "id").groupBy("component", "block").agg(
             F.collect_list(F.struct("id", "shingles")).alias("members")
         )
-        spread = probes.join(sizes_, "component").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        spread = probes.join(blocks_of, "component").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
         rows = spread.select("id", "component", "block").join(sets, "id").join(blocks, ["component", "block"])
         with arrow_rows(scratch.spark, BLOCK):
             return scratch.keep(_similar_in_blocks(rows, options.threshold_percent), "in_blocks")
 
     keys = items.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    found = linked_groups(scratch, keys, check, check_blocks)
-    scratch.drop("near", "sets", "probes")
+    found = linked_groups(scratch, keys, prepare, check, check_blocks)
+    scratch.drop("sets", "probes", "ids", "brief")
     classes = items.join(found, items.doc_id == found.id, "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -52,9 +52,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its ``n + 1`` offsets; nulls are empty."""
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_binary()) if pa.types.is_large_string(column.type) else (
-        column.cast(pa.binary()).cast(pa.large_binary())
-    )
+    column = column.cast(pa.large_binary())
     n = len(column)
     if n == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
