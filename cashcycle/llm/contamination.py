@@ -2,7 +2,7 @@
 
 Seeds are an item's ``gram``-word n-grams (A-Z as a-z); an item of fewer words is one
 seed. A first pass over all documents counts in how many of them each seed occurs. An item
-keeps its rare half: the seeds at or below the median of its counts, so common word
+keeps its rare half: of the seeds that occur, those at or below their median count, so common word
 sequences fall out at any corpus size while a passage copied into many documents keeps its
 seeds. A second pass finds the rare seeds in each document, aligns the words around each
 with the item's (match 1, mismatch and gap -1) and reports the best alignment that
@@ -229,7 +229,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions | Non
         owners: dict[int, list[tuple[int, int]]] = {}
         for number, item in enumerate(items):
             own = counts[np.searchsorted(every.hashes, item.grams)]
-            for inside in np.flatnonzero(own <= np.median(own)):
+            met = own > 0
+            for inside in np.flatnonzero(met & (own <= np.median(own[met]))) if met.any() else ():
                 owners.setdefault(int(item.grams[inside]), []).append((number, int(inside)))
         rare = Seeds(np.array(sorted(owners), np.uint64))
         shared = (rare, [owners[int(h)] for h in rare.hashes], items)

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import numpy as np
+from texts_data import smallest_reachable
+
+from cashcycle.llm.embeddings import EmbeddingOptions, linked_vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def vectors():
+    draw = np.random.default_rng(9)
+    rows = [draw.normal(size=32) for _ in range(300)]
+    rows += [rows[k % 20] + draw.normal(size=32) * (0.02 + 0.004 * k) for k in range(80)]
+    hot = draw.normal(size=32)
+    rows += [hot * (1 + 0.1 * k) + draw.normal(size=32) * 0.05 for k in range(120)]
+    return [(k, [float(np.float32(x)) for x in v], 0) for k, v in enumerate(rows)]
+
+
+AWKWARD = [
+    (9000, None, 1),
+    (9001, [], 1),
+    (9002, [0.0] * 32, 1),
+    (9003, [float("nan")] + [1.0] * 31, None),
+    (9004, [None] + [1.0] * 31, 1),
+    (9005, [1e30] * 32, 1),
+    (9006, [1.0] * 32, 1),
+    (9007, [1.0] * 31, 1),
+    (9008, [float("inf")] * 32, 1),
+]
+
+
+def test_against_brute_force(spark):
+    rows = vectors()
+    docs = spark.createDataFrame(rows + AWKWARD, SCHEMA).withColumnRenamed("label", "unit").repartition(3)
+    found = {r.vec_id: r for r in linked_vectors(docs, EmbeddingOptions(list_block=40, query_block=30)).collect()}
+    x = np.array([r[1] for r in rows])
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    links = np.argwhere(np.triu(x @ x.T >= 0.95, 1)).tolist()
+    degree = np.bincount(np.array(links).reshape(-1), minlength=len(rows))
+    label = smallest_reachable(range(len(rows)), links)
+    assert len(found) == len(rows) + len(AWKWARD)
+    assert len(links) > 5000
+    share = sum(found[k].n_links for k in range(len(rows))) / degree.sum()
+    assert 0.99 <= share <= 1
+    assert all(found[k].n_links <= degree[k] for k in range(len(rows)))
+    assert np.mean([found[k].component_id == label[k] for k in range(len(rows))]) > 0.99
+    assert found[9005].n_links == found[9006].n_links == 1 and found[9006].component_id == 9005
+    for k in (9000, 9001, 9002, 9003, 9004, 9007, 9008):
+        assert (found[k].n_links, found[k].component_id, found[k].kept) == (0, k, True)
+
+
+def test_empty(spark):
+    assert linked_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+    only = spark.createDataFrame([(1, None, 1), (1, None, 1)], SCHEMA)
+    assert [tuple(r) for r in linked_vectors(only).collect()] == [(1, 0, 1, True)]

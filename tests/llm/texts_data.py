@@ -1,0 +1,59 @@
+"""Small documents with every awkward case, and plain versions of what the operators compute."""
+
+from __future__ import annotations
+
+import random
+import re
+
+WORDS = "ab cde fgh ijkl mno pqrst uvw xyz lorem ipsum dolor amet sit elit sed eius tempor".split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def prose(seed: int, n: int, size: int = 400) -> str:
+    draw = random.Random(seed)
+    made = ["".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 8))) for _ in range(size)]
+    return " ".join(draw.choice(made) for _ in range(n))
+
+
+def edited(text: str, seed: int, share: float) -> str:
+    draw = random.Random(seed)
+    return " ".join("edit%d" % draw.randint(0, 10**6) if draw.random() < share else w for w in text.split())
+
+
+def rows_of(found) -> list[tuple]:
+    return [(i, t, "xx", "s", None if t is None else len(t)) for i, t in found]
+
+
+def awkward() -> list[tuple]:
+    base, other = prose(1, 300), prose(2, 120)
+    texts = [(k, edited(base, k, 0.01 * (k % 9))) for k in range(40)]
+    texts += [(100 + k, base) for k in range(15)]
+    texts += [(200, None), (201, ""), (202, " \n\t "), (203, "one"), (204, "ONE"), (205, "two words"), (206, "é É ß")]
+    texts += [(300, other), (301, other.upper()), (302, prose(3, 30000)), (303, other + " " + prose(4, 5))]
+    texts += [(400, other), (400, other)]
+    return rows_of(texts)
+
+
+def words(text: str | None) -> list[str]:
+    return WORD.findall((text or "").translate(FOLD))
+
+
+def shingles(text: str | None, size: int) -> set[tuple]:
+    own = words(text)
+    size = min(size, len(own))
+    return {tuple(own[k : k + size]) for k in range(len(own) - size + 1)} if own else set()
+
+
+def smallest_reachable(nodes, links) -> dict:
+    label = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
