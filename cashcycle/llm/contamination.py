@@ -5,8 +5,8 @@ seed. A first pass over all documents counts in how many of them each seed occur
 keeps its rare half: of the seeds that occur, those at or below their median count, so common word
 sequences fall out at any corpus size while a passage copied into many documents keeps its
 seeds. A second pass finds the rare seeds in each document, aligns the words around each
-with the item's (match 1, mismatch and gap -1) and reports the best alignment that
-scores at least ``share`` of the item's words.
+with the item's (match 2, mismatch and gap -1) and reports the best alignment that
+scores at least ``share`` of what the whole item would.
 
 The benchmark is taken in slices of about ``slice_chars`` characters, each broadcast to the
 tasks that read the documents; a larger benchmark takes more passes. Documents are
@@ -39,6 +39,7 @@ class LeakOptions:
     slice_chars: int = 4_000_000
 
 
+MATCH = 2
 _FILTER_BITS = 20
 
 
@@ -83,7 +84,7 @@ def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int]:
     origin = columns.copy()
     best, where = 0, (0, 0)
     for word in item:
-        step = np.where(text == word, 1, -1)
+        step = np.where(text == word, MATCH, -1)
         down, cross = score - 1, score[:-1] + step
         new, start = down.copy(), origin.copy()
         better = cross >= new[1:]
@@ -186,7 +187,7 @@ def _find(docs: DataFrame, shared, sizes: list[int], options: LeakOptions) -> Da
                     a, b = max(lo, begin - length // 2), min(hi, begin + 2 * length)
                     done[document, item] = begin + length // 2 + 1
                     score, first, last = align(words[a:b], items[item].words)
-                    if score >= options.share * length:
+                    if score >= options.share * MATCH * length:
                         row = (score, first + a - lo, last + a - lo)
                         if row[0] > found.get((document, item), (0,))[0]:
                             found[document, item] = row
@@ -194,7 +195,7 @@ def _find(docs: DataFrame, shared, sizes: list[int], options: LeakOptions) -> Da
                     continue
                 ids = rows.column("doc_id").to_pylist()
                 out = [
-                    (ids[d], items[i].item_id, s / len(items[i].words), s, f, e)
+                    (ids[d], items[i].item_id, s / (MATCH * len(items[i].words)), s, f, e)
                     for (d, i), (s, f, e) in found.items()
                 ]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]

@@ -11,7 +11,7 @@ def plain_score(text, item):
     for w in item:
         new = [0]
         for k, t in enumerate(text):
-            new.append(max(0, row[k] + (1 if t == w else -1), row[k + 1] - 1, new[k] - 1))
+            new.append(max(0, row[k] + (2 if t == w else -1), row[k + 1] - 1, new[k] - 1))
         best, row = max(best, *new), new
     return best
 
