@@ -39,7 +39,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         help="report date as yyyymmdd, default yesterday",
     )
     parser.add_argument("--watchlist", help="CSV of grass_region, supplier_name")
-    parser.add_argument("--tables", nargs="+", choices=ALL_TABLES, default=ALL_TABLES)
+    parser.add_argument("--tables", nargs="+", choices=ALL_TABLES, help="default: all")
     parser.add_argument("--calendar-months", action="store_true")
     parser.add_argument("--out", required=True, help="folder for the report tables")
     return parser.parse_args(arguments)
@@ -59,8 +59,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         rows = extract(read_mart(spark, args.mart), span, args.regions)
         if args.save_extract:
             write_extract(rows, args.save_extract)
+            rows = read_extract(spark, args.save_extract)
     watchlist = read_watchlist(spark, args.watchlist) if args.watchlist else None
-    report = report_on_extract(rows, args.date, watchlist, options, args.tables)
+    report = report_on_extract(
+        rows, args.date, watchlist, options, args.tables, args.regions
+    )
     return write_report(report, args.out)
 
 

@@ -577,7 +577,8 @@ SELECT * FROM matrix LEFT JOIN category USING (grass_region, supplier_name)""",
     "monthly_cogs_sheet": sheet(
         zero_sums_of("cogs_usd", "cogs", END_MONTHS), "cogs_usd", END_MONTHS_EXTRACT
     ),
-    "regional_tracking": TRACKING + "\nSELECT * FROM tracking",
+    "regional_tracking": TRACKING
+    + "\nSELECT * FROM tracking WHERE grass_region IN ('AFRICA', 'EUROPE', 'MIDDLE EAST')",
     "monthly_tracking": ctes(
         END_MONTHS_EXTRACT,
         CATEGORY,
@@ -586,3 +587,10 @@ SELECT * FROM matrix LEFT JOIN category USING (grass_region, supplier_name)""",
     )
     + "\nSELECT * FROM tracking",
 }
+
+ORACLES |= {
+    "report_working_capital": ORACLES["working_capital_days"],
+    "report_coverage": ORACLES["period_coverage"].replace(
+        "SELECT DISTINCT grass_region FROM ex", "SELECT r_name AS grass_region FROM region"
+    ),
+}

@@ -64,6 +64,7 @@ MID_MONTH = ReportPeriods(date(1998, 11, 18))
 MONTH_END = ReportPeriods(date(1996, 3, 31))
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+SOME_REGIONS = ("AFRICA", "EUROPE", "MIDDLE EAST")
 UNLISTED_REGION = "EUROPE"
 WATCHED_BALANCE = 4000
 
@@ -90,7 +91,7 @@ def extract_rows(
 ) -> DataFrame:
     """Extract rows with the supplier, the day and the given columns only."""
     wanted = [c for c in EXTRACT_COLUMNS if c in {*KEYS, DAY, *columns}]
-    mart = star_mart(spark, path, [*wanted, PURCHASE_TYPE])
+    mart = star_mart(spark, path, [*wanted, PURCHASE_TYPE], outright=True)
     return extract(mart, span, columns=wanted)
 
 
@@ -380,7 +381,7 @@ def _sheet(measure: str) -> Query:
         columns = {measure, CATEGORY, INVENTORY}
         source = extract_rows(spark, path, list(columns))
         cells = category_cells(source, measure)
-        daily = daily_totals(cells, (measure,))
+        daily = stage(daily_totals(cells, (measure,)), "daily")
         spans = (
             MID_MONTH.inbound_windows()
             if measure == INBOUND
@@ -442,13 +443,13 @@ scorecard = _scorecard(MID_MONTH, P.ROLLING_30)
 
 
 def scorecard_display(spark: SparkSession, path: str) -> DataFrame:
-    return scorecards.display(scorecard(spark, path))
+    return scorecards.display(scorecard(spark, path), digits=4)
 
 
 def regional_tracking(spark: SparkSession, path: str) -> DataFrame:
-    """The tracking table of a full report run for a list of regions."""
+    """The tracking table of a full report run for some of the regions."""
     mart = star_mart(spark, path, MART_COLUMNS)
-    report = run_report(mart, MID_MONTH.as_of, REGIONS, tables=["tracking"])
+    report = run_report(mart, MID_MONTH.as_of, SOME_REGIONS, tables=["tracking"])
     return report["tracking"]
 
 
@@ -467,7 +468,7 @@ def monthly_cogs_sheet(spark: SparkSession, path: str) -> DataFrame:
         spark, path, [CATEGORY, COGS, INVENTORY], MONTH_END.monthly_extract_span
     )
     cells = category_cells(source, COGS)
-    daily = daily_totals(cells, (COGS,))
+    daily = stage(daily_totals(cells, (COGS,)), "daily")
     return sheet(
         daily,
         snapshot.main_category(cells),
@@ -477,6 +478,16 @@ def monthly_cogs_sheet(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _report_table(name: str) -> Query:
+    """One table of a full report run for all regions, asked for by name."""
+
+    def query(spark: SparkSession, path: str) -> DataFrame:
+        mart = star_mart(spark, path, MART_COLUMNS)
+        return run_report(mart, MID_MONTH.as_of, REGIONS, tables=[name])[name]
+
+    return query
+
+
 QUERIES: Mapping[str, Query] = {
     "mart_extract": mart_extract,
     "extract_roundtrip": extract_roundtrip,
@@ -545,6 +556,8 @@ QUERIES: Mapping[str, Query] = {
     "monthly_cogs_sheet": monthly_cogs_sheet,
     "regional_tracking": regional_tracking,
     "monthly_tracking": monthly_tracking,
+    "report_working_capital": _report_table("working_capital"),
+    "report_coverage": _report_table("coverage"),
 }
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cashcycle.functions.money import total
 from cashcycle.functions.periods import Span
 
 
@@ -33,9 +34,14 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def in_window(span: Span, measure: str) -> Column:
+    """The measure in a window, 0 where it is missing; NULL outside."""
+    return F.when(span.contains(), zero_if_missing(measure))
+
+
 def sum_in(span: Span, measure: str) -> Column:
     """Sum over the rows of a window; NULL if the window has no row."""
-    return F.sum(F.when(span.contains(), zero_if_missing(measure)))
+    return total(in_window(span, measure))
 
 
 def mean_in(span: Span, measure: str) -> Column:
@@ -45,4 +51,4 @@ def mean_in(span: Span, measure: str) -> Column:
     division.
     """
     value = F.when(span.contains(), F.col(measure))
-    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
+    return F.try_divide(total(value).cast("double"), F.count(value).cast("double"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.functions.measures import zero_if_missing
-from cashcycle.functions.money import from_whole, to_whole, whole_scales
+from cashcycle.functions.money import to_whole, total, whole_types
 from cashcycle.functions.periods import Span
 from cashcycle.operators.rows import (
     BLACK_INVENTORY,
@@ -38,15 +38,16 @@ def supplier_day_cells(
     sources |= {SKU_ROWS: SKU_ROWS, BLACK_INVENTORY: INVENTORY}
     for label in windows:
         sources |= {repln_column(label): INBOUND, green_column(label): INBOUND}
-    scales = whole_scales(rows, MEASURES)
-    totals = (
-        with_additive_measures(to_whole(rows, scales), windows)
+    whole = whole_types(rows, MEASURES)
+    return (
+        with_additive_measures(to_whole(rows, whole), windows)
         .groupBy(*KEYS, DAY, CATEGORY, terms)
-        .agg(*[F.sum(name).alias(name) for name in sources])
-    )
-    return from_whole(
-        totals,
-        {name: scales[source] for name, source in sources.items() if source in scales},
+        .agg(
+            *[
+                total(F.col(name), whole.get(source)).alias(name)
+                for name, source in sources.items()
+            ]
+        )
     )
 
 
@@ -57,10 +58,14 @@ def daily_totals(
 
     ``by`` adds further columns to the grouping.
     """
-    scales = whole_scales(cells, measures)
-    totals = (
-        to_whole(cells, scales)
+    whole = whole_types(cells, measures)
+    return (
+        to_whole(cells, whole)
         .groupBy(*KEYS, DAY, *by)
-        .agg(*[F.sum(zero_if_missing(name)).alias(name) for name in measures])
+        .agg(
+            *[
+                total(zero_if_missing(name), whole.get(name)).alias(name)
+                for name in measures
+            ]
+        )
     )
-    return from_whole(totals, scales)

@@ -12,6 +12,8 @@ from cashcycle.schema import DAY, KEYS
 def daily_matrix(daily: DataFrame, measure: str, span: Span) -> DataFrame:
     """One column per day of ``span``; NULL where the supplier has no rows.
 
+    Several rows of a supplier and day, such as cells, are added up.
+
     The days are given, so Spark needs no extra job to find them, and a day on
     which nobody has rows still gets its column. Pivoting on the day itself keeps the
     partitioning of the daily totals.
@@ -22,7 +24,7 @@ def daily_matrix(daily: DataFrame, measure: str, span: Span) -> DataFrame:
         .select(*KEYS, DAY, measure)
         .groupBy(*KEYS)
         .pivot(DAY, days)
-        .agg(F.first(measure))
+        .agg(F.sum(measure))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +11,24 @@ from cashcycle.functions.periods import ReportPeriods, Span
 from cashcycle.schema import DAY, KEYS, REGION
 
 
-def period_coverage(rows: DataFrame, periods: ReportPeriods) -> DataFrame:
-    """For every region and period end, how many rows there are and whether any."""
+def period_coverage(
+    rows: DataFrame, periods: ReportPeriods, regions: Iterable[str] | None = None
+) -> DataFrame:
+    """For every region and period end, how many rows there are and whether any.
+
+    Of ``regions``, if given, those without any row are listed too, with 0 rows.
+    """
     counts = rows.groupBy(REGION).agg(
         *[
             F.sum(F.when(F.col(DAY) == F.lit(end), 1).otherwise(0)).alias(label)
             for label, end in periods.ends.items()
         ]
     )
+    if regions is not None:
+        asked = rows.sparkSession.createDataFrame(
+            [(name,) for name in sorted(set(regions))], f"{REGION} string"
+        )
+        counts = asked.join(counts, REGION, "left").fillna(0)
     end_of = F.create_map(
         *[part for label, end in periods.ends.items() for part in (F.lit(label), F.lit(end))]
     )

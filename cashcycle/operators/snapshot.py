@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cashcycle.functions.money import total
 from cashcycle.functions.periods import Span
 from cashcycle.operators.cells import daily_totals
 from cashcycle.operators.rows import SKU_ROWS, snapshot_rows
@@ -59,12 +60,12 @@ def snapshot_totals(cells: DataFrame, as_of: date) -> DataFrame:
     by_terms = (
         snapshot_rows(cells, as_of)
         .groupBy(*KEYS, TERMS)
-        .agg(*[F.sum(name).alias(name) for name in (SKU_ROWS, UNITS, INVENTORY)])
+        .agg(*[total(F.col(name)).alias(name) for name in (SKU_ROWS, UNITS, INVENTORY)])
     )
     return by_terms.groupBy(*KEYS).agg(
         F.sum(SKU_ROWS).alias(SKU_COUNT),
         F.sum(UNITS).alias(UNIT_COUNT),
-        F.sum(INVENTORY).alias(INVENTORY),
+        total(F.col(INVENTORY)).alias(INVENTORY),
         F.min(TERMS).alias(TERMS),
     )
 

@@ -6,12 +6,14 @@ All windows of a table are conditional aggregates of one grouping.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashcycle.functions.measures import mean_in, safe_ratio, sum_in
-from cashcycle.functions.money import from_whole, to_whole, whole_scales
+from cashcycle.functions.measures import in_window, mean_in, safe_ratio, sum_in
+from cashcycle.functions.money import to_whole, total, whole_types
 from cashcycle.functions.periods import ReportPeriods, Span
 from cashcycle.operators.rows import BLACK_INVENTORY, green_column, repln_column
 from cashcycle.schema import (
@@ -31,14 +33,16 @@ PREFIX = {COGS: "cogs", INBOUND: "inb", INVENTORY: "inv", PAYABLES: "payable"}
 
 def window_sums(rows: DataFrame, sums: Mapping[str, tuple[str, Span]]) -> DataFrame:
     """Sums per supplier: output name -> (measure, window). Rows may be of any grain."""
-    scales = whole_scales(rows, {measure for measure, _ in sums.values()})
-    totals = (
-        to_whole(rows, scales)
+    whole = whole_types(rows, {measure for measure, _ in sums.values()})
+    return (
+        to_whole(rows, whole)
         .groupBy(*KEYS)
-        .agg(*[sum_in(span, m).alias(name) for name, (m, span) in sums.items()])
-    )
-    return from_whole(
-        totals, {name: scales[m] for name, (m, _) in sums.items() if m in scales}
+        .agg(
+            *[
+                total(in_window(span, m), whole.get(m)).alias(name)
+                for name, (m, span) in sums.items()
+            ]
+        )
     )
 
 
@@ -104,7 +108,8 @@ def black_stock(measured: DataFrame, periods: ReportPeriods) -> DataFrame:
 
 
 def _is_period_end(periods: ReportPeriods) -> Column:
-    return F.col(DAY).isin(list(periods.ends.values()))
+    """Single equalities, which reach the files; a list of cast dates would not."""
+    return reduce(or_, (F.col(DAY) == F.lit(end) for end in periods.ends.values()))
 
 
 def l30_inventory_days(rows: DataFrame, periods: ReportPeriods) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from cashcycle.functions.periods import ROLLING_30, SHORT_DAYS, ReportPeriods, Span
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
+from cashcycle.operators.quality import period_coverage
 from cashcycle.operators.rows import rows_in
 from cashcycle.operators.snapshot import (
     main_category,
@@ -21,6 +22,7 @@ from cashcycle.operators.windows import (
     calendar_metrics,
     period_metrics,
     scorecard_sums,
+    working_capital_days,
 )
 from cashcycle.plans.scorecard import scorecard
 from cashcycle.plans.sheets import matrix_table, sheet
@@ -33,7 +35,7 @@ from cashcycle.schema import (
     REGION,
     SUPPLIER,
 )
-from cashcycle.sources.mart import CSV_OPTIONS, extract
+from cashcycle.sources.mart import CSV_OPTIONS, extract, without_line_breaks
 from cashcycle.sources.storage import stage
 
 #: Report tables that hold one matrix each.
@@ -45,7 +47,13 @@ MATRICES = {
 }
 
 SUPPLIER_TABLES = ("tracking", "tracking_yaml", "scorecard")
-ALL_TABLES = (*SUPPLIER_TABLES, *MATRICES, *(f"sheet_{name}" for name in MATRICES))
+ALL_TABLES = (
+    *SUPPLIER_TABLES,
+    *MATRICES,
+    *(f"sheet_{name}" for name in MATRICES),
+    "working_capital",
+    "coverage",
+)
 
 
 @dataclass(frozen=True)
@@ -75,14 +83,28 @@ def run_report(
     regions: Iterable[str] | None = None,
     watchlist: DataFrame | None = None,
     options: ReportOptions = ReportOptions(),
-    tables: Iterable[str] = ALL_TABLES,
+    tables: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The report tables for one date, for all or some regions, keyed by name.
 
     ``tables`` limits the report to the tables asked for.
     """
+    wanted = asked_tables(tables, options)
+    regions = None if regions is None else list(regions)
     rows = extract(mart, options.span(ReportPeriods(as_of)), regions)
-    return report_on_extract(rows, as_of, watchlist, options, tables)
+    return report_on_extract(rows, as_of, watchlist, options, wanted, regions)
+
+
+def asked_tables(tables: Iterable[str] | None, options: ReportOptions) -> tuple[str, ...]:
+    """The tables to make: by default all there are with these options."""
+    missing = {"scorecard"} if options.calendar_months else set()
+    if tables is None:
+        return tuple(name for name in ALL_TABLES if name not in missing)
+    tables = tuple(tables)
+    unknown = [name for name in tables if name not in ALL_TABLES or name in missing]
+    if unknown:
+        raise ValueError(f"this report has no table {', '.join(unknown)}")
+    return tables
 
 
 def report_on_extract(
@@ -90,7 +112,8 @@ def report_on_extract(
     as_of: date,
     watchlist: DataFrame | None = None,
     options: ReportOptions = ReportOptions(),
-    tables: Iterable[str] = ALL_TABLES,
+    tables: Iterable[str] | None = None,
+    regions: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The report tables from extract rows, such as a cached extract.
 
@@ -99,13 +122,14 @@ def report_on_extract(
     The rows are read once for the supplier-day cells, which feed every table, and
     once more over the brand days, whose de-duplication needs whole rows. Tables that
     others build on are written to shared storage, so that writing the report repeats
-    no work. The calendar-month report has no scorecard.
+    no work. The calendar-month report has no scorecard. ``regions`` are those that the
+    coverage table lists even if they have no rows.
     """
     periods = ReportPeriods(as_of)
     span = options.span(periods)
     rows = rows_in(rows, span)
     windows = periods.inbound_windows(options.month_window)
-    wanted = set(tables)
+    wanted = set(asked_tables(tables, options))
 
     cells = supplier_day_cells(rows, as_of, windows)
     if wanted <= {"tracking", "tracking_yaml"}:
@@ -131,8 +155,12 @@ def report_on_extract(
             report["scorecard"] = scorecard(
                 watched, scorecard_sums(cells, periods, windows)
             )
-    if wanted - set(SUPPLIER_TABLES):
+    if "coverage" in wanted:
+        report["coverage"] = period_coverage(rows, periods, regions)
+    if wanted - set(SUPPLIER_TABLES) - {"coverage"}:
         daily = stage(daily_totals(cells), "daily")
+    if "working_capital" in wanted:
+        report["working_capital"] = working_capital_days(daily, periods)
     for name, measure in MATRICES.items():
         if name in wanted:
             report[name] = matrix_table(daily, categories, measure, span)
@@ -163,9 +191,11 @@ def write_report(
     """
     folders = {}
     for name, table in tables.items():
+        table = without_line_breaks(table) if fmt == "csv" else table
         folders[name] = f"{path.rstrip('/')}/{name}"
+        order = [c for c in (REGION, SUPPLIER) if c in table.columns]
         writer = (
-            table.orderBy(REGION, SUPPLIER)
+            table.orderBy(*order)
             .write.mode("overwrite")
             .partitionBy(REGION)
             .format(fmt)

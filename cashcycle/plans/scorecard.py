@@ -12,7 +12,8 @@ from cashcycle.operators.rows import green_column, repln_column
 from cashcycle.plans.tracking import TRACKING_COLUMNS
 from cashcycle.schema import KEYS, NOT_AVAILABLE
 
-DISPLAY_NUMBER = T.DecimalType(28, 4)
+LONGEST_FRACTION = 14
+
 
 
 def scorecard(tracking: DataFrame, sums: DataFrame) -> DataFrame:
@@ -40,13 +41,17 @@ def scorecard(tracking: DataFrame, sums: DataFrame) -> DataFrame:
     )
 
 
-def display(table: DataFrame) -> DataFrame:
-    """All columns as text: numbers with four decimals, missing values as N/A."""
+def display(table: DataFrame, digits: int | None = None) -> DataFrame:
+    """All columns as text, missing values as N/A.
+
+    Numbers have all their digits; ``digits`` rounds them to so many decimals.
+    """
     columns = []
     for field in table.schema.fields:
         value = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            value = value.cast(DISPLAY_NUMBER)
+        number = isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType))
+        if number and digits is not None:
+            value = value.cast(T.DecimalType(38 - LONGEST_FRACTION + digits, digits))
         columns.append(
             F.coalesce(value.cast("string"), F.lit(NOT_AVAILABLE)).alias(field.name)
         )

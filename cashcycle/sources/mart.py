@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,10 +13,12 @@ from cashcycle.schema import (
     DAY,
     EXTRACT_COLUMNS,
     EXTRACT_SCHEMA,
+    MEASURES,
     OUTRIGHT,
     PURCHASE_TYPE,
     REGION,
     SUPPLIER,
+    UNITS,
 )
 
 # Values are written as they are: no trimming, quotes doubled.
@@ -35,9 +37,10 @@ def extract(
     regions: Iterable[str] | None = None,
     columns: Sequence[str] = EXTRACT_COLUMNS,
 ) -> DataFrame:
-    """Outright rows with a supplier in a range of days, for some or all regions."""
+    """Outright rows with a supplier and a region in a range of days."""
     rows = mart.where(
         F.col(SUPPLIER).isNotNull()
+        & F.col(REGION).isNotNull()
         & span.contains()
         & (F.col(PURCHASE_TYPE) == OUTRIGHT)
     )
@@ -47,7 +50,7 @@ def extract(
 
 
 def write_mart(df: DataFrame, path: str) -> None:
-    """Write the mart partitioned by region and day.
+    """Write the mart partitioned by region and day; other regions and days stay.
 
     The rebalance hint gathers each partition's rows into few files and splits a
     partition that is too large for one task.
@@ -55,6 +58,7 @@ def write_mart(df: DataFrame, path: str) -> None:
     (
         df.hint("rebalance", REGION, DAY)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(REGION, DAY)
         .parquet(path)
     )
@@ -67,8 +71,47 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def without_line_breaks(df: DataFrame) -> DataFrame:
+    """The same rows; a text value with a line break fails the job that meets it."""
+
+    def checked(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        error = F.raise_error(F.lit(f"{name} has a line break; write Parquet instead"))
+        return F.when(value.rlike("[\\r\\n]"), error.cast("string")).otherwise(value).alias(name)
+
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[checked(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, infer: Iterable[str] = ()
+) -> DataFrame:
+    """The schema's columns of CSV files, found by the names in their header.
+
+    Columns named in ``infer`` get the type that Spark infers, all others the schema's.
+    Missing columns and malformed rows are errors.
+    """
+    infer = set(infer)
+    found = spark.read.options(**CSV_OPTIONS, inferSchema=bool(infer)).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in found.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    declared = {f.name: f.dataType for f in schema.fields if f.name not in infer}
+    ordered = T.StructType(
+        [T.StructField(f.name, declared.get(f.name, f.dataType)) for f in found.schema.fields]
+    )
+    rows = spark.read.schema(ordered).options(**CSV_OPTIONS, mode="FAILFAST", enforceSchema=False)
+    return rows.csv(path).select(*schema.names)
+
+
 def write_extract(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Export an extract; CSV parts carry a header line each."""
+    """Export an extract; CSV parts carry a header line each.
+
+    CSV files are read in parallel, which line breaks in values would break up: such
+    values are an error. Parquet takes them.
+    """
+    if fmt == "csv":
+        df = without_line_breaks(df)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.options(**CSV_OPTIONS).csv(path)
@@ -82,8 +125,9 @@ def read_extract(
     fmt: str = "csv",
     schema: T.StructType | None = EXTRACT_SCHEMA,
 ) -> DataFrame:
-    """Read a cached extract; ``schema=None`` lets Spark infer CSV types."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    """Read a cached extract; ``schema=None`` lets Spark infer the measures of CSV files."""
     if fmt == "csv":
-        return reader.options(**CSV_OPTIONS, inferSchema=schema is None).csv(path)
+        infer = (*MEASURES, UNITS) if schema is None else ()
+        return read_csv(spark, path, schema or EXTRACT_SCHEMA, infer)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.format(fmt).load(path)

@@ -105,10 +105,15 @@ _JOINS = {
 
 
 def star_mart(
-    spark: SparkSession, path: str, columns: Sequence[str] = MART_COLUMNS
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] = MART_COLUMNS,
+    outright: bool = False,
 ) -> DataFrame:
     """The mart columns asked for, joined from the star tables under ``path``.
 
+    ``outright`` leaves consignment lines in the files, by the column that tells them.
+
     No join carries a hint: Spark broadcasts a dimension while its files are under
     the session's broadcast threshold and shuffles beyond it, where adaptive
     execution splits skewed keys.
@@ -116,6 +121,8 @@ def star_mart(
     exprs = _mart_columns()
     needed = {dim for name in columns for dim in exprs[name][0]}
     rows = read_table(spark, path, "lineitem")
+    if outright:
+        rows = rows.where("l_returnflag <> 'R' OR l_returnflag IS NULL")
     for dim, (left, key) in _JOINS.items():
         if dim in needed:
             table = read_table(spark, path, dim)

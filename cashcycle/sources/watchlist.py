@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cashcycle.schema import REGION, SUPPLIER
+from cashcycle.sources.mart import read_csv
 
 WATCHLIST_SCHEMA = T.StructType(
     [T.StructField(REGION, T.StringType()), T.StructField(SUPPLIER, T.StringType())]
@@ -32,7 +33,9 @@ def watchlist_from_mapping(
 
 
 def read_watchlist(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    return spark.read.schema(WATCHLIST_SCHEMA).format(fmt).load(path, header=True)
+    if fmt == "csv":
+        return read_csv(spark, path, WATCHLIST_SCHEMA)
+    return spark.read.schema(WATCHLIST_SCHEMA).format(fmt).load(path)
 
 
 def read_watchlist_yaml(spark: SparkSession, path: str) -> DataFrame:

@@ -7,11 +7,18 @@ from decimal import Decimal
 
 import pytest
 from marts import AS_OF, mart
+from pyspark.sql import functions as F
 
 from cashcycle import ReportPeriods, extract, run_report, write_report
 from cashcycle.schema import EXTRACT_SCHEMA
 from cashcycle.sources import storage
-from cashcycle.sources.mart import read_extract, read_mart, write_extract, write_mart
+from cashcycle.sources.mart import (
+    CSV_OPTIONS,
+    read_extract,
+    read_mart,
+    write_extract,
+    write_mart,
+)
 from cashcycle.sources.watchlist import read_watchlist, read_watchlist_yaml
 
 SPAN = ReportPeriods(AS_OF).extract_span
@@ -152,3 +159,52 @@ def test_staged_table_is_read_from_the_written_copy(spark):
 
 def test_dates_survive(typed_extract):
     assert typed_extract.first().grass_date == date(2019, 11, 18)
+
+
+def awkward_extract(spark):
+    row = dict.fromkeys(EXTRACT_SCHEMA.names)
+    names = ['PT ""Maju"", Tbk', "a,b", "  padded  ", "O'Neil \\ Söhne"]
+    rows = [row | {"supplier_name": n, "grass_region": "VN", "sku_id": f"00{k}"} for k, n in enumerate(names)]
+    return spark.createDataFrame([tuple(r[c] for c in EXTRACT_SCHEMA.names) for r in rows], EXTRACT_SCHEMA)
+
+
+def test_line_breaks_fail_as_csv_and_pass_as_parquet(spark, tmp_path):
+    broken = awkward_extract(spark).withColumn("supplier_name", F.concat("supplier_name", F.lit("\nB")))
+    with pytest.raises(Exception, match="line break"):
+        write_extract(broken, f"{tmp_path}/csv")
+    write_extract(broken, f"{tmp_path}/parquet", "parquet")
+    copy = read_extract(spark, f"{tmp_path}/parquet", "parquet")
+    assert sorted(copy.collect()) == sorted(broken.collect())
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    source = awkward_extract(spark)
+    shuffled = source.select(*sorted(source.columns, reverse=True), F.lit(1).alias("more"))
+    write_extract(shuffled, f"{tmp_path}/x")
+    assert sorted(map(str, read_extract(spark, f"{tmp_path}/x").collect())) == sorted(map(str, source.collect()))
+    with pytest.raises(ValueError, match="sku_id"):
+        write_extract(source.drop("sku_id"), f"{tmp_path}/y")
+        read_extract(spark, f"{tmp_path}/y")
+
+
+def test_inferred_copy_keeps_text(spark, tmp_path):
+    write_extract(awkward_extract(spark), f"{tmp_path}/x")
+    copy = read_extract(spark, f"{tmp_path}/x", schema=None)
+    assert sorted(r.sku_id for r in copy.collect()) == ["000", "001", "002", "003"]
+
+
+def test_watchlist_with_quotes_and_other_order(spark, tmp_path):
+    rows = [("VN", 'PT ""Maju"", Tbk'), ("ID", "a, b")]
+    table = spark.createDataFrame(rows, "grass_region string, supplier_name string")
+    table.select("supplier_name", "grass_region").write.options(**CSV_OPTIONS).csv(f"{tmp_path}/w")
+    assert sorted(map(tuple, read_watchlist(spark, f"{tmp_path}/w").collect())) == sorted(rows)
+
+
+def test_writing_a_day_keeps_the_others(spark, tmp_path):
+    for day in (date(2019, 1, 1), date(2019, 1, 2)):
+        rows = awkward_extract(spark).withColumns(
+            {"grass_date": F.lit(day), "purchase_type": F.lit("Outright")}
+        )
+        write_mart(rows, f"{tmp_path}/mart")
+    found = read_mart(spark, f"{tmp_path}/mart").groupBy("grass_date").count().collect()
+    assert sorted(r["count"] for r in found) == [4, 4]

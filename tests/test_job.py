@@ -31,7 +31,7 @@ def mart_path(spark, tmp_path):
 def test_default_date_is_yesterday():
     args = parse(["--mart", "m", "--out", "o"])
     assert args.date == date.today() - timedelta(days=1)
-    assert (args.regions, tuple(args.tables)) == (None, ALL_TABLES)
+    assert (args.regions, args.tables) == (None, None)
 
 
 def test_mart_and_cached_extract_give_the_same_report(spark, mart_path, tmp_path):

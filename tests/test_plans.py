@@ -6,11 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from cashcycle.catalog import queries as catalog
 from cashcycle.operators.cells import supplier_day_cells
 
-QUERIES = driver.queries()
+QUERIES = catalog.registered()
 
 
 def plan_of(df) -> str:
@@ -76,3 +75,23 @@ def test_flow_windows_are_one_shuffle(spark, sf_dir):
     for name in ("cogs_trailing", "inbound_trailing", "monthly_flow_sums", "replenishment"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ["eop_inventory", "black_stock"])
+def test_only_the_period_ends_are_read(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
+    assert scan.count("Or(") >= 1 or "OR" in scan, scan
+
+
+def test_consignment_lines_stay_in_the_files(spark, sf_dir):
+    plan = plan_of(QUERIES["mart_extract"](spark, sf_dir))
+    scan = next(line for line in plan.splitlines() if "lineitem.parquet" in line)
+    assert "l_returnflag" in scan.split("PushedFilters")[1]
+
+
+@pytest.mark.parametrize("name", ["sheet_cogs", "sheet_inventory", "monthly_cogs_sheet"])
+def test_sheets_read_written_daily_totals(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert "lineitem" not in plan
+    assert "daily-" in plan

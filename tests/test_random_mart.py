@@ -79,7 +79,9 @@ def mart(spark, tmp_path_factory):
 def on_random_mart(spark, mart, monkeypatch):
     table = spark.read.schema(MART_DDL).parquet(mart)
     monkeypatch.setattr(
-        catalog, "star_mart", lambda spark, path, columns: table.select(*columns)
+        catalog,
+        "star_mart",
+        lambda spark, path, columns, outright=False: table.select(*columns),
     )
     watchlist = table.where("sku_id = '1' AND grass_region <> 'EUROPE'").select(*KEYS)
     monkeypatch.setattr(catalog, "star_watchlist", lambda spark, path: watchlist)

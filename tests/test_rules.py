@@ -7,15 +7,17 @@ from decimal import Decimal
 
 import pytest
 from marts import AS_OF, by_supplier, mart
-from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cashcycle import ReportPeriods, Span, extract, run_report
+from cashcycle.functions.money import total
 from cashcycle.functions.periods import CALENDAR
 from cashcycle.operators import brands, quality, rows, snapshot, windows
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
 from cashcycle.operators.matrices import daily_matrix, matrix_to_long
 from cashcycle.operators.watchlist import on_watchlist
+from cashcycle.plans.report import ReportOptions
 from cashcycle.plans.scorecard import display
 from cashcycle.sources.watchlist import WATCHLIST_SCHEMA, watchlist_from_mapping
 
@@ -123,7 +125,7 @@ def test_scorecard_of_supplier_without_history(spark):
     assert (card.black_inv_m1, card.black_inv_m0, card.black_inv_m0_perc) == (None, 1, 1)
     assert card.l30_inv_days is None
     shown = display(report["scorecard"]).first()
-    assert (shown.inb_repln_m2_perc, shown.black_inv_m0_perc) == ("N/A", "1.0000")
+    assert (shown.inb_repln_m2_perc, shown.black_inv_m0_perc) == ("N/A", "1.0")
 
 
 # --- extract ---------------------------------------------------------------------
@@ -364,24 +366,77 @@ def test_decimals_are_summed_exactly(spark):
     source = mart(spark, {}, {}, {"grass_date": days_ago(1)})
     source = with_money(source, text, "decimal(18,4)")
     daily = daily_totals(source, ("cogs_usd",))
-    assert dict(daily.dtypes)["cogs_usd"] == "decimal(18,4)"
+    assert dict(daily.dtypes)["cogs_usd"] == "decimal(28,4)"
     assert sorted(row.cogs_usd for row in daily.collect()) == [Decimal(text), 2 * Decimal(text)]
     sums = windows.period_sums(source, "cogs_usd", PERIODS.trailing_windows()).first()
     assert sums.cogs_m0 == 3 * Decimal(text)
     assert sums.cogs_m2 is None
 
 
-def test_too_large_totals_are_exact_or_an_error(spark):
+def test_totals_are_exact_beyond_the_digits_of_the_measure(spark):
     text = "99999999999999.9999"
     source = mart(spark, *[{} for _ in range(20)])
     narrow = with_money(source, text, "decimal(18,4)")
     wide = with_money(source, text, "decimal(20,4)")
-    with pytest.raises(ArithmeticException):
-        daily_totals(narrow, ("cogs_usd",)).collect()
-    assert daily_totals(wide, ("cogs_usd",)).first().cogs_usd == 20 * Decimal(text)
-    spark.conf.set("spark.sql.ansi.enabled", "false")
+    for table in (narrow, wide):
+        assert daily_totals(table, ("cogs_usd",)).first().cogs_usd == 20 * Decimal(text)
+
+
+# --- totals of any size, and nothing left out silently -----------------------------
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_beyond_eighteen_digits(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        big = Decimal("60000000000000.0000")
+        kind = "decimal(18,4)"
+        source = mart(spark, {}, {}).withColumns(
+            {"cogs_usd": F.lit(big).cast(kind), "inventory_value_usd": F.lit(-big).cast(kind)}
+        )
+        daily = daily_totals(supplier_day_cells(extract(source, PERIODS.extract_span), AS_OF, {}))
+        row = daily.first()
+        assert (row.cogs_usd, row.inventory_value_usd) == (2 * big, -2 * big)
+        direct = daily_totals(extract(source, PERIODS.extract_span))
+        assert direct.schema["cogs_usd"].dataType == T.DecimalType(28, 4)
+        assert direct.first().cogs_usd == 2 * big
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_totals_fail_rather_than_vanish(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        total = daily_totals(narrow, ("cogs_usd",)).first().cogs_usd
+        wide = Decimal("9e33")
+        rows = spark.createDataFrame([(wide,)] * 20, "x decimal(38,4)")
+        with pytest.raises(Exception):
+            rows.agg(total(F.col("x")).alias("x")).collect()
+        assert rows.limit(1).agg(total(F.col("x")).alias("x")).first().x == wide
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
-    assert total == 20 * Decimal(text)
+
+
+def test_matrix_adds_rows_of_a_day(spark):
+    source = mart(spark, {"cogs_usd": 1.0}, {"cogs_usd": 5.0})
+    matrix = daily_matrix(extract(source, PERIODS.extract_span), "cogs_usd", Span(AS_OF, AS_OF))
+    assert matrix.first()[AS_OF.isoformat()] == 6
+
+
+def test_unknown_and_unavailable_tables_are_errors(spark):
+    source = mart(spark, {})
+    with pytest.raises(ValueError, match="trakcing"):
+        run_report(source, AS_OF, tables=["trakcing"])
+    with pytest.raises(ValueError, match="scorecard"):
+        run_report(source, AS_OF, options=ReportOptions(calendar_months=True), tables=["scorecard"])
+
+
+def test_rows_without_region_are_left_out(spark):
+    source = mart(spark, {"grass_region": None}, {})
+    assert extract(source, PERIODS.extract_span).count() == 1
+
+
+def test_coverage_lists_regions_without_rows(spark):
+    report = run_report(mart(spark, {}), AS_OF, ["XX", "R1"], tables=["coverage"])
+    found = {(r.grass_region, r.n_rows) for r in report["coverage"].collect()}
+    assert ("XX", 0) in found
