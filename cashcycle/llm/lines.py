@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import linked_groups
@@ -188,25 +188,26 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     def prepare(ids: DataFrame) -> None:
         ids = scratch.keep(ids.withColumnRenamed("id", "code"), "ids")
         wanted = items.join(ids, "code", "left_semi")
-        tables["bits"] = scratch.keep(wanted.select("code", "simhash"), "bits")
         asked = wanted.groupBy(F.col("first.doc_id").alias("doc_id"))
         asked = asked.agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "code")).alias("asked"))
         tables["words"] = scratch.keep(_line_texts(packed_texts(docs).join(asked, "doc_id")), "words")
 
     def check(pairs: DataFrame) -> DataFrame:
-        bits, words = tables["bits"], tables["words"]
-        near = pairs.join(bits.select(F.col("code").alias("a"), F.col("simhash").alias("ha")), "a")
-        near = near.join(bits.select(F.col("code").alias("b"), F.col("simhash").alias("hb")), "b")
-        near = near.filter(F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= options.distance)
-        both = near.select("a", "b").join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
+        words = tables["words"]
+        both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
         both = both.join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
         most = F.floor(F.greatest(F.length("wa"), F.length("wb")) * F.lit(1 - options.similarity) + 1e-9).cast("int")
         both = both.withColumn("most", most)
         return both.filter("levenshtein(wa, wb, most) >= 0").select("a", "b").distinct()
 
-    keys = items.select(F.explode(block_keys(options)).alias("key"), F.col("code").alias("id"))
-    found = linked_groups(scratch, keys, prepare, check)
-    scratch.drop("words", "bits", "ids")
+    def close(left: Column, right: Column) -> Column:
+        return F.bit_count(left.bitwiseXOR(right)) <= options.distance
+
+    keys = items.select(
+        F.explode(block_keys(options)).alias("key"), F.col("code").alias("id"), F.col("simhash").alias("bits")
+    )
+    found = linked_groups(scratch, keys, prepare, check, close=close)
+    scratch.drop("words", "ids")
     grouped = items.join(found, items.code == found.id, "left")
     grouped = grouped.withColumn("group", F.coalesce("component", "code"))
     kept = grouped.groupBy("group").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashcycle.llm.scratch import Scratch
@@ -51,13 +51,21 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     return members.union(roots)
 
 
+Close = Callable[[Column, Column], Column]
+
+
+def _any(left: Column, right: Column) -> Column:
+    return F.lit(True)
+
+
 def _sized(keys: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, component, size) of the items whose key still has several components."""
+    """The items whose key still has several components, with component and size."""
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     known = found.join(sizes, "component").select("id", "component", "size")
     known = keys.join(known, "id", "left").select(
         "key",
         "id",
+        "bits",
         F.coalesce("component", "id").alias("component"),
         F.coalesce("size", F.lit(1)).alias("size"),
     )
@@ -66,17 +74,22 @@ def _sized(keys: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _probes(apart: DataFrame) -> DataFrame:
-    """(id, component): items and larger components, not their own, that share a key."""
+    """(id, bits, component): items and larger components, not their own, that share a key."""
     groups = apart.filter("size > 1").select("key", F.col("component").alias("c"), F.col("size").alias("n")).distinct()
     other = F.expr("component <> c AND (size < n OR (size = n AND component > c))")
-    return apart.join(groups, "key").filter(other).select("id", F.col("c").alias("component")).distinct()
+    return apart.join(groups, "key").filter(other).select("id", "bits", F.col("c").alias("component")).distinct()
+
 
+def _with_bits(found: DataFrame, members: DataFrame) -> DataFrame:
+    """(component, member, other): the members of each component with their bits."""
+    bits = members.select("id", F.col("bits").alias("other")).distinct()
+    return found.join(bits, "id").select("component", F.col("id").alias("member"), "other")
 
-def _delegates(found: DataFrame, n: int, seed: int) -> DataFrame:
-    """(component, delegate): ``n`` members of each component, by hash."""
-    order = Window.partitionBy("component").orderBy(F.xxhash64("id", F.lit(seed)), "id")
-    ranked = found.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= n)
-    return ranked.select("component", F.col("id").alias("delegate"))
+
+def _delegates(whole: DataFrame, n: int) -> DataFrame:
+    """``n`` members of each component, by hash."""
+    order = Window.partitionBy("component").orderBy(F.xxhash64("member"), "member")
+    return whole.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= n).drop("at")
 
 
 def linked_groups(
@@ -85,6 +98,7 @@ def linked_groups(
     prepare: Callable[[DataFrame], None],
     check: Callable[[DataFrame], DataFrame],
     check_blocks: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    close: Close | None = None,
     delegates: int = 8,
 ) -> DataFrame:
     """(id, component) of items that share a key and pass ``check``, transitively.
@@ -93,36 +107,53 @@ def linked_groups(
     ``check`` takes pairs (a, b), a and b different, and returns those that are linked.
     ``check_blocks`` takes (id, component) and the members (id, component) and returns the
     links of each id with members of that component; without it these pairs go to
-    ``check``. Items without links are left out.
+    ``check``. With ``close``, keys have a third column ``bits``, and only pairs whose bits are
+    close can be linked: others are dropped as soon as both sides meet. Items without links
+    are left out.
     """
-    shared = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last"))
-    shared = shared.filter("lead < last").select("key", "lead")
+    if close is None:
+        close, keys = _any, keys.withColumn("bits", F.lit(0))
+    pair = F.struct("id", "bits")
+    shared = keys.groupBy("key").agg(
+        F.min(pair).alias("lead"), F.max(pair).alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    # two members that are not close: nothing to find under this key
+    some = (F.col("n") > 2) | close(F.col("lead.bits"), F.col("last.bits"))
+    shared = shared.filter((F.col("lead.id") < F.col("last.id")) & some).select("key", "lead")
     members = scratch.keep(keys.join(shared, "key"), "members")
     prepare(members.select("id").distinct())
-    stars = members.filter("id <> lead").groupBy("id").agg(F.min("lead").alias("lead"))
+    stars = members.filter((F.col("id") != F.col("lead.id")) & close(F.col("lead.bits"), F.col("bits")))
+    stars = stars.groupBy("id").agg(F.min("lead.id").alias("lead"))
     links = scratch.keep(check(stars.select(F.col("lead").alias("a"), F.col("id").alias("b"))), "links_stars")
-    members = members.select("key", "id")
+    members = members.select("key", "id", "bits")
+
+    def against(probes: DataFrame, whole: DataFrame) -> DataFrame:
+        pairs = probes.alias("p").join(
+            whole.alias("w"),
+            (F.col("p.component") == F.col("w.component")) & close(F.col("p.bits"), F.col("w.other")),
+        )
+        return check(pairs.select(F.col("member").alias("a"), F.col("id").alias("b")))
+
     found = scratch.keep(components(scratch, links), "groups1")
     apart = scratch.keep(_sized(members, found), "apart1")
-    pairs = _probes(apart).join(_delegates(found, delegates, 1), "component")
-    more = scratch.keep(check(pairs.select(F.col("delegate").alias("a"), F.col("id").alias("b"))), "links_delegates")
+    more = against(_probes(apart), _delegates(_with_bits(found, members), delegates))
+    more = scratch.keep(more, "links_delegates")
     if not more.isEmpty():
         links = links.union(more)
         found = scratch.keep(components(scratch, links), "groups2")
         apart = scratch.keep(_sized(members, found), "apart2")
     probes = _probes(apart)
     if check_blocks is None:
-        whole = found.select("component", F.col("id").alias("member"))
-        pairs = probes.join(whole, "component").select(F.col("member").alias("a"), F.col("id").alias("b"))
-        last = check(pairs)
+        last = against(probes, _with_bits(found, members))
     else:
-        last = check_blocks(probes, found)
-    single = apart.filter("size = 1").select("key", "id")
+        last = check_blocks(probes.select("id", "component"), found)
+    single = apart.filter("size = 1").select("key", "id", "bits")
     own = single.groupBy("id").agg(F.collect_set("key").alias("keys"))
     single = single.join(own, "id")
     x, y = single.alias("x"), single.alias("y")
-    first = "x.key = y.key AND x.id < y.id AND array_min(array_intersect(x.keys, y.keys)) = x.key"
-    pairs = x.join(y, F.expr(first)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    first = F.expr("x.key = y.key AND x.id < y.id AND array_min(array_intersect(x.keys, y.keys)) = x.key")
+    pairs = x.join(y, first & close(F.col("x.bits"), F.col("y.bits")))
+    pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     last = scratch.keep(last.union(check(pairs)), "links_last")
     scratch.drop("members", "apart1", "apart2")
     if last.isEmpty():
