@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cashcycle.functions.periods import ReportPeriods
+from cashcycle.functions.periods import CALENDAR, ROLLING_30, ReportPeriods
 from cashcycle.plans.report import (
     ALL_TABLES,
     ReportOptions,
@@ -41,6 +41,11 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--watchlist", help="CSV of grass_region, supplier_name")
     parser.add_argument("--tables", nargs="+", choices=ALL_TABLES, help="default: all")
     parser.add_argument("--calendar-months", action="store_true")
+    parser.add_argument("--month-window", choices=(ROLLING_30, CALENDAR), default=ROLLING_30)
+    parser.add_argument("--distinct-skus", action="store_true")
+    parser.add_argument("--category-on-report-date", action="store_true")
+    parser.add_argument("--brand-ties", action="store_true")
+    parser.add_argument("--clean-brands", action="store_true")
     parser.add_argument("--out", required=True, help="folder for the report tables")
     return parser.parse_args(arguments)
 
@@ -48,7 +53,13 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     """Write the report tables; returns their folders by name."""
     options = ReportOptions(
-        calendar_months=args.calendar_months, brand_days=31 if args.calendar_months else 30
+        month_window=args.month_window,
+        brand_days=31 if args.calendar_months else 30,
+        distinct_skus=args.distinct_skus,
+        category_on_report_date=args.category_on_report_date,
+        brand_ties=args.brand_ties,
+        clean_brands=args.clean_brands,
+        calendar_months=args.calendar_months,
     )
     if args.extract:
         rows = read_extract(spark, args.extract)

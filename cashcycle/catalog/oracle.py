@@ -593,4 +593,38 @@ ORACLES |= {
     "report_coverage": ORACLES["period_coverage"].replace(
         "SELECT DISTINCT grass_region FROM ex", "SELECT r_name AS grass_region FROM region"
     ),
+    "monthly_payables_sheet": sheet(
+        means_of("acct_payables_usd", "payable", END_MONTHS),
+        "acct_payables_usd",
+        END_MONTHS_EXTRACT,
+    ),
+    "monthly_inventory_sheet": sheet(
+        means_of("inventory_value_usd", "inv", END_MONTHS),
+        "inventory_value_usd",
+        END_MONTHS_EXTRACT,
+    ),
+    "monthly_inbound_sheet": sheet(
+        zero_sums_of("inbound_value_usd", "inb", END_MONTHS),
+        "inbound_value_usd",
+        END_MONTHS_EXTRACT,
+    ),
+    "report_brand_ties": ctes(
+        EXTRACT,
+        CATEGORY,
+        brand_ctes(LAST_30)
+        .replace("ROW_NUMBER()", "RANK()")
+        .replace("ORDER BY n DESC, brand", "ORDER BY n DESC"),
+        tracking_cte(AS_OF),
+    )
+    + "\nSELECT * FROM tracking",
+    "report_date_category": ctes(
+        EXTRACT,
+        CATEGORY.replace(
+            f"FROM ex GROUP BY {KEYS}\n),\ncategory_values",
+            f"FROM ex WHERE grass_date = DATE '{AS_OF}' GROUP BY {KEYS}\n),\ncategory_values",
+        ),
+        brand_ctes(LAST_30),
+        tracking_cte(AS_OF),
+    )
+    + "\nSELECT * FROM tracking",
 }

@@ -463,27 +463,25 @@ def monthly_tracking(spark: SparkSession, path: str) -> DataFrame:
     return report["tracking"]
 
 
-def monthly_cogs_sheet(spark: SparkSession, path: str) -> DataFrame:
-    source = extract_rows(
-        spark, path, [CATEGORY, COGS, INVENTORY], MONTH_END.monthly_extract_span
-    )
-    cells = category_cells(source, COGS)
-    daily = stage(daily_totals(cells, (COGS,)), "daily")
-    return sheet(
-        daily,
-        snapshot.main_category(cells),
-        windows.calendar_metrics(daily, COGS, MONTH_END),
-        COGS,
-        MONTH_END.monthly_extract_span,
-    )
+def _monthly_sheet(measure: str) -> Query:
+    def query(spark: SparkSession, path: str) -> DataFrame:
+        span = MONTH_END.monthly_extract_span
+        columns = list({CATEGORY, INVENTORY, measure})
+        cells = category_cells(extract_rows(spark, path, columns, span), measure)
+        daily = stage(daily_totals(cells, (measure,)), "daily")
+        metrics = windows.calendar_metrics(daily, measure, MONTH_END)
+        return sheet(daily, snapshot.main_category(cells), metrics, measure, span)
+
+    return query
 
 
-def _report_table(name: str) -> Query:
+def _report_table(name: str, options: ReportOptions = ReportOptions()) -> Query:
     """One table of a full report run for all regions, asked for by name."""
 
     def query(spark: SparkSession, path: str) -> DataFrame:
         mart = star_mart(spark, path, MART_COLUMNS)
-        return run_report(mart, MID_MONTH.as_of, REGIONS, tables=[name])[name]
+        tables = run_report(mart, MID_MONTH.as_of, REGIONS, options=options, tables=[name])
+        return tables[name]
 
     return query
 
@@ -553,11 +551,18 @@ QUERIES: Mapping[str, Query] = {
     "sheet_cogs": _sheet(COGS),
     "sheet_inventory": _sheet(INVENTORY),
     "sheet_inbound": _sheet(INBOUND),
-    "monthly_cogs_sheet": monthly_cogs_sheet,
+    "monthly_cogs_sheet": _monthly_sheet(COGS),
+    "monthly_payables_sheet": _monthly_sheet(PAYABLES),
+    "monthly_inventory_sheet": _monthly_sheet(INVENTORY),
+    "monthly_inbound_sheet": _monthly_sheet(INBOUND),
     "regional_tracking": regional_tracking,
     "monthly_tracking": monthly_tracking,
     "report_working_capital": _report_table("working_capital"),
     "report_coverage": _report_table("coverage"),
+    "report_brand_ties": _report_table("tracking", ReportOptions(brand_ties=True)),
+    "report_date_category": _report_table(
+        "tracking", ReportOptions(category_on_report_date=True)
+    ),
 }
 
 

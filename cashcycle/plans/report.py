@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from cashcycle.functions.periods import ROLLING_30, SHORT_DAYS, ReportPeriods, Span
+from cashcycle.operators.brands import canonical_brands
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
 from cashcycle.operators.quality import period_coverage
 from cashcycle.operators.rows import rows_in
@@ -68,6 +69,10 @@ class ReportOptions:
     distinct_skus: bool = False
     #: Main category on the report date instead of each supplier's latest day.
     category_on_report_date: bool = False
+    #: Brands with equal counts share a place instead of being ranked in text order.
+    brand_ties: bool = False
+    #: Give brands written without blanks their spelling with blanks before counting.
+    clean_brands: bool = False
     #: Start at the first day of the month before last, not 90 days before its end.
     calendar_months: bool = False
 
@@ -144,7 +149,11 @@ def report_on_extract(
         categories = stage(categories, "categories")
     report = {}
     if wanted & set(SUPPLIER_TABLES):
-        brands = supplier_brands(rows, Span.trailing(as_of, options.brand_days))
+        brand_span = Span.trailing(as_of, options.brand_days)
+        branded = rows_in(rows, brand_span)
+        if options.clean_brands:
+            branded = canonical_brands(branded)
+        brands = supplier_brands(branded, brand_span, options.brand_ties)
         skus = sku_count_distinct(rows, as_of) if options.distinct_skus else None
         everyone = tracking(cells, brands, as_of, categories, skus)
         if len(wanted & set(SUPPLIER_TABLES)) > 1:

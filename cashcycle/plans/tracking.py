@@ -12,6 +12,7 @@ from cashcycle.operators.brands import (
     TOP_BRANDS,
     brand_counts,
     top_brands,
+    top_brands_ranked,
     top_brands_wide,
 )
 from cashcycle.operators.rows import SKU_ROWS
@@ -47,9 +48,14 @@ TRACKING_COLUMNS = (
 TRACKING_CELLS = (*KEYS, DAY, CATEGORY, TERMS, SKU_ROWS, UNITS, INVENTORY)
 
 
-def supplier_brands(rows: DataFrame, span: Span) -> DataFrame:
-    """The top brands of each supplier in columns."""
-    return top_brands_wide(top_brands(brand_counts(rows, span)))
+def supplier_brands(rows: DataFrame, span: Span, ties: bool = False) -> DataFrame:
+    """The top brands of each supplier in columns.
+
+    With ``ties``, brands with equal counts share a place: it shows the last of them in
+    text order, and the places they take up behind it stay empty.
+    """
+    rank = top_brands_ranked if ties else top_brands
+    return top_brands_wide(rank(brand_counts(rows, span)))
 
 
 def tracking(
