@@ -99,6 +99,7 @@ def linked_groups(
     check: Callable[[DataFrame], DataFrame],
     check_blocks: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
     close: Close | None = None,
+    brief: Callable[[], tuple[DataFrame, Close]] | None = None,
     delegates: int = 8,
 ) -> DataFrame:
     """(id, component) of items that share a key and pass ``check``, transitively.
@@ -108,8 +109,9 @@ def linked_groups(
     ``check_blocks`` takes (id, component) and the members (id, component) and returns the
     links of each id with members of that component; without it these pairs go to
     ``check``. With ``close``, keys have a third column ``bits``, and only pairs whose bits are
-    close can be linked: others are dropped as soon as both sides meet. Items without links
-    are left out.
+    close can be linked: others are dropped as soon as both sides meet. Where bits are too long
+    to go with every key, ``brief`` returns (id, brief) and what is close by it, for the pairs
+    of single items. Items without links are left out.
     """
     if close is None:
         close, keys = _any, keys.withColumn("bits", F.lit(0))
@@ -150,9 +152,14 @@ def linked_groups(
     single = apart.filter("size = 1").select("key", "id", "bits")
     own = single.groupBy("id").agg(F.collect_set("key").alias("keys"))
     single = single.join(own, "id")
+    near = close(F.col("x.bits"), F.col("y.bits"))
+    if brief is not None:
+        table, by_brief = brief()
+        single = single.join(table, "id")
+        near = near & by_brief(F.col("x.brief"), F.col("y.brief"))
     x, y = single.alias("x"), single.alias("y")
     first = F.expr("x.key = y.key AND x.id < y.id AND array_min(array_intersect(x.keys, y.keys)) = x.key")
-    pairs = x.join(y, first & close(F.col("x.bits"), F.col("y.bits")))
+    pairs = x.join(y, first & near)
     pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     last = scratch.keep(last.union(check(pairs)), "links_last")
     scratch.drop("members", "apart1", "apart2")

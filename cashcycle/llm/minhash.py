@@ -29,10 +29,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cashcycle.llm.linking import linked_groups
+from cashcycle.llm.linking import Close, linked_groups
 from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
@@ -209,15 +209,19 @@ def near_duplicates(
         wanted = packed_texts(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
         tables["sets"] = scratch.keep(_shingle_sets(wanted, options.shingle).dropDuplicates(["id"]), "sets")
 
+    def close(left: Column, right: Column) -> Column:
+        sizes = 100 * F.least(left["n"], right["n"]) >= options.threshold_percent * F.greatest(left["n"], right["n"])
+        apart = F.zip_with(left["signature"], right["signature"], lambda x, y: x != y)
+        return sizes & (F.size(F.filter(apart, lambda d: d)) <= options.max_distance)
+
+    def brief() -> tuple[DataFrame, Close]:
+        return tables["brief"].select("id", F.struct("n", "signature").alias("brief")), close
+
     def check(pairs: DataFrame) -> DataFrame:
         brief, sets = tables["brief"], tables["sets"]
-        left = brief.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("signature").alias("ga"))
-        right = brief.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
-        apart = F.expr("size(filter(zip_with(ga, gb, (x, y) -> x <> y), d -> d))")
-        near = pairs.join(left, "a").join(right, "b").filter(
-            F.expr(f"100 * least(na, nb) >= {options.threshold_percent} * greatest(na, nb)")
-            & (apart <= options.max_distance)
-        )
+        left = brief.select(F.col("id").alias("a"), F.struct("n", "signature").alias("left"))
+        right = brief.select(F.col("id").alias("b"), F.struct("n", "signature").alias("right"))
+        near = pairs.join(left, "a").join(right, "b").filter(close(F.col("left"), F.col("right")))
         both = near.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         return _similar(both, options.threshold_percent)
@@ -236,7 +240,7 @@ def near_duplicates(
             return scratch.keep(_similar_in_blocks(rows, options.threshold_percent), "in_blocks")
 
     keys = items.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    found = linked_groups(scratch, keys, prepare, check, check_blocks)
+    found = linked_groups(scratch, keys, prepare, check, check_blocks, brief=brief)
     scratch.drop("sets", "probes", "ids", "brief")
     classes = items.join(found, items.doc_id == found.id, "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
