@@ -79,7 +79,7 @@ def anchors(buf: np.ndarray, options: RepeatOptions) -> tuple[np.ndarray, ...]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     rows = texts(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.withColumn("digest", F.xxhash64("text"))
+    return rows.withColumn("digest", F.hash("text"))
 
 
 def _anchor_table(docs: DataFrame, options: RepeatOptions) -> DataFrame:
@@ -102,35 +102,70 @@ def _anchor_table(docs: DataFrame, options: RepeatOptions) -> DataFrame:
                 )
 
     return _keyed(docs).mapInArrow(
-        run, "doc_id long, digest long, first long, n int, anchor long, stretch long"
+        run, "doc_id long, digest int, first long, n int, anchor long, stretch long"
     )
 
 
-def _windows(docs: DataFrame, options: RepeatOptions) -> DataFrame:
-    """(anchor, stretch, at, window): the window hashes of the stretches asked for."""
+def _windows(packed: DataFrame, options: RepeatOptions) -> DataFrame:
+    """(window, edge, at): the window hashes of the stretches asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                sums = prefix_sums(text_buffer(row.column("text"))[0])
-                asked = row.column("asked").flatten()
-                first, n, anchor, stretch = (asked.field(c).to_numpy(zero_copy_only=False) for c in ("first", "n", "anchor", "stretch"))
+            columns = zip(batch.column("packed"), batch.column("asked"), strict=True)
+            for data, asked in columns:
+                sums = prefix_sums(np.frombuffer(unpack(data.as_py()), np.uint8))
+                first, n, anchor, edge = (
+                    asked.values.field(c).to_numpy(zero_copy_only=False) for c in ("first", "n", "anchor", "edge")
+                )
                 owner = np.repeat(np.arange(len(first)), n)
                 at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
                 start = first[owner] + at
                 hashes = range_hashes(sums, start, start + options.length)
+                # of the anchor and the window: equal windows have equal anchors
+                keys = mix(hashes + mix(anchor.view(np.uint64))[owner])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(anchor[owner]),
-                        pa.array(stretch[owner]),
-                        pa.array(at.astype(np.int32)),
-                        pa.array(hashes.view(np.int64)),
-                    ],
-                    ["anchor", "stretch", "at", "window"],
+                    [pa.array(keys.view(np.int64)), pa.array(edge[owner]), pa.array(at.astype(np.int16))],
+                    ["window", "edge", "at"],
                 )
 
-    return docs.mapInArrow(run, "anchor long, stretch long, at int, window long")
+    return packed.mapInArrow(run, "window long, edge long, at smallint")
+
+
+def _shared(windows: DataFrame) -> DataFrame:
+    """(edge, at) of windows that occur in several stretches, from rows sorted by window.
+
+    A run of equal windows is handed on row by row, so it needs no memory of its length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row: window, edge, at, whether it is known to repeat
+        names = ("window", "edge", "at")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            window, edge, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+            known = np.zeros(len(window), bool)
+            if held is not None:
+                window, edge, at = (np.append(h, x) for h, x in zip(held[:3], (window, edge, at), strict=True))
+                known = np.append(held[3], known)
+            same = window[1:] == window[:-1]
+            hit = known
+            hit[1:] |= same
+            hit[:-1] |= same
+            out = hit[:-1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(edge[:-1][out]), pa.array(at[:-1][out].astype(np.int16))], ["edge", "at"]
+            )
+            held = (window[-1:], edge[-1:], at[-1:], hit[-1:])
+        if held is not None and held[3][0]:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held[1]), pa.array(held[2].astype(np.int16))], ["edge", "at"]
+            )
+
+    n = windows.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    dealt = windows.repartition(int(n), "window").sortWithinPartitions("window")
+    return dealt.mapInArrow(run, "edge long, at smallint")
 
 
 def _cut(docs: DataFrame, with_text: bool) -> DataFrame:
@@ -178,7 +213,7 @@ def _packed(docs: DataFrame) -> DataFrame:
                 ["doc_id", "digest", "packed"],
             )
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, digest long, packed binary")
+    return _keyed(docs).mapInArrow(run, "doc_id long, digest int, packed binary")
 
 
 def repeated_windows(docs: DataFrame, options: RepeatOptions, scratch: Scratch) -> DataFrame:
@@ -195,18 +230,15 @@ def repeated_windows(docs: DataFrame, options: RepeatOptions, scratch: Scratch)
     scratch.drop("anchors")
     mixed = stretches.groupBy("anchor").agg(F.min("stretch").alias("lo"), F.max("stretch").alias("hi"), F.min("times").alias("least"))
     edges = stretches.join(mixed.filter("lo <> hi AND least = 1").select("anchor"), "anchor")
-    edges = scratch.keep(edges.select("anchor", "stretch", "times", "place.*"), "edges")
-    asked = edges.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("first", "n", "anchor", "stretch")).alias("asked"))
-    rows = _keyed(docs).join(asked, ["doc_id", "digest"]).select("text", "asked")
-    windows = scratch.keep(_windows(rows, options), "windows")
-    shared = windows.groupBy("anchor", "window").agg(F.min("stretch").alias("lo"), F.max("stretch").alias("hi"))
-    shared = shared.filter("lo <> hi").select("anchor", "window")
-    once = edges.filter("times = 1").select("anchor", "stretch", "doc_id", "digest", "first")
-    hits = windows.join(shared, ["anchor", "window"]).select("anchor", "stretch", "at").distinct()
-    hits = hits.join(once, ["anchor", "stretch"])
+    edges = edges.select(F.monotonically_increasing_id().alias("edge"), "anchor", "times", "place.*")
+    edges = scratch.keep(edges, "edges")  # written, so each edge keeps its number
+    asked = edges.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("first", "n", "anchor", "edge")).alias("asked"))
+    rows = _packed(docs).join(asked, ["doc_id", "digest"]).select("packed", "asked")
+    hits = _shared(_windows(rows, options))
+    hits = hits.join(edges.filter("times = 1").select("edge", "doc_id", "digest", "first"), "edge")
     start = F.col("first") + F.col("at")
     parts = hits.select("doc_id", "digest", start.alias("first"), (start + options.length).alias("end"))
-    return found.union(parts)
+    return found.union(scratch.keep(parts, "parts"))
 
 
 def remove_repeats(
