@@ -1,11 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Seeds are an item's ``gram``-word n-grams (A-Z as a-z); an item of fewer words is one
-seed. A first pass over all documents counts in how many of them each seed occurs. An item
-keeps its rare half: of the seeds that occur, those at or below their median count, so common word
-sequences fall out at any corpus size while a passage copied into many documents keeps its
-seeds. A second pass finds the rare seeds in each document, aligns the words around each
-with the item's (match 2, mismatch and gap -1) and reports the best alignment that
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Seeds are all of an item's ``gram``-word n-grams (A-Z as a-z); an item of fewer words is one
+seed. None is dropped for being common: how often a seed occurs says nothing about a leak
+beside it. A pass over the documents finds the seeds in each, joins what overlaps to one
+window an item, drops windows that share too few words with the item to reach the score,
+aligns the others with the item's words (match 2, mismatch and gap -1) and reports the best alignment that
 scores at least ``share`` of what the whole item would.
 
 The benchmark is taken in slices of about ``slice_chars`` characters, each broadcast to the
@@ -19,6 +18,7 @@ out of the report; ``without_leaks`` keeps them. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -119,6 +119,9 @@ class Item:
     words: np.ndarray
     grams: np.ndarray
 
+    def __post_init__(self):
+        self.kinds, self.times = np.unique(self.words, return_counts=True)
+
 
 def _items(rows: pa.Table, gram: int) -> list[Item]:
     found = []
@@ -143,24 +146,28 @@ def _slices(benchmark: DataFrame, options: LeakOptions) -> Iterator[list[Item]]:
         yield _items(part.toArrow(), options.gram)
 
 
-def _seed_counts(docs: DataFrame, seeds, sizes: list[int]) -> DataFrame:
-    """(seed, n): in how many documents each seed occurs, summed in each task first."""
+def _windows_of(places: list[int], length: int, lo: int, hi: int) -> Iterator[tuple[int, int]]:
+    """Stretches of a document, from ``lo`` to ``hi``, in which an item of ``length`` words
+    may lie that would begin at one of ``places``; those that overlap are one."""
+    first, last = None, 0
+    for begin in sorted(places):
+        a, b = max(lo, begin - length // 2), min(hi, begin + 2 * length)
+        if first is not None and a <= last:
+            last = max(last, b)
+            continue
+        if first is not None:
+            yield first, last
+        first, last = a, b
+    if first is not None:
+        yield first, last
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = seeds.value
-        counts = np.zeros(len(own.hashes), np.int64)
-        for batch in batches:
-            for _, buf, offsets in chunks(batch):
-                words, documents = _words(buf, offsets)
-                for size in sizes:
-                    grams, begin = _windows(words, documents, size)
-                    at, which = own.find(grams)
-                    pairs = np.unique(documents[begin[at]] * len(own.hashes) + which)
-                    np.add.at(counts, pairs % len(own.hashes), 1)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["seed", "n"])
 
-    return docs.select("text").mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+def most_common(text: np.ndarray, item: Item) -> int:
+    """How many words an alignment can match at most: those both have, with repeats."""
+    place = np.searchsorted(item.kinds, text)
+    place[place == len(item.kinds)] = 0
+    seen = np.bincount(place[item.kinds[place] == text], minlength=len(item.kinds))
+    return int(np.minimum(seen, item.times).sum())
 
 
 def _find(docs: DataFrame, shared, sizes: list[int], options: LeakOptions) -> DataFrame:
@@ -170,27 +177,25 @@ def _find(docs: DataFrame, shared, sizes: list[int], options: LeakOptions) -> Da
             for rows, buf, offsets in chunks(batch):
                 words, documents = _words(buf, offsets)
                 at = bounds(documents, len(offsets) - 1)
-                asked = set()
+                asked: dict[tuple[int, int], list[int]] = defaultdict(list)
                 for size in sizes:
                     grams, begin = _windows(words, documents, size)
                     hits, which = seeds.find(grams)
                     for place, seed in zip(begin[hits].tolist(), which.tolist(), strict=True):
                         for item, inside in owners[seed]:
-                            asked.add((int(documents[place]), item, place - inside))
+                            asked[int(documents[place]), item].append(place - inside)
                 found: dict[tuple[int, int], tuple] = {}
-                done: dict[tuple[int, int], int] = {}
-                for document, item, begin in sorted(asked):
+                for (document, item), places in asked.items():
                     length = len(items[item].words)
                     lo, hi = at[document], at[document + 1]
-                    if begin < done.get((document, item), begin):
-                        continue  # inside the window before
-                    a, b = max(lo, begin - length // 2), min(hi, begin + 2 * length)
-                    done[document, item] = begin + length // 2 + 1
-                    score, first, last = align(words[a:b], items[item].words)
-                    if score >= options.share * MATCH * length:
-                        row = (score, first + a - lo, last + a - lo)
-                        if row[0] > found.get((document, item), (0,))[0]:
-                            found[document, item] = row
+                    for a, b in _windows_of(places, length, lo, hi):
+                        if most_common(words[a:b], items[item]) < options.share * length:
+                            continue
+                        score, first, last = align(words[a:b], items[item].words)
+                        if score >= options.share * MATCH * length:
+                            row = (score, first + a - lo, last + a - lo)
+                            if row[0] > found.get((document, item), (0,))[0]:
+                                found[document, item] = row
                 if not found:
                     continue
                 ids = rows.column("doc_id").to_pylist()
@@ -222,19 +227,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, options: LeakOptions | Non
         if not items:
             continue
         sizes = sorted({min(options.gram, len(i.words)) for i in items})
-        every = Seeds(np.concatenate([i.grams for i in items]))
-        counted = _seed_counts(docs, spark.sparkContext.broadcast(every), sizes)
-        counts = np.zeros(len(every.hashes), np.int64)
-        for row in counted.toLocalIterator():  # at most one row a seed of this slice
-            counts[row.seed] = row.n
-        owners: dict[int, list[tuple[int, int]]] = {}
+        owners: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for number, item in enumerate(items):
-            own = counts[np.searchsorted(every.hashes, item.grams)]
-            met = own > 0
-            for inside in np.flatnonzero(met & (own <= np.median(own[met]))) if met.any() else ():
-                owners.setdefault(int(item.grams[inside]), []).append((number, int(inside)))
-        rare = Seeds(np.array(sorted(owners), np.uint64))
-        shared = (rare, [owners[int(h)] for h in rare.hashes], items)
+            for inside, gram in enumerate(item.grams.tolist()):
+                owners[gram].append((number, inside))
+        seeds = Seeds(np.array(sorted(owners), np.uint64))
+        shared = (seeds, [owners[int(h)] for h in seeds.hashes], items)
         found = _find(docs, spark.sparkContext.broadcast(shared), sizes, options)
         parts.append(scratch.keep(found, f"leaks{len(parts)}"))
     if not parts:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from texts_data import SCHEMA, edited, prose, rows_of
 
-from cashcycle.llm.contamination import LeakOptions, align, find_leaks, without_leaks
+from cashcycle.llm.contamination import Item, LeakOptions, align, find_leaks, most_common, without_leaks
 
 
 def plain_score(text, item):
@@ -64,3 +64,26 @@ def test_filter_keeps_clean_documents(spark, empty):
     assert gone == {d for d, _ in LEAKS}
     assert find_leaks(empty, benchmark).count() == 0
     assert find_leaks(docs, benchmark.filter("false")).count() == 0
+
+
+def test_edited_copy_beside_exact_copies(spark):
+    """4 of 30 words changed, 11 of 27 n-grams left; the copies hold all of them."""
+    for copies in (1, 40):
+        item = prose(720, 30).split()
+        other = list(item)
+        for k in (4, 9, 14, 19):
+            other[k] = f"changed{k}"
+        rows = [(k, f"{prose(3000 + k, 20)} {' '.join(item)}") for k in range(copies)]
+        rows += [(500, f"{prose(4000, 50)} {' '.join(other)} {prose(4001, 50)}")]
+        benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+        found = {r.doc_id: r for r in find_leaks(spark.createDataFrame(rows_of(rows), SCHEMA), benchmark).collect()}
+        assert set(found) == {*range(copies), 500}
+        assert found[500].score == 48 and found[500].first_word == 50
+
+
+def test_bound_never_drops_an_alignment():
+    draw = np.random.default_rng(4)
+    for _ in range(200):
+        text, own = draw.integers(0, 6, draw.integers(1, 30)), draw.integers(0, 6, draw.integers(1, 15))
+        item = Item(0, own.astype(np.uint64), own)
+        assert align(text, own)[0] <= 2 * most_common(text.astype(np.uint64), item)
