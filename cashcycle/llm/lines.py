@@ -1,11 +1,12 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity.
+"""Fuzzy line dedup: MinHash bands of normalised lines, SimHash filter, edit similarity.
 
 A line is a run of text between line feeds. It is normalised to its words: letters in
 lower case (A-Z and the Latin-1 capitals), digits as 0, everything else of ASCII a
-separator. Lines of fewer than ``min_words`` words are left alone. A line's SimHash of its
-words, the longer ones with more weight, has 64 bits, cut into ``blocks`` blocks: lines within ``distance`` bits agree in at least
-``blocks - distance`` blocks, so every choice of that many blocks is a key. Candidates are
-linked when their bits differ in at most ``distance`` places and the Levenshtein distance
+separator. Lines of fewer than ``min_words`` words are left alone. A line has ``bands`` keys, each
+of ``band_size`` MinHash values of its words; lines that share a key are candidates. A changed
+word of ten leaves 9 of 11 words common, so nearly half of the keys equal. Candidates are
+dropped when their SimHashes (of words, the longer ones with more weight) differ in more than
+``distance`` of 64 bits, which unlike lines mostly do, and linked when the Levenshtein distance
 of the normalised lines is at most ``1 - similarity`` of the longer one.
 
 Of each connected group the occurrence with the smallest (doc_id, line) stays; equal lines
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -35,14 +35,12 @@ from cashcycle.llm.scratch import Scratch
 from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, mix, span_hashes, stream, word_spans
 
-SIMHASH_BITS = 64
-
-
 @dataclass(frozen=True)
 class LineOptions:
     min_words: int = 5
-    distance: int = 3
-    blocks: int = 5
+    bands: int = 16
+    band_size: int = 4
+    distance: int = 32
     similarity: float = 0.9
 
 
@@ -104,8 +102,31 @@ def _simhashes(words: np.ndarray, weights: np.ndarray, first: np.ndarray, counts
     return out
 
 
+def _band_keys(words: np.ndarray, lengths: np.ndarray, first: np.ndarray, options: LineOptions) -> np.ndarray:
+    """32 bits for each line and band, of ``band_size`` MinHash values of the line's words.
+    A word of less than four bytes counts together with the next: short ones are common."""
+    short = np.flatnonzero(lengths < 4)
+    short = short[(short + 1 < len(words)) & ~np.isin(short + 1, first)]
+    parts = words.copy()
+    parts[short] = mix(words[short] * np.uint64(3) + words[short + 1])
+    parts = (parts >> np.uint64(32)).astype(np.uint32)
+    n = options.bands * options.band_size
+    factor = (stream(32, n) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    shift = (stream(33, n) >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((len(first), options.bands), np.uint32)
+    for band in range(options.bands):
+        key = np.full(len(first), band + 1, np.uint64)
+        for k in range(band * options.band_size, (band + 1) * options.band_size):
+            least = np.minimum.reduceat(parts * factor[k] + shift[k], first)
+            key = mix(key * np.uint64(0x10001) + least)
+        out[:, band] = (key >> np.uint64(32)).astype(np.uint32)
+    return out
+
+
 def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
-    """(doc_id, line, code, simhash) of all lines that are long enough."""
+    """(doc_id, line, code, simhash, bands...) of all lines that are long enough; a column of
+    bands holds two keys of 32 bits."""
+    names = band_columns(options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,6 +145,7 @@ def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
                 weights = _weights(ends - starts, begin, counts)
                 simhashes = _simhashes(words, weights, begin, counts)
                 documents = np.searchsorted(first_line, numbers, "right") - 1
+                bands = np.ascontiguousarray(_band_keys(words, ends - starts, begin, options)).view(np.int64)
                 keep = counts >= options.min_words
                 documents = documents[keep]
                 yield pa.RecordBatch.from_arrays(
@@ -132,22 +154,26 @@ def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
                         pa.array((numbers[keep] - first_line[documents]).astype(np.int32)),
                         pa.array(codes[keep].view(np.int64)),
                         pa.array(simhashes[keep].view(np.int64)),
+                        *(pa.array(bands[keep, k]) for k in range(len(names))),
                     ],
-                    ["doc_id", "line", "code", "simhash"],
+                    ["doc_id", "line", "code", "simhash", *names],
                 )
 
-    return texts(docs).mapInArrow(run, "doc_id long, line int, code long, simhash long")
+    kinds = "doc_id long, line int, code long, simhash long" + "".join(f", {name} long" for name in names)
+    return texts(docs).mapInArrow(run, kinds)
+
 
+def band_columns(options: LineOptions) -> list[str]:
+    return [f"bands{k}" for k in range(options.bands // 2)]
 
-def block_keys(options: LineOptions):
-    """A column of keys of ``simhash``: the bits of each choice of blocks that must agree."""
-    edges = [round(k * SIMHASH_BITS / options.blocks) for k in range(options.blocks + 1)]
-    masks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+
+def band_keys(options: LineOptions) -> Column:
+    """A column of a line's keys: the band's number and its 32 bits."""
     keys = []
-    for number, chosen in enumerate(combinations(masks, options.blocks - options.distance)):
-        mask = sum(chosen)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.xxhash64(F.lit(number), F.col("simhash").bitwiseAND(F.lit(signed).cast("long"))))
+    for name in band_columns(options):
+        low = F.col(name).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+        for half in (low, F.shiftrightunsigned(name, 32)):
+            keys.append(half.bitwiseOR(F.lit(len(keys) << 32).cast("long")))
     return F.array(*keys)
 
 
@@ -175,11 +201,13 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     """(doc_id, line) of every occurrence to remove, lines counted from 0."""
     options = options or LineOptions()
     scratch = Scratch(docs.sparkSession)
-    lines = scratch.keep(line_features(docs, options), "lines")
-    items = lines.groupBy("code").agg(
+    features = scratch.keep(line_features(docs, options), "lines")
+    lines = features.select("doc_id", "line", "code")
+    items = features.groupBy("code").agg(
         F.min(F.struct("doc_id", "line")).alias("first"),
         F.count(F.lit(1)).alias("n"),
         F.min("simhash").alias("simhash"),
+        *(F.min(name).alias(name) for name in band_columns(options)),
     )
     items = scratch.keep(items, "items")
 
@@ -203,11 +231,13 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     def close(left: Column, right: Column) -> Column:
         return F.bit_count(left.bitwiseXOR(right)) <= options.distance
 
-    keys = items.select(
-        F.explode(block_keys(options)).alias("key"), F.col("code").alias("id"), F.col("simhash").alias("bits")
-    )
+    # Most keys have one line: they are counted, then bits go with the lines of the others only.
+    keys = items.select(F.explode(band_keys(options)).alias("key"), F.col("code").alias("id"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    keys = keys.join(shared, "key").join(items.select(F.col("code").alias("id"), F.col("simhash").alias("bits")), "id")
+    keys = scratch.keep(keys.select("key", "id", "bits"), "keys")
     found = linked_groups(scratch, keys, prepare, check, close=close)
-    scratch.drop("words", "ids")
+    scratch.drop("words", "ids", "keys")
     grouped = items.join(found, items.code == found.id, "left")
     grouped = grouped.withColumn("group", F.coalesce("component", "code"))
     kept = grouped.groupBy("group").agg(F.min("first").alias("kept"), F.sum("n").alias("total"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 from texts_data import SCHEMA, prose, rows_of
 
 from cashcycle.llm.lines import remove_repeated_lines
@@ -51,3 +53,30 @@ def test_hot_line_and_clashing_columns(spark):
 def test_empty_and_awkward(empty, docs):
     assert remove_repeated_lines(empty).count() == 0
     assert remove_repeated_lines(docs).count() == docs.count()
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+def test_recall_against_brute_force_on_ordinary_lines(spark):
+    """One word changed in lines of 10 to 50 words; what the edit distance takes is found."""
+    draw, texts, want = random.Random(9), [], set()
+    for k in range(150):
+        words = prose(7000 + k, (10, 12, 20, 30, 50)[k % 5], 3000).split()
+        texts.append((k, " ".join(words)))
+        words[draw.randrange(len(words))] = prose(9000 + k, 1)
+        texts.append((1000 + k, " ".join(words)))
+        longer = max(len(texts[-1][1]), len(texts[-2][1]))
+        if edit_distance(texts[-1][1], texts[-2][1]) <= int(longer * 0.1 + 1e-9):
+            want.add(1000 + k)
+    found = remove_repeated_lines(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    gone = {r.doc_id for r in found if r.text == ""}
+    assert gone <= want and len(want) > 120
+    assert len(gone) >= 0.97 * len(want)
