@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from texts_data import SCHEMA, awkward, prose, rows_of, words
+from tokenizers import Tokenizer
 
 from cashcycle.llm import attention, scoring, toxicity
 from cashcycle.llm.langid import identify, keep_identified
@@ -146,3 +147,16 @@ def test_scores_and_base(spark, docs, empty):
         assert r.base_score == pytest.approx(want) and r.score < 0
     assert scoring.score(empty, docs, options).count() == 0
     assert all(r.n_known == 0 and r.train_tokens == 0 for r in scoring.score(docs, empty, options).collect())
+
+
+def test_model_learns_from_all_documents_at_any_size(spark):
+    """Token counts are those of all training texts, however many trainer loads they are."""
+    rows = rows_of((k, prose(6000 + k, 40)) for k in range(200))
+    train = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    tokenizer = Tokenizer.from_file(PATH)
+    counts = Counter(i for _, t, *_ in rows for i in tokenizer.encode(t, add_special_tokens=False).ids)
+    for load in (500, 8_000_000):
+        options = scoring.ScoringOptions(PATH, trainer_bytes=load, max_trainers=3, rounds=1, min_steps=1, model=OPTIONS)
+        found = scoring.fit(train, options).vocabulary.counts
+        assert {i: found[i] for i in counts} == counts
+        assert found[options.end_id] == len(rows) + counts[options.end_id]
