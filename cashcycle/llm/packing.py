@@ -7,7 +7,7 @@ table of at most ``capacity`` rows at any size of the corpus. The packing is wor
 * reduction: going down the lengths, a set around the longest piece is fixed for good where
   it dominates all others: the piece alone if nothing fits beside it; the piece with the
   largest that fits, if that fills the sequence, if no two other pieces fit beside it,
-  or if it is no smaller than the best two that fit;
+  or if it is no smaller than the best two that fit and no three other pieces fit;
 * best fit: the rest go, longest first, into the fullest sequence that takes them.
 
 Each step handles all pieces of a length together, so the plan is a short list of "pieces
@@ -119,6 +119,12 @@ class Plan:
         fits = at >= 0
         return int((sizes[fits] + sizes[at[fits]]).max()) if fits.any() else 0
 
+    def _least_three(self) -> int:
+        """The sum of the three smallest remaining pieces; beyond the capacity if there are fewer."""
+        sizes = np.flatnonzero(self.left)[:3]
+        least = np.repeat(sizes, np.minimum(self.left[sizes], 3))[:3]
+        return int(least.sum()) if len(least) == 3 else self.capacity + 1
+
     def _reduce(self) -> None:
         for length in range(self.capacity, 0, -1):
             while self.left[length]:
@@ -126,7 +132,8 @@ class Plan:
                 self.left[length] -= 1  # the piece itself
                 beside = np.flatnonzero(self.left[: room + 1])
                 partner = int(beside[-1]) if len(beside) else 0
-                dominates = not partner or partner == room or partner >= self._best_pair(room)
+                pair = self._best_pair(room) if partner and partner < room else 0
+                dominates = not pair or (partner >= pair and self._least_three() > room)
                 self.left[length] += 1
                 if not dominates:
                     break

@@ -33,6 +33,41 @@ def test_plan_is_optimal_where_pairs_fill():
     assert Plan(counts).sequences == 8
 
 
+class Reduced(Plan):
+    def _best_fit(self):
+        pass
+
+
+def fewest(pieces, capacity):
+    """The smallest number of sequences, by trying all ways."""
+    best = len(pieces)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(pieces):
+            best = len(rooms)
+            return
+        for j, room in enumerate(rooms):
+            if room >= pieces[k] and room not in rooms[:j]:
+                place(k + 1, [*rooms[:j], room - pieces[k], *rooms[j + 1 :]])
+        place(k + 1, [*rooms, capacity - pieces[k]])
+
+    place(0, [])
+    return best
+
+
+def test_reduction_keeps_the_fewest_sequences():
+    draw = np.random.default_rng(6)
+    cases = [(200, [100, 68, 68, 34, 33, 33, 33])]
+    cases += [(30, sorted(draw.integers(3, 25, draw.integers(3, 9)).tolist(), reverse=True)) for _ in range(400)]
+    for capacity, pieces in cases:
+        plan = Reduced(np.bincount(pieces, minlength=capacity + 1))
+        rest = np.repeat(np.arange(capacity + 1), plan.left)[::-1].tolist()
+        assert plan.sequences + fewest(rest, capacity) == fewest(pieces, capacity), pieces
+
+
 def test_packing_round_trip(spark, docs):
     tokenizer = Tokenizer.from_file(PATH)
     options = PackOptions(PATH, capacity=256)
