@@ -15,8 +15,11 @@ from cashcycle.llm.embeddings import linked_vectors
 from cashcycle.llm.langid import identify
 from cashcycle.llm.lines import remove_repeated_lines
 from cashcycle.llm.minhash import NearDuplicateOptions, near_duplicates
+from cashcycle.llm.mixing import mix
 from cashcycle.llm.packing import PackOptions, pack
+from cashcycle.llm.periodic import find_runs, run_digest, with_periodic_tails
 from cashcycle.llm.repeats import remove_repeats
+from cashcycle.llm.search import search
 from cashcycle.llm.secrets import find_secrets, secret_digest
 from cashcycle.llm.tables import fold_of, read
 
@@ -74,6 +77,19 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(find_runs(with_periodic_tails(read(spark, sf_dir, "documents"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -90,6 +106,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_line_dedup,
         op9_packing,
         op10_embedding_dedup,
+        op11_lexical_search,
+        op12_source_mix,
+        op13_periodic_runs,
         pipeline,
     ]
     return {f.__name__: f for f in named}

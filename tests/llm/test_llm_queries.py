@@ -14,14 +14,14 @@ from cashcycle.llm.queries import registered
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     ours = registered()[name](spark, sf_dir).toPandas()
     assert canonical(ours) == canonical(connection.execute(ORACLES[name]).df())
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in registered() if n != "pipeline"] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registered() if n != "pipeline"] == [f"op{k}" for k in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 
