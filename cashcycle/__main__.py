@@ -75,7 +75,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     report = report_on_extract(
         rows, args.date, watchlist, options, args.tables, args.regions
     )
-    return write_report(report, args.out)
+    return write_report(report, args.out, regions=args.regions)
 
 
 if __name__ == "__main__":

@@ -163,6 +163,20 @@ top_wide AS (
 )"""
 
 
+def tied_brand_ctes(window: Window) -> str:
+    """All brands of rank three or better, of which the first three fill the places."""
+    counts = brand_ctes(window).split("top AS (")[0]
+    places = ", ".join(f"COALESCE(names[{k}], 'n.a.') AS brand_{k}" for k in (1, 2, 3))
+    return f"""{counts}ranked AS (
+  SELECT *, RANK() OVER (PARTITION BY {KEYS} ORDER BY n DESC) AS rank FROM counts
+),
+top AS (
+  SELECT {KEYS}, LIST(brand ORDER BY rank, brand) AS names
+  FROM ranked WHERE rank <= 3 GROUP BY {KEYS}
+),
+top_wide AS (SELECT {KEYS}, {places} FROM top)"""
+
+
 def tracking_cte(as_of: str, sku_count: str = "COUNT(sku_id)") -> str:
     return f"""snap AS (
   SELECT {KEYS}, {sku_count} AS "no_skus_WH",
@@ -610,14 +624,12 @@ ORACLES |= {
         END_MONTHS_EXTRACT,
     ),
     "report_brand_ties": ctes(
-        EXTRACT,
-        CATEGORY,
-        brand_ctes(LAST_30)
-        .replace("ROW_NUMBER()", "RANK()")
-        .replace("ORDER BY n DESC, brand", "ORDER BY n DESC"),
-        tracking_cte(AS_OF),
+        EXTRACT, CATEGORY, tied_brand_ctes(LAST_30), tracking_cte(AS_OF)
     )
     + "\nSELECT * FROM tracking",
+    "top_brands_ranked_wide": ctes(EXTRACT, tied_brand_ctes(LAST_31))
+    + "\nSELECT * FROM top_wide",
+    "report_in_turns": TRACKING + "\nSELECT * FROM tracking",
     "report_date_category": ctes(
         EXTRACT,
         CATEGORY.replace(

@@ -65,6 +65,7 @@ MONTH_END = ReportPeriods(date(1996, 3, 31))
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 SOME_REGIONS = ("AFRICA", "EUROPE", "MIDDLE EAST")
+OTHER_REGIONS = ("AMERICA", "ASIA")
 UNLISTED_REGION = "EUROPE"
 WATCHED_BALANCE = 4000
 
@@ -143,6 +144,18 @@ def report_roundtrip(spark: SparkSession, path: str) -> DataFrame:
     return read_extract(spark, folders["tracking"], schema=table.schema)
 
 
+def report_in_turns(spark: SparkSession, path: str) -> DataFrame:
+    """The tracking table that reports for some of the regions leave in one folder: a
+    later run replaces its own regions and keeps the others."""
+    table = stage(tracking_table(spark, path), "tracking")
+    target = new_path(spark, "report")
+    folders = {}
+    for regions in (SOME_REGIONS, REGIONS[1:], OTHER_REGIONS, REGIONS[:1]):
+        own = table.where(F.col(REGION).isin(list(regions)))
+        folders = write_report({"tracking": own}, target, regions=regions)
+    return read_extract(spark, folders["tracking"], schema=table.schema)
+
+
 def matrix_roundtrip(spark: SparkSession, path: str) -> DataFrame:
     """The four matrices, written as CSV, read back and turned into long form."""
     daily = stage(all_daily_totals(spark, path), "daily")
@@ -333,6 +346,10 @@ def top_brands_wide(spark: SparkSession, path: str) -> DataFrame:
     return brands.top_brands_wide(top_brands(spark, path))
 
 
+def top_brands_ranked_wide(spark: SparkSession, path: str) -> DataFrame:
+    return brands.top_brands_wide(top_brands_ranked(spark, path))
+
+
 def brand_canonical(spark: SparkSession, path: str) -> DataFrame:
     """Clean-up of part names that are spelled with and without blanks.
 
@@ -492,6 +509,7 @@ QUERIES: Mapping[str, Query] = {
     "extract_roundtrip_inferred": extract_roundtrip_inferred,
     "mart_roundtrip": mart_roundtrip,
     "report_roundtrip": report_roundtrip,
+    "report_in_turns": report_in_turns,
     "matrix_roundtrip": matrix_roundtrip,
     "snapshot_rows": snapshot_rows,
     "trailing_rows": trailing_rows,
@@ -535,6 +553,7 @@ QUERIES: Mapping[str, Query] = {
     "top_brands": top_brands,
     "top_brands_ranked": top_brands_ranked,
     "top_brands_wide": top_brands_wide,
+    "top_brands_ranked_wide": top_brands_ranked_wide,
     "brand_canonical": brand_canonical,
     "watchlist": watchlist,
     "daily_cogs": _matrix(COGS),

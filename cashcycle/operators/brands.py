@@ -36,14 +36,22 @@ def top_brands_ranked(counts: DataFrame, k: int = TOP_BRANDS) -> DataFrame:
 
 
 def top_brands_wide(top: DataFrame, k: int = TOP_BRANDS) -> DataFrame:
-    """One row per supplier with ``brand_1`` to ``brand_k``."""
-    return top.groupBy(*KEYS).agg(
+    """One row per supplier with ``brand_1`` to ``brand_k``.
+
+    The places are filled in order of rank, brands that share a rank in text order. What
+    is behind place ``k`` is cut before it is gathered, so an array never has more than ``k``
+    brands, whatever the number of brands that share a rank.
+    """
+    order = Window.partitionBy(*KEYS).orderBy("rank", BRAND)
+    first = top.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+    places = F.array_sort(F.collect_list(F.struct("_place", BRAND))).alias("_brands")
+    ordered = first.groupBy(*KEYS).agg(places)
+    return ordered.select(
+        *KEYS,
         *[
-            F.coalesce(
-                F.max(F.when(F.col("rank") == place, F.col(BRAND))), F.lit(NO_BRAND)
-            ).alias(f"brand_{place}")
-            for place in range(1, k + 1)
-        ]
+            F.coalesce(F.get("_brands", F.lit(place))[BRAND], F.lit(NO_BRAND)).alias(f"brand_{place + 1}")
+            for place in range(k)
+        ],
     )
 
 

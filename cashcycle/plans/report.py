@@ -37,6 +37,7 @@ from cashcycle.schema import (
     SUPPLIER,
 )
 from cashcycle.sources.mart import CSV_OPTIONS, extract, without_line_breaks
+from cashcycle.sources.publish import Publication
 from cashcycle.sources.storage import stage
 
 #: Report tables that hold one matrix each.
@@ -69,7 +70,7 @@ class ReportOptions:
     distinct_skus: bool = False
     #: Main category on the report date instead of each supplier's latest day.
     category_on_report_date: bool = False
-    #: Brands with equal counts share a place instead of being ranked in text order.
+    #: Brands with equal counts share a rank; the first three fill the places.
     brand_ties: bool = False
     #: Give brands written without blanks their spelling with blanks before counting.
     clean_brands: bool = False
@@ -192,24 +193,36 @@ def _sheet_metrics(
 
 
 def write_report(
-    tables: Mapping[str, DataFrame], path: str, fmt: str = "csv"
+    tables: Mapping[str, DataFrame],
+    path: str,
+    fmt: str = "csv",
+    regions: Iterable[str] | None = None,
 ) -> dict[str, str]:
     """Write each table to its own folder under ``path``, one partition per region.
 
+    ``regions`` are those the report was made for, all by default: their old rows are
+    replaced, or go if there are no new ones, and other regions' tables stay. All tables are
+    written aside before the first is published, so a run that fails leaves the old ones.
+
     Rows are sorted by supplier inside a region. Returns the folders by table.
     """
-    folders = {}
-    for name, table in tables.items():
-        table = without_line_breaks(table) if fmt == "csv" else table
-        folders[name] = f"{path.rstrip('/')}/{name}"
-        order = [c for c in (REGION, SUPPLIER) if c in table.columns]
-        writer = (
-            table.orderBy(*order)
-            .write.mode("overwrite")
-            .partitionBy(REGION)
-            .format(fmt)
-        )
-        if fmt == "csv":
-            writer = writer.options(**CSV_OPTIONS)
-        writer.save(folders[name])
+    asked = None if regions is None else set(regions)
+    folders: dict[str, str] = {}
+    if not tables:
+        return folders
+    options = CSV_OPTIONS if fmt == "csv" else {}
+    publication = Publication(next(iter(tables.values())).sparkSession, path)
+    try:
+        for name, table in tables.items():
+            table = without_line_breaks(table) if fmt == "csv" else table
+            folders[name] = publication.add(name, in_output_order(table), (REGION,), fmt, **options)
+    except BaseException:
+        publication.discard()
+        raise
+    publication.publish(lambda partition: asked is None or partition[REGION] in asked)
     return folders
+
+
+def in_output_order(table: DataFrame) -> DataFrame:
+    """Rows by region and supplier, as the report shows them."""
+    return table.orderBy(*[c for c in (REGION, SUPPLIER) if c in table.columns])

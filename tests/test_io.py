@@ -19,6 +19,7 @@ from cashcycle.sources.mart import (
     write_extract,
     write_mart,
 )
+from cashcycle.sources.publish import Publication
 from cashcycle.sources.watchlist import read_watchlist, read_watchlist_yaml
 
 SPAN = ReportPeriods(AS_OF).extract_span
@@ -103,6 +104,57 @@ def test_report_is_written_per_region(spark, tmp_path):
     assert [line.split(",")[1] for line in lines[1:]] == ["a", '"b']
 
 
+def published(spark, path, name="tracking"):
+    rows = spark.read.parquet(f"{path}/{name}").select("grass_region", "supplier_name", "inv_count")
+    return sorted(map(tuple, rows.collect()))
+
+
+def tracked(spark, *rows):
+    return spark.createDataFrame(rows, "grass_region string, supplier_name string, inv_count int")
+
+
+def test_regions_of_other_runs_stay(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    write_report({"tracking": tracked(spark, ("VN", "a", 1), ("ID/x", "b", 1))}, path, "parquet", ["VN", "ID/x"])
+    write_report({"tracking": tracked(spark, ("TH", "c", 1))}, path, "parquet", ["TH"])
+    assert published(spark, path) == [("ID/x", "b", 1), ("TH", "c", 1), ("VN", "a", 1)]
+    write_report({"tracking": tracked(spark, ("VN", "d", 2))}, path, "parquet", ["VN", "ID/x"])
+    assert published(spark, path) == [("TH", "c", 1), ("VN", "d", 2)]
+    write_report({"tracking": tracked(spark, ("MY", "e", 1))}, path, "parquet")
+    assert published(spark, path) == [("MY", "e", 1)]
+    assert [p.name for p in (tmp_path / "report").iterdir()] == ["tracking"]
+
+
+def test_failed_run_leaves_the_old_tables(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    old = {"tracking": tracked(spark, ("VN", "a", 1)), "cogs": tracked(spark, ("VN", "a", 1))}
+    write_report(old, path, "parquet")
+    new = tracked(spark, ("VN", "b", 2))
+    broken = new.withColumn("inv_count", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        write_report({"tracking": new, "cogs": broken}, path, "parquet", ["VN"])
+    assert published(spark, path) == published(spark, path, "cogs") == [("VN", "a", 1)]
+    assert sorted(p.name for p in (tmp_path / "report").iterdir()) == ["cogs", "tracking"]
+
+
+def test_publication_that_breaks_off_is_undone(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/report"
+    write_report({n: tracked(spark, ("VN", "a", 1), ("TH", "b", 1)) for n in ("tracking", "cogs")}, path, "parquet")
+    move, moves = Publication._move, []
+
+    def fails_later(self, source, target):
+        if len(moves) == 6:
+            raise OSError("no more moves")
+        moves.append(target)
+        move(self, source, target)
+
+    monkeypatch.setattr(Publication, "_move", fails_later)
+    with pytest.raises(OSError, match="no more moves"):
+        write_report({n: tracked(spark, ("VN", "c", 2), ("TH", "d", 2)) for n in ("tracking", "cogs")}, path, "parquet")
+    for name in ("tracking", "cogs"):
+        assert published(spark, path, name) == [("TH", "b", 1), ("VN", "a", 1)]
+
+
 def test_watchlist_table(spark, tmp_path):
     file = tmp_path / "watchlist.csv"
     file.write_text('grass_region,supplier_name\nR1,"A, Ltd"\nR2,\n', encoding="utf-8")

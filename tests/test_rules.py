@@ -198,6 +198,19 @@ def test_brand_ties_are_in_text_order(spark):
     ]
 
 
+def test_brands_that_share_a_rank_fill_the_places_in_turn(spark):
+    def places(**counts):
+        table = spark.createDataFrame([("R", "S", b, n) for b, n in counts.items()], "grass_region string, supplier_name string, brand string, n long")
+        row = brands.top_brands_wide(brands.top_brands_ranked(table)).first()
+        return row.brand_1, row.brand_2, row.brand_3
+
+    assert places(A=3, B=3, C=1) == ("A", "B", "C")
+    assert places(z=1, y=5, x=5, w=5, v=5) == ("v", "w", "x")
+    assert places(b=2, a=1, c=1, d=1) == ("b", "a", "c")
+    assert places(only=1) == ("only", "n.a.", "n.a.")
+    assert places(**{f"b{k:03}": 1 for k in range(300)}) == ("b000", "b001", "b002")
+
+
 def test_copies_count_once_and_only_in_the_window(spark):
     source = mart(
         spark,
