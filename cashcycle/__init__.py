@@ -6,6 +6,7 @@ Every function takes and returns lazy DataFrames.
 """
 
 from cashcycle.functions.periods import ReportPeriods, Span
+from cashcycle.plans.daily import daily_report
 from cashcycle.plans.report import (
     ReportOptions,
     report_on_extract,
@@ -18,6 +19,7 @@ __all__ = [
     "ReportOptions",
     "ReportPeriods",
     "Span",
+    "daily_report",
     "extract",
     "report_on_extract",
     "run_report",

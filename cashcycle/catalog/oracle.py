@@ -196,6 +196,17 @@ tracking AS (
 )"""
 
 
+CLEANED = f"""spellings AS (
+  SELECT replace(brand, ' ', '') AS compact,
+         MAX(CASE WHEN brand LIKE '% %' THEN brand END) AS spaced
+  FROM ex WHERE {within(LAST_30)} AND brand IS NOT NULL GROUP BY 1
+  HAVING COUNT(DISTINCT brand) > 1
+),
+cleaned AS (
+  SELECT ex.* REPLACE (COALESCE(spaced, brand) AS brand)
+  FROM ex LEFT JOIN spellings ON brand = compact
+)"""
+
 TRACKING = ctes(EXTRACT, CATEGORY, brand_ctes(LAST_30), tracking_cte(AS_OF))
 
 WATCHLIST = """watchlist AS (
@@ -414,8 +425,18 @@ def row_flag_columns() -> list[str]:
     return columns
 
 
+MONTHLY = """moved AS (
+  SELECT * REPLACE (last_day(grass_date) AS grass_date) FROM ex
+)"""
+
+
 def snapshot(column: str) -> str:
-    return from_rows([column], where=f"grass_date = DATE '{AS_OF}'")
+    """A column per supplier on the month end to which all rows of its month are moved."""
+    return (
+        ctes(END_EXTRACT, MONTHLY)
+        + f"\nSELECT {KEYS}, {column} FROM moved"
+        + f"\nWHERE grass_date = DATE '{END_AS_OF}' GROUP BY {KEYS}"
+    )
 
 
 EXTRACT_ROWS = ctes(EXTRACT) + f"\nSELECT {ROW_COLUMNS} FROM ex"
@@ -436,9 +457,8 @@ FROM daily""",
     "snapshot_rows": EXTRACT_ROWS + f" WHERE grass_date = DATE '{AS_OF}'",
     "trailing_rows": ctes(EXTRACT)
     + f"\nSELECT {KEYS}, sku_id, brand, grass_date FROM ex WHERE {within(LAST_30)}",
-    "dedup_rows": ctes(EXTRACT)
-    + f"\nSELECT DISTINCT {KEYS}, category_cluster, color, payment_terms, brand,"
-    " grass_date FROM ex",
+    "dedup_rows": ctes(END_EXTRACT, MONTHLY)
+    + f"\nSELECT DISTINCT {KEYS}, color, payment_terms, grass_date FROM moved",
     "supplier_spine": ctes(EXTRACT) + f"\nSELECT DISTINCT {KEYS} FROM ex",
     "row_flags": ctes(EXTRACT)
     + f"""
@@ -495,7 +515,12 @@ GROUP BY regions.grass_region, period, period_end""",
     "latest_date": from_rows(["MAX(grass_date) AS grass_date"]),
     "main_category": ctes(EXTRACT, CATEGORY)
     + f"\nSELECT category_cluster, {KEYS} FROM category",
-    "main_category_snapshot": ctes((AS_OF, AS_OF), CATEGORY)
+    "main_category_snapshot": ctes(
+        END_EXTRACT,
+        MONTHLY,
+        CATEGORY.replace("FROM ex GROUP", f"FROM moved WHERE grass_date = DATE '{END_AS_OF}' GROUP")
+        .replace("FROM ex JOIN", "FROM moved JOIN"),
+    )
     + f"\nSELECT category_cluster, {KEYS} FROM category",
     "daily_totals": ctes(EXTRACT, DAILY)
     + f"""
@@ -629,6 +654,26 @@ ORACLES |= {
     + "\nSELECT * FROM tracking",
     "top_brands_ranked_wide": ctes(EXTRACT, tied_brand_ctes(LAST_31))
     + "\nSELECT * FROM top_wide",
+    "all_matrices": ORACLES["matrix_roundtrip"],
+    "report_order": TRACKING
+    + f"""
+SELECT {KEYS}, CAST(ROW_NUMBER() OVER (
+  PARTITION BY grass_region ORDER BY supplier_name) AS INTEGER) AS position FROM tracking""",
+    "report_kept_days": SCORECARD,
+    "sku_count_sketched": from_rows(['COUNT(DISTINCT sku_id) AS "no_skus_WH"']),
+    "report_sku_sketches": ctes(
+        EXTRACT, CATEGORY, brand_ctes(LAST_30), tracking_cte(AS_OF, "COUNT(DISTINCT sku_id)")
+    )
+    + "\nSELECT * FROM tracking",
+    "report_clean_brands": ctes(
+        EXTRACT,
+        CATEGORY,
+        CLEANED,
+        brand_ctes(LAST_30).replace("FROM ex WHERE", "FROM cleaned WHERE"),
+        tracking_cte(AS_OF),
+    )
+    + "\nSELECT * FROM tracking",
+    "watchlist_file": ORACLES["watchlist"],
     "report_in_turns": TRACKING + "\nSELECT * FROM tracking",
     "report_date_category": ctes(
         EXTRACT,

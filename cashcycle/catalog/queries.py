@@ -8,10 +8,10 @@ decimals are turned into doubles at the very end.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from cashcycle.operators import brands, matrices, quality, rows, snapshot, windo
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
 from cashcycle.operators.watchlist import on_watchlist
 from cashcycle.plans import scorecard as scorecards
+from cashcycle.plans.daily import daily_report, refresh
 from cashcycle.plans.report import ReportOptions, run_report, write_report
 from cashcycle.plans.sheets import matrix_table, sheet
 from cashcycle.plans.tracking import TRACKING_CELLS, supplier_brands, tracking
@@ -48,6 +49,7 @@ from cashcycle.schema import (
     UNITS,
 )
 from cashcycle.sources.mart import (
+    CSV_OPTIONS,
     extract,
     read_extract,
     read_mart,
@@ -56,6 +58,7 @@ from cashcycle.sources.mart import (
 )
 from cashcycle.sources.star import read_table, star_mart
 from cashcycle.sources.storage import new_path, stage
+from cashcycle.sources.watchlist import read_watchlist
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,9 +183,14 @@ def trailing_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.rows_in(source, Span.trailing(MID_MONTH.as_of, P.SHORT_DAYS))
 
 
+def month_rows(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Extract rows moved to their month's end: several a supplier and day, and copies."""
+    source = extract_rows(spark, path, columns, MONTH_END.extract_span)
+    return source.withColumn(DAY, F.last_day(DAY))
+
+
 def dedup_rows(spark: SparkSession, path: str) -> DataFrame:
-    columns = [CATEGORY, COLOR, BRAND, TERMS]
-    return rows.distinct_rows(extract_rows(spark, path, columns))
+    return rows.distinct_rows(month_rows(spark, path, [COLOR, TERMS]))
 
 
 def supplier_spine(spark: SparkSession, path: str) -> DataFrame:
@@ -231,8 +239,10 @@ def period_coverage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _snapshot(operator: Callable, *columns: str) -> Query:
+    """An operator on a date on which suppliers have several rows."""
+
     def query(spark: SparkSession, path: str) -> DataFrame:
-        return operator(extract_rows(spark, path, columns), MID_MONTH.as_of)
+        return operator(month_rows(spark, path, columns), MONTH_END.as_of)
 
     return query
 
@@ -380,11 +390,9 @@ def _matrix(measure: str) -> Query:
 
 def matrix_with_category(spark: SparkSession, path: str) -> DataFrame:
     source = extract_rows(spark, path, [CATEGORY, COGS, INVENTORY])
-    cells = category_cells(source, COGS)
-    daily = daily_totals(cells, (COGS,))
-    return matrix_table(
-        daily, snapshot.main_category(cells), COGS, MID_MONTH.extract_span
-    )
+    cells, span = category_cells(source, COGS), MID_MONTH.extract_span
+    wide = matrices.daily_matrices(daily_totals(cells, (COGS,)), [COGS], span)
+    return matrix_table(wide, snapshot.main_category(cells), COGS, span)
 
 
 def category_cells(source: DataFrame, measure: str) -> DataFrame:
@@ -396,21 +404,29 @@ def category_cells(source: DataFrame, measure: str) -> DataFrame:
 def _sheet(measure: str) -> Query:
     def query(spark: SparkSession, path: str) -> DataFrame:
         columns = {measure, CATEGORY, INVENTORY}
-        source = extract_rows(spark, path, list(columns))
-        cells = category_cells(source, measure)
-        daily = stage(daily_totals(cells, (measure,)), "daily")
+        cells = category_cells(extract_rows(spark, path, list(columns)), measure)
         spans = (
             MID_MONTH.inbound_windows()
             if measure == INBOUND
             else MID_MONTH.trailing_windows()
         )
-        metrics = windows.period_metrics(daily, measure, spans)
-        categories = snapshot.main_category(cells)
-        return sheet(daily, categories, metrics, measure, MID_MONTH.extract_span)
+        return sheet_of(cells, measure, spans, MID_MONTH.extract_span)
 
     return query
 
 
+def sheet_of(
+    cells: DataFrame,
+    measure: str,
+    spans: Mapping[str, Span],
+    span: Span,
+    zero_if_none: bool = False,
+) -> DataFrame:
+    wide = matrices.daily_matrices(daily_totals(cells, (measure,)), [measure], span)
+    categories = snapshot.main_category(cells)
+    return sheet(wide, categories, measure, spans, span, zero_if_none)
+
+
 def _tracking_from(
     spark: SparkSession, path: str, cells: DataFrame, periods: ReportPeriods
 ) -> DataFrame:
@@ -442,6 +458,14 @@ def watchlist(spark: SparkSession, path: str) -> DataFrame:
     return on_watchlist(supplier_spine(spark, path), star_watchlist(spark, path))
 
 
+def watchlist_file(spark: SparkSession, path: str) -> DataFrame:
+    """The watchlist as the job reads it: from a CSV file that another program wrote."""
+    listed = star_watchlist(spark, path).select(SUPPLIER, REGION, F.lit(1).alias("note"))
+    target = new_path(spark, "watchlist")
+    listed.write.options(**CSV_OPTIONS).csv(target)
+    return on_watchlist(supplier_spine(spark, path), read_watchlist(spark, target))
+
+
 def tracking_watchlist(spark: SparkSession, path: str) -> DataFrame:
     return on_watchlist(tracking_table(spark, path), star_watchlist(spark, path))
 
@@ -485,9 +509,43 @@ def _monthly_sheet(measure: str) -> Query:
         span = MONTH_END.monthly_extract_span
         columns = list({CATEGORY, INVENTORY, measure})
         cells = category_cells(extract_rows(spark, path, columns, span), measure)
-        daily = stage(daily_totals(cells, (measure,)), "daily")
-        metrics = windows.calendar_metrics(daily, measure, MONTH_END)
-        return sheet(daily, snapshot.main_category(cells), metrics, measure, span)
+        return sheet_of(cells, measure, MONTH_END.calendar_windows(), span, True)
+
+    return query
+
+
+def all_matrices(spark: SparkSession, path: str) -> DataFrame:
+    """The four matrices of one pivot, in long form."""
+    span, measures = MID_MONTH.extract_span, (*FLOWS, *STOCKS)
+    wide = stage(matrices.daily_matrices(_daily(spark, path, measures), measures, span), "matrices")
+    long = [matrices.matrix_to_long(matrices.measure_matrix(wide, m, span), m) for m in measures]
+    return reduce(lambda one, two: one.join(two, [*KEYS, DAY], "full"), long)
+
+
+def report_order(spark: SparkSession, path: str) -> DataFrame:
+    """Each supplier's place in its region's published tracking table."""
+    folders = write_report({"tracking": tracking_table(spark, path)}, new_path(spark, "report"), "parquet")
+    rows_there = spark.read.parquet(folders["tracking"]).select(
+        *KEYS, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    order = Window.partitionBy(REGION).orderBy("file", "row")
+    return rows_there.select(*KEYS, F.row_number().over(order).alias("position"))
+
+
+def report_kept_days(spark: SparkSession, path: str) -> DataFrame:
+    """The scorecard of a daily run that reads the last day only, after one the day before."""
+    mart, target = star_mart(spark, path, MART_COLUMNS), new_path(spark, "kept")
+    before = MID_MONTH.as_of - timedelta(days=1)
+    refresh(mart, target, ReportPeriods(before).extract_span)
+    return daily_report(mart, target, MID_MONTH.as_of, tables=["scorecard"])["scorecard"]
+
+
+def _sketched(span: Span) -> Query:
+    """Different SKUs of a range of days from the sketches of its days."""
+
+    def query(spark: SparkSession, path: str) -> DataFrame:
+        sketches = snapshot.sku_sketches(extract_rows(spark, path, [SKU], span))
+        return snapshot.sku_count_sketched(sketches, span)
 
     return query
 
@@ -510,6 +568,7 @@ QUERIES: Mapping[str, Query] = {
     "mart_roundtrip": mart_roundtrip,
     "report_roundtrip": report_roundtrip,
     "report_in_turns": report_in_turns,
+    "report_order": report_order,
     "matrix_roundtrip": matrix_roundtrip,
     "snapshot_rows": snapshot_rows,
     "trailing_rows": trailing_rows,
@@ -523,6 +582,7 @@ QUERIES: Mapping[str, Query] = {
     "inv_value": _snapshot(snapshot.inventory_value, INVENTORY),
     "sku_count": _snapshot(snapshot.sku_count, SKU),
     "sku_count_distinct": _snapshot(snapshot.sku_count_distinct, SKU),
+    "sku_count_sketched": _sketched(MID_MONTH.extract_span),
     "payment_terms": _snapshot(snapshot.payment_terms, TERMS),
     "latest_date": latest_date,
     "main_category": main_category,
@@ -556,10 +616,12 @@ QUERIES: Mapping[str, Query] = {
     "top_brands_ranked_wide": top_brands_ranked_wide,
     "brand_canonical": brand_canonical,
     "watchlist": watchlist,
+    "watchlist_file": watchlist_file,
     "daily_cogs": _matrix(COGS),
     "daily_payables": _matrix(PAYABLES),
     "daily_inventory": _matrix(INVENTORY),
     "daily_inbound": _matrix(INBOUND),
+    "all_matrices": all_matrices,
     "matrix_with_category": matrix_with_category,
     "tracking": tracking_table,
     "tracking_watchlist": tracking_watchlist,
@@ -576,6 +638,9 @@ QUERIES: Mapping[str, Query] = {
     "monthly_inbound_sheet": _monthly_sheet(INBOUND),
     "regional_tracking": regional_tracking,
     "monthly_tracking": monthly_tracking,
+    "report_kept_days": report_kept_days,
+    "report_clean_brands": _report_table("tracking", ReportOptions(clean_brands=True)),
+    "report_sku_sketches": _report_table("tracking", ReportOptions(sku_sketches=True)),
     "report_working_capital": _report_table("working_capital"),
     "report_coverage": _report_table("coverage"),
     "report_brand_ties": _report_table("tracking", ReportOptions(brand_ties=True)),

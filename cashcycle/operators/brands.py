@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cashcycle.functions.periods import Span
 from cashcycle.operators.joins import join_lookup
 from cashcycle.operators.rows import distinct_rows, rows_in
-from cashcycle.schema import BRAND, KEYS, MISSING_BRAND_TEXT, NO_BRAND
+from cashcycle.schema import BRAND, DAY, KEYS, MISSING_BRAND_TEXT, NO_BRAND
 
 TOP_BRANDS = 3
 
@@ -21,6 +21,18 @@ def brand_counts(rows: DataFrame, span: Span) -> DataFrame:
     return distinct_rows(branded).groupBy(*KEYS, BRAND).agg(F.count("*").alias("n"))
 
 
+def brand_day_counts(rows: DataFrame) -> DataFrame:
+    """As ``brand_counts`` for each day. Rows of two days differ in the day, so the counts of
+    a range of days are the sums of its days' counts."""
+    branded = rows.where(F.col(BRAND).isNotNull() & (F.col(BRAND) != MISSING_BRAND_TEXT))
+    return distinct_rows(branded).groupBy(*KEYS, DAY, BRAND).agg(F.count("*").alias("n"))
+
+
+def sum_of_days(counts: DataFrame, span: Span) -> DataFrame:
+    """Brand counts of a range of days from those of its days."""
+    return rows_in(counts, span).groupBy(*KEYS, BRAND).agg(F.sum("n").alias("n"))
+
+
 def top_brands(counts: DataFrame, k: int = TOP_BRANDS) -> DataFrame:
     """The ``k`` most frequent brands of each supplier, ties in text order."""
     order = Window.partitionBy(*KEYS).orderBy(F.col("n").desc(), F.col(BRAND))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.functions.periods import ReportPeriods, Span
+from cashcycle.operators.rows import N_ROWS
 from cashcycle.schema import DAY, KEYS, REGION
 
 
@@ -16,11 +17,13 @@ def period_coverage(
 ) -> DataFrame:
     """For every region and period end, how many rows there are and whether any.
 
-    Of ``regions``, if given, those without any row are listed too, with 0 rows.
+    ``rows`` are extract rows, or cells, which carry the number of their rows. Of
+    ``regions``, if given, those without any row are listed too, with 0 rows.
     """
+    n = F.col(N_ROWS) if N_ROWS in rows.columns else F.lit(1)
     counts = rows.groupBy(REGION).agg(
         *[
-            F.sum(F.when(F.col(DAY) == F.lit(end), 1).otherwise(0)).alias(label)
+            F.sum(F.when(F.col(DAY) == F.lit(end), n).otherwise(0)).alias(label)
             for label, end in periods.ends.items()
         ]
     )

@@ -24,6 +24,7 @@ from cashcycle.schema import (
 )
 
 SKU_ROWS = "sku_rows"
+N_ROWS = "n_rows"
 BLACK_INVENTORY = "black_inv_usd"
 
 

@@ -9,25 +9,23 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from cashcycle.functions.periods import ROLLING_30, SHORT_DAYS, ReportPeriods, Span
-from cashcycle.operators.brands import canonical_brands
+from cashcycle.operators.brands import brand_counts, canonical_brands
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
+from cashcycle.operators.matrices import daily_matrices
 from cashcycle.operators.quality import period_coverage
 from cashcycle.operators.rows import rows_in
 from cashcycle.operators.snapshot import (
     main_category,
     main_category_snapshot,
     sku_count_distinct,
+    sku_count_sketched,
+    sku_sketches,
 )
 from cashcycle.operators.watchlist import on_watchlist
-from cashcycle.operators.windows import (
-    calendar_metrics,
-    period_metrics,
-    scorecard_sums,
-    working_capital_days,
-)
+from cashcycle.operators.windows import scorecard_sums, working_capital_days
 from cashcycle.plans.scorecard import scorecard
 from cashcycle.plans.sheets import matrix_table, sheet
-from cashcycle.plans.tracking import TRACKING_CELLS, supplier_brands, tracking
+from cashcycle.plans.tracking import TRACKING_CELLS, ranked_brands, tracking
 from cashcycle.schema import (
     COGS,
     INBOUND,
@@ -36,7 +34,7 @@ from cashcycle.schema import (
     REGION,
     SUPPLIER,
 )
-from cashcycle.sources.mart import CSV_OPTIONS, extract, without_line_breaks
+from cashcycle.sources.mart import CSV_FILE_ROWS, CSV_OPTIONS, extract
 from cashcycle.sources.publish import Publication
 from cashcycle.sources.storage import stage
 
@@ -68,6 +66,8 @@ class ReportOptions:
     brand_days: int = SHORT_DAYS
     #: Count different SKUs instead of SKU rows.
     distinct_skus: bool = False
+    #: Count different SKUs by sketches, which keep a bounded size; takes precedence.
+    sku_sketches: bool = False
     #: Main category on the report date instead of each supplier's latest day.
     category_on_report_date: bool = False
     #: Brands with equal counts share a rank; the first three fill the places.
@@ -126,18 +126,55 @@ def report_on_extract(
     Rows outside the report's range of days are left out.
 
     The rows are read once for the supplier-day cells, which feed every table, and
-    once more over the brand days, whose de-duplication needs whole rows. Tables that
-    others build on are written to shared storage, so that writing the report repeats
-    no work. The calendar-month report has no scorecard. ``regions`` are those that the
-    coverage table lists even if they have no rows.
+    once more over the brand days, whose de-duplication needs whole rows. The
+    calendar-month report has no scorecard. ``regions`` are those that the coverage table
+    lists even if they have no rows.
+    """
+    periods = ReportPeriods(as_of)
+    rows = rows_in(rows, options.span(periods))
+    windows = periods.inbound_windows(options.month_window)
+    cells = supplier_day_cells(rows, as_of, windows)
+    counts = brand_counts_of_rows(rows, as_of, options)
+    skus = sku_counts_of_rows(rows, as_of, options)
+    return report_on_cells(cells, counts, skus, as_of, watchlist, options, tables, regions)
+
+
+def brand_counts_of_rows(rows: DataFrame, as_of: date, options: ReportOptions) -> DataFrame:
+    span = Span.trailing(as_of, options.brand_days)
+    branded = rows_in(rows, span)
+    if options.clean_brands:
+        branded = canonical_brands(branded)
+    return brand_counts(branded, span)
+
+
+def sku_counts_of_rows(rows: DataFrame, as_of: date, options: ReportOptions) -> DataFrame | None:
+    if options.sku_sketches:
+        on_date = Span(as_of, as_of)
+        return sku_count_sketched(sku_sketches(rows_in(rows, on_date)), on_date)
+    return sku_count_distinct(rows, as_of) if options.distinct_skus else None
+
+
+def report_on_cells(
+    cells: DataFrame,
+    counts: DataFrame,
+    skus: DataFrame | None,
+    as_of: date,
+    watchlist: DataFrame | None = None,
+    options: ReportOptions = ReportOptions(),
+    tables: Iterable[str] | None = None,
+    regions: Iterable[str] | None = None,
+) -> dict[str, DataFrame]:
+    """The report tables from supplier-day cells, brand counts and, unless SKU rows are to be
+    counted, SKU counts.
+
+    Tables that others build on are written to shared storage, so that writing the report
+    repeats no work. All matrices and daily sheets are columns of one grouping of the daily
+    totals.
     """
     periods = ReportPeriods(as_of)
     span = options.span(periods)
-    rows = rows_in(rows, span)
     windows = periods.inbound_windows(options.month_window)
     wanted = set(asked_tables(tables, options))
-
-    cells = supplier_day_cells(rows, as_of, windows)
     if wanted <= {"tracking", "tracking_yaml"}:
         cells = cells.select(*TRACKING_CELLS)
     cells = stage(cells, "cells")
@@ -150,12 +187,7 @@ def report_on_extract(
         categories = stage(categories, "categories")
     report = {}
     if wanted & set(SUPPLIER_TABLES):
-        brand_span = Span.trailing(as_of, options.brand_days)
-        branded = rows_in(rows, brand_span)
-        if options.clean_brands:
-            branded = canonical_brands(branded)
-        brands = supplier_brands(branded, brand_span, options.brand_ties)
-        skus = sku_count_distinct(rows, as_of) if options.distinct_skus else None
+        brands = ranked_brands(counts, options.brand_ties)
         everyone = tracking(cells, brands, as_of, categories, skus)
         if len(wanted & set(SUPPLIER_TABLES)) > 1:
             everyone = stage(everyone, "tracking")
@@ -166,30 +198,32 @@ def report_on_extract(
                 watched, scorecard_sums(cells, periods, windows)
             )
     if "coverage" in wanted:
-        report["coverage"] = period_coverage(rows, periods, regions)
+        report["coverage"] = period_coverage(cells, periods, regions)
     if wanted - set(SUPPLIER_TABLES) - {"coverage"}:
         daily = stage(daily_totals(cells), "daily")
     if "working_capital" in wanted:
         report["working_capital"] = working_capital_days(daily, periods)
+    shown = [m for name, m in MATRICES.items() if wanted & {name, f"sheet_{name}"}]
+    if shown:
+        wide = stage(daily_matrices(daily, shown, span), "matrices")
     for name, measure in MATRICES.items():
         if name in wanted:
-            report[name] = matrix_table(daily, categories, measure, span)
+            report[name] = matrix_table(wide, categories, measure, span)
         if f"sheet_{name}" in wanted:
-            metrics = _sheet_metrics(daily, measure, periods, options)
-            report[f"sheet_{name}"] = sheet(daily, categories, metrics, measure, span)
+            spans = _sheet_windows(measure, periods, options)
+            zero = options.calendar_months
+            report[f"sheet_{name}"] = sheet(wide, categories, measure, spans, span, zero)
     return {name: table for name, table in report.items() if name in wanted}
 
 
-def _sheet_metrics(
-    daily: DataFrame, measure: str, periods: ReportPeriods, options: ReportOptions
-) -> DataFrame:
+def _sheet_windows(
+    measure: str, periods: ReportPeriods, options: ReportOptions
+) -> Mapping[str, Span]:
     if options.calendar_months:
-        return calendar_metrics(daily, measure, periods)
+        return periods.calendar_windows()
     if measure == INBOUND:
-        windows = periods.inbound_windows(options.month_window)
-    else:
-        windows = periods.trailing_windows()
-    return period_metrics(daily, measure, windows)
+        return periods.inbound_windows(options.month_window)
+    return periods.trailing_windows()
 
 
 def write_report(
@@ -210,11 +244,10 @@ def write_report(
     folders: dict[str, str] = {}
     if not tables:
         return folders
-    options = CSV_OPTIONS if fmt == "csv" else {}
+    options = {**CSV_OPTIONS, "maxRecordsPerFile": CSV_FILE_ROWS} if fmt == "csv" else {}
     publication = Publication(next(iter(tables.values())).sparkSession, path)
     try:
         for name, table in tables.items():
-            table = without_line_breaks(table) if fmt == "csv" else table
             folders[name] = publication.add(name, in_output_order(table), (REGION,), fmt, **options)
     except BaseException:
         publication.discard()

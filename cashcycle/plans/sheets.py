@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from cashcycle.functions.periods import Span
-from cashcycle.operators.matrices import daily_matrix
+from cashcycle.operators.matrices import day_columns, day_metrics, measure_matrix
 from cashcycle.schema import CATEGORY, KEYS, REGION, SUPPLIER
 
 
@@ -18,19 +20,21 @@ def with_category(table: DataFrame, categories: DataFrame) -> DataFrame:
 
 
 def matrix_table(
-    daily: DataFrame, categories: DataFrame, measure: str, span: Span
+    wide: DataFrame, categories: DataFrame, measure: str, span: Span
 ) -> DataFrame:
-    return with_category(daily_matrix(daily, measure, span), categories)
+    """One measure's days; ``wide`` comes from ``daily_matrices``."""
+    return with_category(measure_matrix(wide, measure, span), categories)
 
 
 def sheet(
-    daily: DataFrame,
+    wide: DataFrame,
     categories: DataFrame,
-    metrics: DataFrame,
     measure: str,
+    windows: Mapping[str, Span],
     span: Span,
+    zero_if_none: bool = False,
 ) -> DataFrame:
-    """Period metrics beside the daily matrix of the same measure."""
-    return with_category(
-        metrics.join(daily_matrix(daily, measure, span), list(KEYS)), categories
-    )
+    """Period metrics beside the days they are worked out from, of the same row."""
+    metrics = day_metrics(wide, measure, windows, span, zero_if_none)
+    rows = wide.select(*KEYS, *metrics, *day_columns(measure, span))
+    return with_category(rows, categories)

@@ -49,13 +49,18 @@ TRACKING_CELLS = (*KEYS, DAY, CATEGORY, TERMS, SKU_ROWS, UNITS, INVENTORY)
 
 
 def supplier_brands(rows: DataFrame, span: Span, ties: bool = False) -> DataFrame:
-    """The top brands of each supplier in columns.
+    """The top brands of each supplier in columns."""
+    return ranked_brands(brand_counts(rows, span), ties)
+
+
+def ranked_brands(counts: DataFrame, ties: bool = False) -> DataFrame:
+    """The top brands from their counts.
 
     With ``ties``, brands with equal counts share a rank, and the first three of all brands
     of rank three or better fill the places, those of a rank in text order.
     """
     rank = top_brands_ranked if ties else top_brands
-    return top_brands_wide(rank(brand_counts(rows, span)))
+    return top_brands_wide(rank(counts))
 
 
 def tracking(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,8 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+CSV_FILE_ROWS = 1_000_000
+
 
 def extract(
     mart: DataFrame,
@@ -71,16 +75,15 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def without_line_breaks(df: DataFrame) -> DataFrame:
-    """The same rows; a text value with a line break fails the job that meets it."""
-
-    def checked(name: str) -> Column:
-        value = F.col(f"`{name}`")
-        error = F.raise_error(F.lit(f"{name} has a line break; write Parquet instead"))
-        return F.when(value.rlike("[\\r\\n]"), error.cast("string")).otherwise(value).alias(name)
+def broken_files(spark: SparkSession, path: str) -> list[str]:
+    """The CSV files under ``path`` in which a quoted value goes over several lines.
 
-    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[checked(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
+    Quotes within values are doubled, so a line with an odd number of them begins or ends such
+    a value. Lines are counted in parallel; only the names of the files found come back.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return [row.file for row in lines.where(quotes % 2 == 1).select("file").distinct().collect()]
 
 
 def read_csv(
@@ -89,10 +92,12 @@ def read_csv(
     """The schema's columns of CSV files, found by the names in their header.
 
     Columns named in ``infer`` get the type that Spark infers, all others the schema's.
-    Missing columns and malformed rows are errors.
+    Missing columns and malformed rows are errors. Files are split among tasks, but for those
+    with line breaks in values, each of which one task reads.
     """
     infer = set(infer)
-    found = spark.read.options(**CSV_OPTIONS, inferSchema=bool(infer)).csv(path)
+    broken = broken_files(spark, path)
+    found = spark.read.options(**CSV_OPTIONS, inferSchema=bool(infer), multiLine=bool(broken)).csv(path)
     missing = [f.name for f in schema.fields if f.name not in found.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -100,21 +105,35 @@ def read_csv(
     ordered = T.StructType(
         [T.StructField(f.name, declared.get(f.name, f.dataType)) for f in found.schema.fields]
     )
-    rows = spark.read.schema(ordered).options(**CSV_OPTIONS, mode="FAILFAST", enforceSchema=False)
-    return rows.csv(path).select(*schema.names)
+
+    def read(files: str | list[str], unsplit: bool, **more: str) -> DataFrame:
+        reader = spark.read.schema(ordered).options(**CSV_OPTIONS, **more)
+        reader = reader.options(mode="FAILFAST", enforceSchema=False, multiLine=unsplit)
+        return reader.csv(files).select(*schema.names)
+
+    if not broken:
+        return read(path, False)
+    unsplit = sorted(map(_plain_name, broken))
+    whole = sorted(set(map(_plain_name, found.inputFiles())).difference(unsplit))
+    if not whole:
+        return read(path, True)
+    return read(unsplit, True, basePath=path).unionAll(read(whole, False, basePath=path))
+
+
+def _plain_name(name: str) -> str:
+    """A file's name the same way wherever Spark got it from."""
+    return unquote(re.sub("^file:/+", "file:/", name))
 
 
 def write_extract(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Export an extract; CSV parts carry a header line each.
 
-    CSV files are read in parallel, which line breaks in values would break up: such
-    values are an error. Parquet takes them.
+    A CSV file that has line breaks in values is read by one task, so files are kept to
+    ``CSV_FILE_ROWS`` rows.
     """
-    if fmt == "csv":
-        df = without_line_breaks(df)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(path)
+        writer.options(**CSV_OPTIONS, maxRecordsPerFile=CSV_FILE_ROWS).csv(path)
     else:
         writer.format(fmt).save(path)
 

@@ -14,6 +14,7 @@ from cashcycle.schema import EXTRACT_SCHEMA
 from cashcycle.sources import storage
 from cashcycle.sources.mart import (
     CSV_OPTIONS,
+    broken_files,
     read_extract,
     read_mart,
     write_extract,
@@ -220,13 +221,39 @@ def awkward_extract(spark):
     return spark.createDataFrame([tuple(r[c] for c in EXTRACT_SCHEMA.names) for r in rows], EXTRACT_SCHEMA)
 
 
-def test_line_breaks_fail_as_csv_and_pass_as_parquet(spark, tmp_path):
-    broken = awkward_extract(spark).withColumn("supplier_name", F.concat("supplier_name", F.lit("\nB")))
-    with pytest.raises(Exception, match="line break"):
-        write_extract(broken, f"{tmp_path}/csv")
-    write_extract(broken, f"{tmp_path}/parquet", "parquet")
-    copy = read_extract(spark, f"{tmp_path}/parquet", "parquet")
-    assert sorted(copy.collect()) == sorted(broken.collect())
+BREAKS = ["a\nb", "c\r\nd", "\n", "x,\n\"y\", z\n", "tail\n\n"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_line_breaks_survive(spark, tmp_path, fmt):
+    source = awkward_extract(spark)
+    row = source.first().asDict()
+    broken = spark.createDataFrame([tuple((row | {"supplier_name": n}).values()) for n in BREAKS], EXTRACT_SCHEMA)
+    write_extract(source.repartition(2).unionAll(broken.coalesce(1)), f"{tmp_path}/x", fmt)
+    copy = read_extract(spark, f"{tmp_path}/x", fmt)
+    assert sorted(map(str, copy.collect())) == sorted(map(str, source.unionAll(broken).collect()))
+    if fmt == "csv":
+        assert len(broken_files(spark, f"{tmp_path}/x")) == 1
+        inferred = read_extract(spark, f"{tmp_path}/x", schema=None)
+        assert inferred.count() == copy.count()
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    path = tmp_path / "x"
+    path.mkdir()
+    head = ",".join(EXTRACT_SCHEMA.names)
+    lines = "".join(f'VN,,"Supplier, ""{k}""",{k:06}{"," * 10}\n' for k in range(3000))
+    (path / "plain %41.csv").write_text(f"{head}\n{lines}", encoding="utf-8")
+    (path / "broken.csv").write_text(f'{head}\nVN,,"two\nlines",x{"," * 10}\n', encoding="utf-8")
+    assert [f.rsplit("/", 1)[1] for f in broken_files(spark, str(path))] == ["broken.csv"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        copy = read_extract(spark, str(path))
+        assert copy.rdd.getNumPartitions() > 4
+        assert copy.count() == 3001
+        assert copy.where("sku_id = 'x'").first().supplier_name == "two\nlines"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_csv_columns_are_found_by_name(spark, tmp_path):

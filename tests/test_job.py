@@ -101,3 +101,38 @@ def test_calendar_months_write_no_scorecard(spark, mart_path, tmp_path):
         "inb_m0",
     ]
     assert len(folders) == len(ALL_TABLES) - 1
+
+
+def test_kept_cells_and_parquet_give_the_same_tables(spark, mart_path, tmp_path):
+    common = ["--mart", mart_path, "--date", "20191118", "--tables", "tracking", "cogs"]
+    first = run(spark, parse([*common, "--out", f"{tmp_path}/a"]))
+    second = run(
+        spark,
+        parse([*common, "--out", f"{tmp_path}/b", "--kept", f"{tmp_path}/kept", "--format", "parquet"]),
+    )
+    third = run(
+        spark,
+        parse(
+            [*common, "--out", f"{tmp_path}/c", "--save-extract", f"{tmp_path}/x"]
+            + ["--extract-format", "parquet", "--sku-sketches"]
+        ),
+    )
+    for name in first:
+        one = sorted(map(str, spark.read.csv(first[name], header=True, inferSchema=True).collect()))
+        assert one == sorted(map(str, spark.read.csv(third[name], header=True, inferSchema=True).collect()))
+        assert len(one) == spark.read.parquet(second[name]).count()
+    with pytest.raises(SystemExit):
+        parse(["--extract", "x", "--kept", "y", "--out", "z"])
+
+
+def test_runs_for_regions_in_turn_keep_each_other(spark, mart_path, tmp_path):
+    for region in ("R1", "R3"):
+        folders = run(
+            spark,
+            parse(
+                ["--mart", mart_path, "--date", "20191118", "--regions", region]
+                + ["--out", f"{tmp_path}/r", "--tables", "tracking"]
+            ),
+        )
+    table = spark.read.csv(folders["tracking"], header=True)
+    assert sorted(r.supplier_name for r in table.collect()) == ["S", "T", "V"]

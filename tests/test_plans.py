@@ -8,6 +8,7 @@ import pytest
 
 from cashcycle.catalog import queries as catalog
 from cashcycle.operators.cells import supplier_day_cells
+from cashcycle.operators.matrices import daily_matrices
 
 QUERIES = catalog.registered()
 
@@ -91,7 +92,22 @@ def test_consignment_lines_stay_in_the_files(spark, sf_dir):
 
 
 @pytest.mark.parametrize("name", ["sheet_cogs", "sheet_inventory", "monthly_cogs_sheet"])
-def test_sheets_read_written_daily_totals(spark, sf_dir, name):
+def test_sheets_have_metrics_and_days_from_one_grouping(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
-    assert "lineitem" not in plan
-    assert "daily-" in plan
+    assert "lineitem" not in plan and plan.count("/cells-") == 2
+    assert len(re.findall(r"(SortMerge|BroadcastHash|ShuffledHash)Join", plan)) == 1
+    assert plan.count("collect_list(") == plan.count("partial_collect_list(") * 2
+
+
+def test_coverage_reads_the_cells_only(spark, sf_dir):
+    plan = plan_of(QUERIES["report_coverage"](spark, sf_dir))
+    assert "lineitem" not in plan and "/cells-" in plan
+
+
+def test_four_matrices_are_one_shuffle_of_the_daily_totals(spark, sf_dir):
+    periods = catalog.MID_MONTH
+    daily = catalog.all_daily_totals(spark, sf_dir)
+    measures = (catalog.COGS, catalog.INBOUND, catalog.INVENTORY, catalog.PAYABLES)
+    before = len(re.findall(r"Exchange hashpartitioning", plan_of(daily)))
+    wide = daily_matrices(daily, measures, periods.extract_span)
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of(wide))) == before + 1
