@@ -1,6 +1,7 @@
 """The daily run: kept cells, refreshed by the days that are new.
 
-A folder keeps what the reports need of each region and day, as Parquet partitioned by both:
+A folder keeps what the reports need of each region and day, as Parquet partitioned by both.
+The rows of a partition, usually one file, are of three kinds:
 
 * ``cells``: base cells, from which the cells of any report date follow;
 * ``brands``: brand counts, which add up over days;
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +39,22 @@ from cashcycle.schema import DAY, REGION
 from cashcycle.sources.mart import extract
 from cashcycle.sources.publish import Publication
 
+KIND = "kind"
 KEPT = {"cells": base_cells, "brands": brand_day_counts, "skus": sku_sketches}
 DAYS_SCHEMA = f"{REGION} string, {DAY} date"
 
 
+def kept_rows(rows: DataFrame) -> DataFrame:
+    """The rows of all kinds that are kept of extract rows."""
+    kinds = [table(rows).withColumn(KIND, F.lit(name)) for name, table in KEPT.items()]
+    return reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), kinds)
+
+
 def read_kept(mart: DataFrame, path: str, name: str) -> DataFrame:
-    """One of the tables kept of ``mart``, of all regions and days there are."""
-    some = Span(date.min, date.min)
-    schema = KEPT[name](extract(mart, some)).schema  # as the mart has its measures; reads nothing
-    return mart.sparkSession.read.schema(schema).parquet(f"{path.rstrip('/')}/{name}")
+    """What is kept of one kind of ``mart``, of all regions and days there are."""
+    none = extract(mart, Span(date.min, date.min))  # for its types; it is not read
+    table = mart.sparkSession.read.schema(kept_rows(none).schema).parquet(f"{path.rstrip('/')}/kept")
+    return table.where(F.col(KIND) == name).select(*KEPT[name](none).columns)
 
 
 def days_read(
@@ -86,9 +95,8 @@ def refresh(
         rows = rows.where(F.col(DAY).isin(days))
     publication = Publication(spark, path)
     try:
-        for name, table in KEPT.items():
-            part = table(rows).hint("rebalance", REGION, DAY)
-            publication.add(name, part, (REGION, DAY), "parquet")
+        part = kept_rows(rows).hint("rebalance", REGION, DAY)
+        publication.add("kept", part, (REGION, DAY), "parquet")
     except BaseException:
         publication.discard()
         raise

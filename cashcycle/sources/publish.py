@@ -66,7 +66,9 @@ class Publication:
         for folder in sorted(old):
             if folder in new or covers(_values(folder)):
                 self._move(f"{self.path}/{name}/{folder}", f"{self.aside}/old/{name}/{folder}")
-        for folder in sorted(new):
+        # A first-level folder that is not there yet moves as a whole.
+        there = {folder.split("/")[0] for folder in old}
+        for folder in sorted({f if (top := f.split("/")[0]) in there else top for f in new}):
             self._move(f"{self.aside}/new/{name}/{folder}", f"{self.path}/{name}/{folder}")
 
     def _partitions(self, folder: str, depth: int) -> set[str]:
