@@ -15,7 +15,13 @@ from cashcycle.functions.money import total
 from cashcycle.functions.periods import CALENDAR
 from cashcycle.operators import brands, quality, rows, snapshot, windows
 from cashcycle.operators.cells import daily_totals, supplier_day_cells
-from cashcycle.operators.matrices import daily_matrix, matrix_to_long
+from cashcycle.operators.matrices import (
+    daily_matrices,
+    daily_matrix,
+    day_metrics,
+    matrix_to_long,
+    measure_matrix,
+)
 from cashcycle.operators.watchlist import on_watchlist
 from cashcycle.plans.report import ReportOptions
 from cashcycle.plans.scorecard import display
@@ -317,6 +323,44 @@ def test_empty_watchlist_filters_nothing(spark):
     assert on_watchlist(source, empty).count() == 2
 
 
+# --- metrics of the days of a row ------------------------------------------------
+
+
+@pytest.mark.parametrize("measure", ["cogs_usd", "inventory_value_usd"])
+def test_metrics_of_days_equal_those_of_rows(spark, measure):
+    source = mart(
+        spark,
+        *[
+            {"supplier_name": f"S{n % 4}", "grass_date": days_ago(n * 7 % 139), measure: n / 4}
+            for n in range(60)
+            if n % 4 != 3 or n * 7 % 139 > 100
+        ],
+        {"supplier_name": "S0", measure: None},
+    )
+    daily, spans = daily_totals(source), PERIODS.trailing_windows()
+    wide = daily_matrices(daily, [measure], PERIODS.extract_span)
+    for zero in (False, True):
+        own = day_metrics(wide, measure, spans, PERIODS.extract_span, zero)
+        theirs = windows.period_metrics(daily, measure, spans)
+        if zero and measure == "cogs_usd":
+            theirs = theirs.fillna(0)
+        ours = wide.select("grass_region", "supplier_name", *own)
+        assert ours.columns == theirs.columns
+        assert sorted(ours.collect()) == sorted(theirs.collect())
+    with pytest.raises(ValueError, match="m2"):
+        day_metrics(wide, measure, spans, Span.trailing(AS_OF, 100))
+
+
+def test_two_measures_of_one_grouping(spark):
+    source = mart(spark, {"cogs_usd": 2.0}, {"grass_date": days_ago(3), "inbound_value_usd": 5.0}, {"supplier_name": "T", "grass_date": days_ago(40)})
+    wide = daily_matrices(daily_totals(source), ["cogs_usd", "inbound_value_usd"], LAST_30)
+    for measure in ("cogs_usd", "inbound_value_usd"):
+        ours = measure_matrix(wide, measure, LAST_30)
+        theirs = daily_matrix(daily_totals(source), measure, LAST_30)
+        assert ours.columns == theirs.columns
+        assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+
+
 # --- invariants ------------------------------------------------------------------
 
 
