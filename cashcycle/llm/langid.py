@@ -1,10 +1,11 @@
 """Language identification by compression.
 
 Each language has a raw-content zstandard dictionary made of a bounded sample of its
-texts: of the ``sample_rows`` documents with the smallest hashed ids the first
-``sample_chars`` characters each, up to ``dictionary_bytes``. A text is taken as its
-lower-case words, cut into blocks of ``block_bytes`` and encoded whole with every dictionary; the language with the
-smallest total wins. Where two totals are equal, the share of the text's words that stand in
+texts: of the ``sample_rows`` documents with a letter and the smallest hashed ids, up to
+``sample_chars`` characters of their words, in ``pieces`` pieces spread evenly over the
+whole text. The ``dictionary_bytes`` are shared by all of them: every piece is cut to the same
+length, the longest that fits. A text is taken as its lower-case words, cut into blocks of
+``block_bytes`` and encoded whole with every dictionary; the language with the smallest total wins. Where two totals are equal, the share of the text's words that stand in
 a dictionary decides by up to half a byte. ``margin`` is how much larger the second total
 is; below ``min_margin`` the text is rejected.
 
@@ -41,6 +42,7 @@ def _letters(text: str) -> bytes:
 class LanguageOptions:
     sample_rows: int = 300
     sample_chars: int = 2048
+    pieces: int = 8
     dictionary_bytes: int = 1 << 16
     block_bytes: int = 4096
     level: int = 4
@@ -49,21 +51,40 @@ class LanguageOptions:
 
 def dictionaries(train: DataFrame, options: LanguageOptions) -> dict[str, bytes]:
     """One dictionary per language of ``train`` (doc_id, text, lang)."""
+    words = F.trim(F.regexp_replace(F.col("text").cast("string"), r"[^\p{L}\p{M}']+", " "))
     usable = train.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("lang").cast("string").alias("lang"),
-        F.substring("text", 1, options.sample_chars).alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), words.alias("words")
     )
-    usable = usable.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    chosen = usable.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= options.sample_rows)
-    whole = chosen.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("texts"))
+    usable = usable.filter(F.col("lang").isNotNull() & F.col("words").rlike(r"\p{L}"))
+    spread = usable.select("doc_id", "lang", _pieces(options).alias("parts"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "parts")
+    chosen = spread.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= options.sample_rows)
+    whole = chosen.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "parts"))).alias("sample"))
     found = {}
     for row in whole.orderBy("lang").toLocalIterator():  # sample_rows * sample_chars at most, each
-        found[row.lang] = _letters("\n".join(x.text for x in row.texts))[: options.dictionary_bytes]
+        found[row.lang] = _shared([_letters(p) for x in row.sample for p in x.parts], options.dictionary_bytes)
     return found
 
 
+def _pieces(options: LanguageOptions):
+    """A text's words whole, or as many pieces of them, from its begin to its end."""
+    size, gaps = options.sample_chars // options.pieces, options.pieces - 1
+    starts = F.sequence(F.lit(0), F.lit(gaps))
+    room = F.length("words") - size
+    cut = F.transform(starts, lambda k: F.substr("words", 1 + F.floor(k * room / gaps).cast("int"), F.lit(size)))
+    return F.when(F.length("words") <= options.sample_chars, F.array("words")).otherwise(cut)
+
+
+def _shared(parts: list[bytes], room: int) -> bytes:
+    """The parts, each cut to the longest length at which all fit into ``room``, spaces included."""
+    lengths = np.array([len(p) + 1 for p in parts])
+    low, high = 0, int(lengths.max())
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if np.minimum(lengths, middle).sum() <= room else (low, middle - 1)
+    return b" ".join(p[: max(0, low - 1)] for p in parts)[:room]
+
+
 class Identifier:
     """Encodes texts with every dictionary."""
 

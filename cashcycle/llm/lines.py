@@ -1,7 +1,7 @@
 """Fuzzy line dedup: MinHash bands of normalised lines, SimHash filter, edit similarity.
 
 A line is a run of text between line feeds. It is normalised to its words: letters in
-lower case (A-Z and the Latin-1 capitals), digits as 0, everything else of ASCII a
+lower case (A-Z and the Latin-1 capitals), digits as they are, everything else of ASCII a
 separator. Lines of fewer than ``min_words`` words are left alone. A line has ``bands`` keys, each
 of ``band_size`` MinHash values of its words; lines that share a key are candidates. A changed
 word of ten leaves 9 of 11 words common, so nearly half of the keys equal. Candidates are
@@ -48,9 +48,7 @@ def _normal_bytes() -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     for code in range(128):
         char = chr(code)
-        if char.isdigit():
-            table[code] = ord("0")
-        elif char.isalpha():
+        if char.isalnum():
             table[code] = ord(char.lower())
         else:
             table[code] = 32

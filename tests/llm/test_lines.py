@@ -80,3 +80,14 @@ def test_recall_against_brute_force_on_ordinary_lines(spark):
     gone = {r.doc_id for r in found if r.text == ""}
     assert gone <= want and len(want) > 120
     assert len(gone) >= 0.97 * len(want)
+
+
+def test_rows_of_numbers_are_no_copies(spark):
+    rows = [
+        (1, "2019 01 02 03 04 balance due 1500 dollars\n12 34 56 78 90 11 22\nthe same line in both texts"),
+        (2, "2024 11 12 13 14 balance due 9732 dollars\n98 76 54 32 10 99 88\nthe same line in both texts"),
+    ]
+    found = {r.doc_id: r.text for r in remove_repeated_lines(spark.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert found[1] == rows[0][1]
+    assert found[2].startswith("2024 11 12 13 14 balance due 9732 dollars\n98 76 54 32 10 99 88")
+    assert "the same" not in found[2]

@@ -15,7 +15,7 @@ from texts_data import SCHEMA, awkward, prose, rows_of, words
 from tokenizers import Tokenizer
 
 from cashcycle.llm import attention, scoring, toxicity
-from cashcycle.llm.langid import identify, keep_identified
+from cashcycle.llm.langid import LanguageOptions, _shared, dictionaries, identify, keep_identified
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,22 @@ def languages() -> list[tuple]:
     return rows + [(900, None, "aa", "s", None), (901, "", None, "s", 0), (902, "12 !?", "bb", "s", 5), (903, "KATI MOSU", None, "s", 9)]
 
 
+def test_letters_late_in_a_text_teach_the_language(spark):
+    rows = [(k, "0123456789 " * 400 + t if lang == "aa" else t, lang, "s", 0) for k, t, lang, _, _ in languages()[:240] if t]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r.lang_pred for r in identify(docs, docs.filter("doc_id % 4 <> 2")).collect()}
+    assert np.mean([found[r[0]] == r[2] for r in rows if r[0] % 4 == 2]) > 0.95
+
+
+def test_dictionaries_take_all_sampled_documents_and_whole_texts(spark):
+    texts = [" ".join(f"w{chr(97 + k)}{chr(97 + j % 26)}" * 3 for j in range(3000)) for k in range(20)]
+    docs = spark.createDataFrame([(k, t, "xx", "s", 0) for k, t in enumerate(texts)], SCHEMA)
+    sample = dictionaries(docs, LanguageOptions(dictionary_bytes=8192))["xx"]
+    assert 8000 < len(sample) <= 8192
+    assert all(f"w{chr(97 + k)}".encode() in sample for k in range(20))
+    assert _shared([b"ab", b"c" * 50], 12) == b"ab cccccccc" and _shared([b"ab", b"cd"], 99) == b"ab cd"
+
+
 def test_language_id(spark, empty):
     docs = spark.createDataFrame(languages(), SCHEMA).repartition(3)
     train = docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
