@@ -24,7 +24,7 @@ _LETTERS_AT_ONCE = 256
 class WordEncoder:
     """Encodes texts word by word, keeping the ids of up to ``capacity`` words."""
 
-    def __init__(self, path: str, capacity: int = 1_000_000):
+    def __init__(self, path: str, capacity: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.capacity = capacity
         self.closes = None
