@@ -36,5 +36,6 @@ def sheet(
 ) -> DataFrame:
     """Period metrics beside the days they are worked out from, of the same row."""
     metrics = day_metrics(wide, measure, windows, span, zero_if_none)
-    rows = wide.select(*KEYS, *metrics, *day_columns(measure, span))
+    names = wide.select(*metrics).columns
+    rows = wide.select("*", *metrics).selectExpr(*KEYS, *names, *day_columns(measure, span))
     return with_category(rows, categories)
