@@ -1,13 +1,17 @@
-"""Fuzzy line dedup: MinHash bands of normalised lines, SimHash filter, edit similarity.
+"""Fuzzy line dedup: MinHash bands of normalised lines, exact letter-count bound, edit similarity.
 
 A line is a run of text between line feeds. It is normalised to its words: letters in
 lower case (A-Z and the Latin-1 capitals), digits as they are, everything else of ASCII a
-separator. Lines of fewer than ``min_words`` words are left alone. A line has ``bands`` keys, each
-of ``band_size`` MinHash values of its words; lines that share a key are candidates. A changed
-word of ten leaves 9 of 11 words common, so nearly half of the keys equal. Candidates are
-dropped when their SimHashes (of words, the longer ones with more weight) differ in more than
-``distance`` of 64 bits, which unlike lines mostly do, and linked when the Levenshtein distance
-of the normalised lines is at most ``1 - similarity`` of the longer one.
+separator. Lines with fewer than ``min_words`` words and fewer than ``min_chars`` characters
+are left alone. A line has ``bands`` keys, each of ``band_size`` MinHash values of its words;
+lines that share a key are candidates. A changed word of ten leaves 9 of 11 words common, so
+nearly half of the keys equal. Candidates are linked when the Levenshtein distance of the
+normalised lines is at most ``1 - similarity`` of the longer one.
+
+Before that, pairs are dropped that cannot be that close: an edit changes the length by one at
+most, and the counts of characters by two in all. Counts of 32 classes of characters are kept
+modulo 8, each as four bits of which neighbouring counts differ in one, so that the bits in which
+two lines differ are no more than twice their distance. The bound loses no pair.
 
 Of each connected group the occurrence with the smallest (doc_id, line) stays; equal lines
 are one item, so a line that stands in a third of all documents costs one row.
@@ -38,9 +42,9 @@ from cashcycle.llm.textops import chunks, mix, span_hashes, stream, word_spans
 @dataclass(frozen=True)
 class LineOptions:
     min_words: int = 5
+    min_chars: int = 20
     bands: int = 16
     band_size: int = 4
-    distance: int = 32
     similarity: float = 0.9
 
 
@@ -56,6 +60,7 @@ def _normal_bytes() -> np.ndarray:
 
 
 _NORMAL = _normal_bytes()
+BOUND = ("size", "low", "high")  # what bounds the edit distance of two lines from below
 
 
 def normalise(buf: np.ndarray) -> np.ndarray:
@@ -77,27 +82,30 @@ def line_offsets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return edges, np.searchsorted(starts, offsets)
 
 
-def _weights(lengths: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Words of four bytes and more weigh by length, up to 6: the short ones are common
-    words, which make unlike lines alike. A line of short words only counts them all."""
-    weights = np.clip(lengths - 3, 0, 6).astype(np.uint8)
-    blank = np.add.reduceat(weights, first, dtype=np.int64) == 0
-    weights[np.repeat(blank, counts)] = 1
-    return weights
-
-
-def _simhashes(words: np.ndarray, weights: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    out = np.empty(len(first), np.uint64)
-    step = 4096
-    for lo in range(0, len(first), step):
-        hi = min(lo + step, len(first))
-        a, b = first[lo], first[hi - 1] + counts[hi - 1]
-        bits = np.unpackbits(words[a:b].view(np.uint8).reshape(-1, 8), axis=1)
-        bits *= weights[a:b, None]
-        ones = np.add.reduceat(bits, first[lo:hi] - a, axis=0, dtype=np.int32)
-        total = np.add.reduceat(weights[a:b], first[lo:hi] - a, dtype=np.int32)
-        out[lo:hi] = np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64)[:, 0]
-    return out
+def _classes() -> np.ndarray:
+    """The class of a character by its last byte: letters, digits modulo 4, others modulo 2."""
+    table = 30 + np.arange(256) % 2
+    table[ord("a") : ord("z") + 1] = np.arange(26)
+    table[ord("0") : ord("9") + 1] = 26 + np.arange(10) % 4
+    return table
+
+
+_CLASSES = _classes()
+# Counts modulo 8, each next to the one before and the last to the first differing in one bit.
+_RING = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint64)
+
+
+def letter_counts(text: np.ndarray, edges: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters other than spaces of the lines ``numbers``, and their 128 bits of counts."""
+    last = np.append((text[1:] & 0xC0) != 0x80, True)
+    at = np.flatnonzero(last & (text != 32))
+    line = np.searchsorted(edges, at, "right") - 1
+    place = np.full(len(edges), -1)
+    place[numbers] = np.arange(len(numbers))
+    counts = np.bincount(place[line] * 32 + _CLASSES[text[at]], minlength=32 * len(numbers)).reshape(-1, 32)
+    shifts = np.uint64(4) * np.arange(16, dtype=np.uint64)
+    bits = _RING[counts % 8].reshape(len(numbers), 2, 16) << shifts
+    return counts.sum(1), np.bitwise_or.reduce(bits, axis=2)
 
 
 def _band_keys(words: np.ndarray, lengths: np.ndarray, first: np.ndarray, options: LineOptions) -> np.ndarray:
@@ -122,7 +130,7 @@ def _band_keys(words: np.ndarray, lengths: np.ndarray, first: np.ndarray, option
 
 
 def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
-    """(doc_id, line, code, simhash, bands...) of all lines that are long enough; a column of
+    """(doc_id, line, code, size, low, high, bands...) of all lines that are long enough; a column of
     bands holds two keys of 32 bits."""
     names = band_columns(options)
 
@@ -130,34 +138,37 @@ def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
         for batch in batches:
             for rows, buf, offsets in chunks(batch):
                 edges, first_line = line_offsets(buf, offsets)
-                starts, ends, lines = word_spans(normalise(buf), edges)
+                normal = normalise(buf)
+                starts, ends, lines = word_spans(normal, edges)
                 if not len(starts):
                     continue
-                words = span_hashes(normalise(buf), starts, ends)
+                words = span_hashes(normal, starts, ends)
                 begin = np.flatnonzero(np.diff(lines, prepend=-1))
                 counts = np.diff(np.append(begin, len(lines)))
                 numbers = lines[begin]
                 place = np.arange(len(words)) - np.repeat(begin, counts)
                 factor = stream(31, int(counts.max())) | np.uint64(1)
                 codes = mix(np.add.reduceat(words * factor[place], begin) + counts.astype(np.uint64))
-                weights = _weights(ends - starts, begin, counts)
-                simhashes = _simhashes(words, weights, begin, counts)
+                filled, bits = letter_counts(normal, edges, numbers)
+                sizes = filled + counts - 1  # with the spaces between words
                 documents = np.searchsorted(first_line, numbers, "right") - 1
                 bands = np.ascontiguousarray(_band_keys(words, ends - starts, begin, options)).view(np.int64)
-                keep = counts >= options.min_words
+                keep = (counts >= options.min_words) | (sizes >= options.min_chars)
                 documents = documents[keep]
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("doc_id").take(pa.array(documents)),
                         pa.array((numbers[keep] - first_line[documents]).astype(np.int32)),
                         pa.array(codes[keep].view(np.int64)),
-                        pa.array(simhashes[keep].view(np.int64)),
+                        pa.array(sizes[keep].astype(np.int32)),
+                        pa.array(bits[keep, 0].view(np.int64)),
+                        pa.array(bits[keep, 1].view(np.int64)),
                         *(pa.array(bands[keep, k]) for k in range(len(names))),
                     ],
-                    ["doc_id", "line", "code", "simhash", *names],
+                    ["doc_id", "line", "code", *BOUND, *names],
                 )
 
-    kinds = "doc_id long, line int, code long, simhash long" + "".join(f", {name} long" for name in names)
+    kinds = "doc_id long, line int, code long, size int, low long, high long" + "".join(f", {name} long" for name in names)
     return texts(docs).mapInArrow(run, kinds)
 
 
@@ -204,8 +215,7 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     items = features.groupBy("code").agg(
         F.min(F.struct("doc_id", "line")).alias("first"),
         F.count(F.lit(1)).alias("n"),
-        F.min("simhash").alias("simhash"),
-        *(F.min(name).alias(name) for name in band_columns(options)),
+        *(F.min(name).alias(name) for name in (*BOUND, *band_columns(options))),
     )
     items = scratch.keep(items, "items")
 
@@ -218,21 +228,25 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
         asked = asked.agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "code")).alias("asked"))
         tables["words"] = scratch.keep(_line_texts(packed_texts(docs).join(asked, "doc_id")), "words")
 
+    def allowed(one: Column, other: Column) -> Column:
+        return F.floor(F.greatest(one, other) * F.lit(1 - options.similarity) + 1e-9).cast("int")
+
     def check(pairs: DataFrame) -> DataFrame:
         words = tables["words"]
         both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
         both = both.join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
-        most = F.floor(F.greatest(F.length("wa"), F.length("wb")) * F.lit(1 - options.similarity) + 1e-9).cast("int")
-        both = both.withColumn("most", most)
+        both = both.withColumn("most", allowed(F.length("wa"), F.length("wb")))
         return both.filter("levenshtein(wa, wb, most) >= 0").select("a", "b").distinct()
 
     def close(left: Column, right: Column) -> Column:
-        return F.bit_count(left.bitwiseXOR(right)) <= options.distance
+        most = allowed(left["size"], right["size"])
+        differ = [F.bit_count(left[half].bitwiseXOR(right[half])) for half in ("low", "high")]
+        return (F.abs(left["size"] - right["size"]) <= most) & (differ[0] + differ[1] <= 2 * most)
 
     # Most keys have one line: they are counted, then bits go with the lines of the others only.
     keys = items.select(F.explode(band_keys(options)).alias("key"), F.col("code").alias("id"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    keys = keys.join(shared, "key").join(items.select(F.col("code").alias("id"), F.col("simhash").alias("bits")), "id")
+    keys = keys.join(shared, "key").join(items.select(F.col("code").alias("id"), F.struct(*BOUND).alias("bits")), "id")
     keys = scratch.keep(keys.select("key", "id", "bits"), "keys")
     found = linked_groups(scratch, keys, prepare, check, close=close)
     scratch.drop("words", "ids", "keys")
@@ -246,6 +260,14 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     return repeated.select("doc_id", "line")
 
 
+def _unused(name: str, columns: list[str]) -> str:
+    """``name``, longer if there is a column of that name in any case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def remove_repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataFrame:
     """``docs`` with one occurrence left of each group of repeated lines."""
 
@@ -266,11 +288,12 @@ def remove_repeated_lines(docs: DataFrame, options: LineOptions | None = None) -
             out.append(whole)
         return pd.Series(out, dtype=object)
 
-    gone = repeated_lines(docs, options).groupBy(F.col("doc_id").alias("__id"))
-    gone = gone.agg(F.collect_set("line").alias("__gone"))
+    own, removed = (_unused(name, docs.columns) for name in ("id_of_removed", "removed"))
+    gone = repeated_lines(docs, options).groupBy(F.col("doc_id").alias(own))
+    gone = gone.agg(F.collect_set("line").alias(removed))
     columns = [packed("text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.select(*columns).join(gone, F.col("doc_id") == F.col("__id"), "left")
-    columns = [without("text", "__gone").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    joined = docs.select(*columns).join(gone, F.col("doc_id") == F.col(own), "left")
+    columns = [without("text", removed).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     out = joined.select(*columns)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

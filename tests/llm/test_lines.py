@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from texts_data import SCHEMA, prose, rows_of
 
-from cashcycle.llm.lines import remove_repeated_lines
+from cashcycle.llm.lines import letter_counts, line_offsets, normalise, remove_repeated_lines
 
 
 def test_lines(spark):
@@ -91,3 +92,45 @@ def test_rows_of_numbers_are_no_copies(spark):
     assert found[1] == rows[0][1]
     assert found[2].startswith("2024 11 12 13 14 balance due 9732 dollars\n98 76 54 32 10 99 88")
     assert "the same" not in found[2]
+
+
+def test_letter_counts_bound_the_edit_distance():
+    """Half the bits in which two lines differ is never more than their edit distance."""
+    draw = random.Random(4)
+    lines = []
+    for k in range(40):
+        text = prose(300 + k, 12, 50) + " é漢字 07"[: draw.randrange(9)]
+        lines.append(text)
+        letters = list(text)
+        for _ in range(draw.randrange(1, 9)):
+            letters[draw.randrange(len(letters))] = draw.choice("abz 7漢é")
+        lines.append(" ".join("".join(letters).split()))
+    buf = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    edges, _ = line_offsets(buf, np.array([0, len(buf)]))
+    _, bits = letter_counts(normalise(buf), edges, np.arange(len(lines)))
+    near = 0
+    for a in range(len(lines)):
+        for b in range(a + 1, min(a + 6, len(lines))):
+            differ = sum(int(x).bit_count() for x in bits[a] ^ bits[b])
+            distance = edit_distance(lines[a], lines[b])
+            assert differ <= 2 * distance
+            near += differ > 10
+    assert near > 100
+
+
+def test_copies_of_short_and_unspaced_lines(spark):
+    chinese = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(160))
+    rows = [(k, f"four words of boilerplate\n{chinese}\nthe end\nown {prose(40 + k, 20)}") for k in range(3)]
+    found = {r.doc_id: r.text for r in remove_repeated_lines(spark.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert found[0] == rows[0][1]
+    for k in (1, 2):
+        assert found[k] == f"the end\nown {prose(40 + k, 20)}"
+
+
+def test_columns_named_like_the_helpers(spark):
+    line = prose(13, 20)
+    docs = spark.createDataFrame(rows_of([(1, line), (2, line)]), SCHEMA).withColumnRenamed("source", "Removed")
+    docs = docs.withColumnRenamed("lang", "id_of_removed")
+    found = remove_repeated_lines(docs)
+    assert found.columns == docs.columns
+    assert {r.doc_id: r.text for r in found.collect()} == {1: line, 2: ""}
