@@ -13,6 +13,9 @@ Within a list a query's distances to codes come from a table per subspace. A
 vector's own quantisation error is stored, so the triangle inequality drops only what
 cannot be linked; what is left is measured exactly, in double precision.
 
+Identical vectors are one weighted item, whatever their number: it is compared once and counts
+as many links as it has copies.
+
 Lists and their queries are cut into blocks by hash, and each pair of blocks is one group:
 no task holds a whole list, however many vectors are alike. Groups return counts and
 spanning links, never all pairs. Only centroids, codewords and list sizes go through the
@@ -86,12 +89,18 @@ def _square_distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * (x @ c.T), 0)
 
 
+def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The nearest centroid of each vector, a block of distances at a time."""
+    blocks = np.array_split(x, len(x) // 4096 + 1)
+    return np.concatenate([_square_distances(b, centroids).argmin(1) for b in blocks])
+
+
 def k_means(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
     """Centroids; an empty one keeps its place. Deterministic for the order of ``x``."""
     centroids = np.unique(x, axis=0)
     centroids = centroids[np.random.default_rng(7).permutation(len(centroids))[:k]]
     for _ in range(rounds):
-        nearest = np.concatenate([_square_distances(b, centroids).argmin(1) for b in np.array_split(x, len(x) // 4096 + 1)])
+        nearest = _nearest(x, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, nearest, x)
         counts = np.bincount(nearest, minlength=len(centroids))
@@ -106,11 +115,12 @@ class Index:
     parts: list[np.ndarray]  # columns of each subspace
     codebooks: list[np.ndarray]
     options: EmbeddingOptions
+    between: np.ndarray | None = None  # of centroids, worked out once in each worker
 
     @classmethod
     def fit(cls, sample: np.ndarray, lists: int, options: EmbeddingOptions) -> Index:
         centroids = k_means(sample, lists, options.rounds)
-        rest = sample - centroids[_square_distances(sample, centroids).argmin(1)]
+        rest = sample - centroids[_nearest(sample, centroids)]
         parts = np.array_split(np.arange(sample.shape[1]), -(-sample.shape[1] // options.subspace))
         books = [k_means(rest[:, p], options.codewords, options.rounds) for p in parts]
         return cls(centroids, parts, books, options)
@@ -119,8 +129,9 @@ class Index:
         """Nearest list of each vector, and which lists it probes."""
         d = _square_distances(x, self.centroids)
         own = d.argmin(1)
-        between = np.sqrt(_square_distances(self.centroids, self.centroids))
-        limit = 2 * self.options.probe_slack * self.options.reach * between[own]
+        if self.between is None:
+            self.between = np.sqrt(_square_distances(self.centroids, self.centroids))
+        limit = 2 * self.options.probe_slack * self.options.reach * self.between[own]
         return own, d - d[np.arange(len(x)), own][:, None] <= limit
 
     def encode(self, x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +155,7 @@ def _matrix(column, dim: int) -> np.ndarray:
 
 
 def _indexed(units: DataFrame, index, dim: int) -> DataFrame:
-    """(vec_id, unit, cell, codes, error, probed)."""
+    """(vec_id, n_copies, unit, cell, codes, error, probed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_index = index.value
@@ -157,17 +168,18 @@ def _indexed(units: DataFrame, index, dim: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("vec_id"),
+                        rows.column("n_copies"),
                         rows.column("unit"),
                         pa.array(own.astype(np.int32)),
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(errors),
                         pa.array([np.flatnonzero(p).astype(np.int32) for p in probed], pa.list_(pa.int32())),
                     ],
-                    ["vec_id", "unit", "cell", "codes", "error", "probed"],
+                    ["vec_id", "n_copies", "unit", "cell", "codes", "error", "probed"],
                 )
 
     return units.mapInArrow(
-        run, "vec_id long, unit binary, cell int, codes binary, error double, probed array<int>"
+        run, "vec_id long, n_copies long, unit binary, cell int, codes binary, error double, probed array<int>"
     )
 
 
@@ -212,17 +224,19 @@ def _matcher(index, dim: int, options: EmbeddingOptions):
         q_at, v_at = np.concatenate(q_at), np.concatenate(v_at)
         ids = np.unique(np.concatenate([query_ids[q_at], list_ids[v_at]]))
         a, b = np.searchsorted(ids, query_ids[q_at]), np.searchsorted(ids, list_ids[v_at])
-        counts = np.bincount(a, minlength=len(ids))
+        here, there = queries["n_copies"].to_numpy(np.int64), lists["n_copies"].to_numpy(np.int64)
+        counts = np.zeros(len(ids), np.int64)
+        np.add.at(counts, a, there[v_at])
         # a vector that does not probe its query's list would not find it by itself
         back = np.array([home[q] not in probed[v] for q, v in zip(q_at.tolist(), v_at.tolist(), strict=True)], bool)
-        counts += np.bincount(b[back], minlength=len(ids))
+        np.add.at(counts, b[back], here[q_at[back]])
         return pd.DataFrame({"vec_id": ids, "n": counts, "root": ids[_spanning(a, b, len(ids))]})
 
     return run
 
 
 def _links_of(scratch: Scratch, units: DataFrame, dim: int, options: EmbeddingOptions) -> DataFrame:
-    """(vec_id, n, root): partial link counts and spanning links of the vectors of one length."""
+    """(vec_id, n, root): partial link counts and spanning links of different vectors of one length."""
     spark = units.sparkSession
     total = units.count()
     lists = int(min(options.max_lists, np.ceil(np.sqrt(total))))
@@ -231,7 +245,7 @@ def _links_of(scratch: Scratch, units: DataFrame, dim: int, options: EmbeddingOp
     index = spark.sparkContext.broadcast(fitted)
     indexed = scratch.keep(_indexed(units, index, dim), f"indexed{dim}")
     again = spark.read.schema(indexed.schema).parquet(scratch.paths[f"indexed{dim}"])
-    queries = again.select("vec_id", "unit", F.col("cell").alias("home"), F.explode("probed").alias("cell"))
+    queries = again.select("vec_id", "n_copies", "unit", F.col("cell").alias("home"), F.explode("probed").alias("cell"))
     sizes = indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_list"))
     sizes = sizes.join(queries.groupBy("cell").agg(F.count(F.lit(1)).alias("n_query")), "cell")
     sizes = scratch.keep(
@@ -249,6 +263,7 @@ def _links_of(scratch: Scratch, units: DataFrame, dim: int, options: EmbeddingOp
         F.pmod(block, "list_blocks").cast("int").alias("list_part"),
         F.explode(F.expr("sequence(0, query_blocks - 1)")).alias("query_part"),
         "vec_id",
+        "n_copies",
         "unit",
         "codes",
         "error",
@@ -259,6 +274,7 @@ def _links_of(scratch: Scratch, units: DataFrame, dim: int, options: EmbeddingOp
         F.explode(F.expr("sequence(0, list_blocks - 1)")).alias("list_part"),
         F.pmod(block, "query_blocks").cast("int").alias("query_part"),
         "vec_id",
+        "n_copies",
         "unit",
         "home",
     )
@@ -271,24 +287,34 @@ def linked_vectors(vectors: DataFrame, options: EmbeddingOptions | None = None)
     """(vec_id, n_links, component_id, kept) of every vector."""
     options = options or EmbeddingOptions()
     scratch = Scratch(vectors.sparkSession)
-    units = scratch.keep(unit_vectors(vectors), "units")
-    usable = units.filter("unit IS NOT NULL")
+    units = unit_vectors(vectors).withColumn("digest", F.sha2("unit", 256))
+    units = scratch.keep(units, "units")
+    classes = units.filter("unit IS NOT NULL").groupBy("dim", "digest")
+    classes = classes.agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("n_copies"), F.min("unit").alias("unit"))
+    classes = scratch.keep(classes, "classes")
     found = None
-    for (dim,) in usable.select("dim").distinct().orderBy("dim").collect():  # the vectors' lengths
-        part = _links_of(scratch, usable.filter(F.col("dim") == dim).select("vec_id", "unit"), dim, options)
-        part = scratch.keep(part, f"found{dim}")
+    for (dim,) in classes.select("dim").distinct().orderBy("dim").collect():  # the vectors' lengths
+        part = classes.filter(F.col("dim") == dim).select("vec_id", "n_copies", "unit")
+        part = scratch.keep(_links_of(scratch, part, dim, options), f"found{dim}")
         found = part if found is None else found.union(part)
     own = F.col("vec_id")
+    none = F.lit(0).cast("long")
     if found is None:
-        return units.select("vec_id", F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
+        return units.select("vec_id", none.alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept"))
     groups = components(scratch, found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    out = units.select("vec_id").join(counts, "vec_id", "left")
-    out = out.join(groups.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_others"))
+    linked = classes.drop("unit").join(counts, "vec_id", "left")
+    linked = linked.join(groups.withColumnRenamed("id", "vec_id"), "vec_id", "left").select(
+        "dim",
+        "digest",
+        (F.col("n_copies") - 1 + F.coalesce("n_others", none)).alias("n_links"),
+        F.coalesce("component", "vec_id").alias("component"),
+    )
+    out = units.select("vec_id", "dim", "digest").join(linked, ["dim", "digest"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.coalesce("n_links", none).alias("n_links"),
         component.alias("component_id"),
         (own == component).alias("kept"),
     )

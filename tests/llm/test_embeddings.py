@@ -54,3 +54,15 @@ def test_empty(spark):
     assert linked_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     only = spark.createDataFrame([(1, None, 1), (1, None, 1)], SCHEMA)
     assert [tuple(r) for r in linked_vectors(only).collect()] == [(1, 0, 1, True)]
+
+
+def test_identical_vectors_are_one_item(spark):
+    draw = np.random.default_rng(3)
+    hot, near, far = draw.normal(size=(3, 16))
+    near = hot + 0.01 * near
+    docs = spark.range(30_000).selectExpr("id AS vec_id", "CASE WHEN id >= 29999 THEN 2 WHEN id >= 29990 THEN 1 ELSE 0 END AS k")
+    kinds = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate((hot, near, far))], "k int, embedding array<float>")
+    found = linked_vectors(docs.join(kinds, "k").select("vec_id", "embedding", "k"))
+    counts = found.groupBy("n_links", "component_id").count().collect()
+    assert {tuple(r) for r in counts} == {(29_998, 0, 29_999), (0, 29_999, 1)}
+    assert found.filter("kept").count() == 2
