@@ -17,6 +17,8 @@ counts as empty. Repeated rows give repeated results. Rows without ``doc_id`` ar
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,15 +75,17 @@ def _bits(count: Column) -> Column:
     return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
-def _dense(candidate: Column, window: int, bits: float) -> Column:
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _dense(candidate: Column, alphabet: str, window: int, bits: float) -> Column:
     """First and last (exclusive) character of the windows with enough entropy, -1 if none."""
-    letters = F.split(candidate, "")
-    kinds = F.array_sort(F.array_distinct(letters))
-    entering = F.transform(letters, lambda c: F.array_position(kinds, c).cast("int"))
-    leaving = F.concat(F.array_repeat(F.lit(0), window), entering)
-    moves = F.arrays_zip(entering.alias("come"), leaving.alias("go"))
+    # A character's place in the alphabet by its code: the same work for each, however long the run.
+    places = F.array(*[F.lit(alphabet.find(chr(code))) for code in range(128)])
     nothing = F.struct(
-        F.array_repeat(F.lit(0), F.size(kinds)).alias("counts"),
+        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("at"),
         F.lit(-1).alias("first"),
@@ -90,47 +94,63 @@ def _dense(candidate: Column, window: int, bits: float) -> Column:
 
     def step(s: Column, move: Column) -> Column:
         come, go = move["come"], move["go"]
-        arrives, leaves = F.get(s["counts"], come - 1), F.get(s["counts"], go - 1)
+        arrives, leaves = F.get(s["counts"], come), F.get(s["counts"], go)
         shift = F.when(come == go, F.lit(0.0)).otherwise(
-            _bits(arrives + 1) - _bits(arrives) + F.when(go > 0, _bits(leaves - 1) - _bits(leaves)).otherwise(0.0)
-        )
-        counts = F.transform(
-            s["counts"],
-            lambda n, k: n + (k == come - 1).cast("int") - (k == go - 1).cast("int"),
+            _bits(arrives + 1) - _bits(arrives) + F.when(go >= 0, _bits(leaves - 1) - _bits(leaves)).otherwise(0.0)
         )
-        at, total = s["at"] + 1, s["total"] + shift
-        entropy = F.lit(window).cast("double")
-        dense = (at >= window) & (F.log2(entropy) - total / window >= bits)
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("total"),
-            at.alias("at"),
-            F.when(dense & (s["first"] < 0), at - window).otherwise(s["first"]).alias("first"),
-            F.when(dense, at).otherwise(s["last"]).alias("last"),
+        counts = F.transform(s["counts"], lambda n, k: n + (k == come).cast("int") - (k == go).cast("int"))
+        at = s["at"] + 1
+
+        def moved(total: Column) -> Column:
+            entropy = F.log2(F.lit(window).cast("double")) - total / window
+            dense = (at >= window) & (entropy >= bits)
+            return F.struct(
+                counts.alias("counts"),
+                total.alias("total"),
+                at.alias("at"),
+                F.when(dense & (s["first"] < 0), at - window).otherwise(s["first"]).alias("first"),
+                F.when(dense, at).otherwise(s["last"]).alias("last"),
+            )
+
+        return _with(s["total"] + shift, moved)
+
+    def slid(entering: Column) -> Column:
+        leaving = F.concat(F.array_repeat(F.lit(-1), window), entering)
+        moves = F.filter(F.arrays_zip(entering.alias("come"), leaving.alias("go")), lambda m: m["come"].isNotNull())
+        return F.aggregate(
+            moves, nothing, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"))
         )
 
-    steps = F.filter(moves, lambda m: m["come"].isNotNull())
-    return F.aggregate(steps, nothing, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+    entering = F.transform(F.split(candidate, ""), lambda c: F.get(places, F.ascii(c)))
+    return _with(entering, slid)
+
+
+def _alphabet(letters: str) -> str:
+    """The characters of a class of ASCII."""
+    return "".join(chr(c) for c in range(128) if re.fullmatch(f"[{letters}]", chr(c)))
 
 
 def _entropy_spans(text: Column, letters: str, kind: int, bits: float, options: SecretOptions) -> Column:
-    pattern = rf"(?=[{letters}]*?(?:[0-9]|[a-z][A-Z]))[{letters}]{{{options.window},}}+"
+    # tried where a run begins only: within a run of n characters it would look ahead n times
+    pattern = rf"(?<![{letters}])(?=[{letters}]*?(?:[0-9]|[a-z][A-Z]))[{letters}]{{{options.window},}}+"
     runs = _spans(text, pattern, kind)
 
     def measured(span: Column) -> Column:
         run = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-        dense = _dense(run, options.window, bits)
-        allowed = F.regexp_like(run, F.lit(options.allow))
-        return F.when(
-            ~allowed,
-            F.struct(
-                (span["start"] + dense["first"]).alias("start"),
-                (span["start"] + dense["last"]).alias("end"),
-                span["kind"].alias("kind"),
-            ),
+        place = _with(run, judged)
+        return F.struct(
+            (span["start"] + place["first"]).alias("start"),
+            (span["start"] + place["last"]).alias("end"),
+            span["kind"].alias("kind"),
         )
 
-    return F.filter(F.transform(runs, measured), lambda s: s["end"] > s["start"])
+    def judged(run: Column) -> Column:
+        allowed = F.regexp_like(run, F.lit(options.allow))
+        return F.when(~allowed, _dense(run, _alphabet(letters), options.window, bits))
+
+    return F.filter(
+        F.transform(runs, lambda span: _with(measured(span), lambda s: s)), lambda s: s["end"] > s["start"]
+    )
 
 
 def _joined(spans: Column) -> Column:

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter
 
 from texts_data import SCHEMA, prose, rows_of
@@ -72,3 +74,18 @@ def test_no_python_in_the_plan(spark, docs, empty):
     plan = secret_digest(find_secrets(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert find_secrets(docs).count() == docs.count() and find_secrets(empty).count() == 0
+
+
+def test_very_long_runs(spark):
+    """Time grows with the length of a run: these end in seconds."""
+    draw = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blob = "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" + "".join(draw.choices(letters, k=200_000))
+    plain = "".join(draw.choices(letters[26:52], k=200_000))
+    docs = spark.createDataFrame(rows_of([(1, f"see {blob} end"), (2, plain)]), SCHEMA)
+    begin = time.monotonic()
+    rows = {r.doc_id: r.spans for r in secret_digest(find_secrets(docs, SecretOptions(allow="example"))).collect()}
+    assert time.monotonic() - begin < 60
+    kind, start, end = rows[1].split(":")
+    assert (kind, int(end)) == ("entropy_base64", 4 + len(blob)) and 4 < int(start) < 40
+    assert rows[2] == ""
