@@ -1,38 +1,54 @@
 """Token ids of whole batches by a public tokenizer.
 
-Words repeat, so each task encodes a word once and looks it up afterwards. This gives
+Words repeat, so a worker encodes a word once and looks it up afterwards. This gives
 the tokenizer's own ids wherever no token spans white space, as with vocabularies that
 split on it (``word_bpe_49k.json``).
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-from cashcycle.llm.textops import span_hashes, word_spans
-
+from cashcycle.llm.textops import mix, span_hashes, word_spans
 
-# A word of Latin letters, perhaps with a mark behind it: always one run of letters and one
-# mark for the tokenizer, so its ids are those of the two.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([.,]?)")
 _LETTERS_AT_ONCE = 256
+_MARKS = (".", ",")
+_WHOLE = np.uint64(0x5851F42D4C957F2D)  # tells whole words from runs of letters with equal bytes
+
+
+def _letters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to Latin letters (A-Z, a-z, À-Þ, ß-ÿ), and the bytes in lower case."""
+    lower = buf.copy()
+    upper = (buf >= 65) & (buf <= 90)
+    lower[upper] += 32
+    inside = (lower >= 97) & (lower <= 122)
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    second = buf[lead + 1]
+    there = (second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)
+    lead, second = lead[there], second[there]
+    inside[lead] = inside[lead + 1] = True
+    lower[lead + 1] += np.where(second <= 0x9E, np.uint8(32), np.uint8(0))
+    return inside, lower
 
 
 class WordEncoder:
-    """Encodes texts word by word, keeping the ids of up to ``capacity`` words."""
+    """Encodes texts word by word.
+
+    The ids of earlier words are kept in a table of ``slots`` places, where a word takes the
+    place of another one with the same slot; all are forgotten when ``kept_ids`` ids are kept.
+    A worker so holds 20 bytes a slot and 4 bytes an id at most, whatever the corpus.
+    """
 
-    def __init__(self, path: str, capacity: int = 500_000):
+    def __init__(self, path: str, slots: int = 1 << 20, kept_ids: int = 6_000_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.capacity = capacity
+        self.slots, self.kept_ids = slots, kept_ids
         self.closes = None
         model = self.tokenizer.model
         if getattr(model, "end_of_word_suffix", None) == "</w>":
-            self.closes = [False] * self.tokenizer.get_vocab_size()
+            closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
             for token, number in self.tokenizer.get_vocab(False).items():
-                self.closes[number] = token.endswith("</w>")
+                closes[number] = token.endswith("</w>")
             self.plain = Tokenizer(model)
             self.plain.pre_tokenizer = pre_tokenizers.Sequence(
                 [
@@ -40,83 +56,116 @@ class WordEncoder:
                     pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
                 ]
             )
-            self.marks = {m: self._each([m])[0] if m else [] for m in ("", ".", ",")}
+            marks = [e.ids for e in self.tokenizer.encode_batch_fast(list(_MARKS), add_special_tokens=False)]
+            if all(len(ids) == 1 for ids in marks):
+                self.closes = closes
+                self.marks = np.array([0] + [ids[0] for ids in marks], np.uint32)
         self._forget()
 
     def _forget(self) -> None:
-        self.letters: dict[str, list[int]] = {}
-        self.places: dict[int, int] = {}  # a word's hash -> its place in first and count
-        self.first = np.empty(1 << 16, np.int64)  # where a word's ids begin in self.ids
-        self.count = np.empty(1 << 16, np.int64)
-        self.ids = np.empty(1 << 18, np.uint32)
+        self.keys = np.zeros(self.slots, np.uint64)
+        self.first = np.zeros(self.slots, np.int64)  # where a word's ids begin in self.ids
+        self.count = np.zeros(self.slots, np.int32)  # 0: the slot is free
+        self.ids = np.empty(1 << 16, np.uint32)
         self.used = 0
 
-    def _each(self, words: list[str]) -> list[list[int]]:
-        if not words:
-            return []
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _encode_letters(self, words: list[str]) -> None:
-        """Runs of lower-case letters, many in one call: each ends at its end-of-word id."""
-        for lo in range(0, len(words), _LETTERS_AT_ONCE):
-            block = words[lo : lo + _LETTERS_AT_ONCE]
-            text = " ".join(block)
-            ids = self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            at = 0
-            for word in block:
-                end = at + 1
-                while not self.closes[ids[end - 1]]:
-                    end += 1
-                self.letters[word] = ids[at:end]
-                at = end
-
-    def _ids_of(self, words: list[str]) -> list[list[int]]:
+    def _keys(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Each word's key, its bytes (from ``source``, up to ``ends``), whether they are a run of
+        letters, and the mark behind the run.
+
+        Latin letters with or without one mark behind them are always a run of letters, in lower
+        case, and a mark for the tokenizer, so the ids are those of the two.
+        """
         if self.closes is None:
-            return self._each(words)
-        matches = [_PLAIN.fullmatch(w) for w in words]
-        runs = [m.group(1).lower() if m else None for m in matches]
-        self._encode_letters(list({r for r in runs if r is not None and r not in self.letters}))
-        rest = iter(self._each([w for w, m in zip(words, matches, strict=True) if not m]))
-        return [
-            next(rest) if m is None else self.letters[r] + self.marks[m.group(2)]
-            for m, r in zip(matches, runs, strict=True)
+            return span_hashes(buf, starts, ends), buf, ends, np.zeros(len(starts), bool), None
+        inside, lower = _letters(buf)
+        last = buf[ends - 1]
+        mark = np.zeros(len(starts), np.int8)
+        for number, sign in enumerate(_MARKS, 1):
+            mark[(last == ord(sign)) & (ends - starts > 1)] = number
+        others = np.concatenate([[0], np.cumsum(~inside)])
+        core = ends - (mark > 0)
+        plain = others[core] == others[starts]
+        mark[~plain] = 0
+        core = np.where(plain, core, ends)
+        keys = span_hashes(lower, starts, core)
+        whole = np.flatnonzero(~plain)
+        if len(whole):
+            keys[whole] = mix(span_hashes(buf, starts[whole], ends[whole]) ^ _WHOLE)
+        return keys, lower, core, plain, mark
+
+    def _encode_letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of runs of lower-case letters, many in one call, and how many each has: the last
+        one of each is an end-of-word id."""
+        if not words:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        blocks = [
+            b" ".join(words[lo : lo + _LETTERS_AT_ONCE]).decode()
+            for lo in range(0, len(words), _LETTERS_AT_ONCE)
         ]
+        found = self.plain.encode_batch_fast(blocks, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+        return ids, np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        found = self._ids_of(words)
-        count = np.array([len(x) for x in found], np.int64)
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(count.sum()))
-        lo, hi = len(self.places), len(self.places) + len(words)
-        while hi > len(self.first):
-            self.first = np.resize(self.first, 2 * len(self.first))
-            self.count = np.resize(self.count, 2 * len(self.count))
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.first[lo:hi] = self.used + np.cumsum(count) - count
-        self.count[lo:hi] = count
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.places.update(zip(hashes, range(lo, hi), strict=True))
+    def _encode_whole(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        found = self.tokenizer.encode_batch_fast(
+            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
+        )
+        ids = [e.ids for e in found]
+        count = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum())), count
+
+    def _learn(self, keys: np.ndarray, words: list[bytes], plain: np.ndarray):
+        """Encodes and keeps new words; returns where their ids begin and how many they are."""
+        letters, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        parts = self._encode_letters([words[k] for k in letters]), self._encode_whole([words[k] for k in rest])
+        count = np.empty(len(words), np.int64)
+        first = np.empty(len(words), np.int64)
+        for at, (ids, each) in zip((letters, rest), parts, strict=True):
+            need = self.used + len(ids)
+            if need > len(self.ids):
+                grown = np.empty(max(need, len(self.ids) * 3 // 2), np.uint32)
+                grown[: self.used] = self.ids[: self.used]
+                self.ids = grown
+            self.ids[self.used : need] = ids
+            count[at], first[at] = each, self.used + np.cumsum(each) - each
+            self.used = need
+        slot = (keys % np.uint64(self.slots)).astype(np.int64)
+        _, at = np.unique(slot, return_index=True)  # one word a slot
+        self.keys[slot[at]], self.first[slot[at]], self.count[slot[at]] = keys[at], first[at], count[at]
+        return first, count
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and each document's bounds in them."""
-        starts, ends, documents = word_spans(buf, offsets)
-        hashes = span_hashes(buf, starts, ends)
-        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        if len(self.places) + len(keys) > self.capacity:
+        if self.used > self.kept_ids:
             self._forget()
-        new = [k for k, key in enumerate(keys) if key not in self.places]
-        if new:
-            data = buf.tobytes()
-            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)
-            words = [data[a:b].decode("utf-8", "replace") for a, b in spans]
-            self._learn([keys[k] for k in new], words)
-        place = np.fromiter(map(self.places.__getitem__, keys), np.int64, len(keys))
-        first, count = self.first[place][which], self.count[place][which]
-        closing = np.cumsum(count)
-        total = int(closing[-1]) if len(closing) else 0
-        ids = self.ids[np.repeat(first - closing + count, count) + np.arange(total)]
+        starts, ends, documents = word_spans(buf, offsets)
+        if not len(starts):
+            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
+        keys, source, ends, plain, mark = self._keys(buf, starts, ends)
+        slot = (keys % np.uint64(self.slots)).astype(np.int64)
+        first, count = self.first[slot], self.count[slot].astype(np.int64)
+        new = np.flatnonzero((self.keys[slot] != keys) | (count == 0))
+        if len(new):
+            distinct, at, which = np.unique(keys[new], return_index=True, return_inverse=True)
+            at = new[at]
+            low, data = source.tobytes(), buf.tobytes()
+            spans = zip(plain[at].tolist(), starts[at].tolist(), ends[at].tolist(), strict=True)
+            words = [low[a:b] if p else data[a:b] for p, a, b in spans]
+            begins, counts = self._learn(distinct, words, plain[at])
+            first[new], count[new] = begins[which], counts[which]
+        behind = mark > 0 if mark is not None else np.zeros(len(starts), bool)
+        whole = count + behind
+        closing = np.cumsum(whole)
+        total = int(closing[-1])
+        place = np.repeat(first - closing + whole, whole) + np.arange(total)
+        if behind.any():
+            place[closing[behind] - 1] = 0
+        ids = self.ids[place]
+        if behind.any():
+            ids[closing[behind] - 1] = self.marks[mark[behind]]
         edges = np.concatenate([np.zeros(1, np.int64), closing])
         return ids, edges[np.searchsorted(documents, np.arange(len(offsets)))]
 
