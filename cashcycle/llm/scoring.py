@@ -1,8 +1,7 @@
 """Language-model scores of documents, with a unigram base to compare.
 
-The model (``attention``) has the token counts of all training documents. Its weights learn from
-one in ``one_in`` of the windows of each training document, taken by hash from whole texts, at
-any size of the corpus. These are dealt to trainers, one for ``trainer_bytes`` of text up to
+The model (``attention``) has the token counts of all training documents, and its weights learn
+from every window of every one, at any size of the corpus. These are dealt to trainers, one for ``trainer_bytes`` of text up to
 ``max_trainers``, which then take more each; in each of ``rounds`` rounds every trainer goes through
 its windows from the same weights (more than once where that is fewer than ``min_steps`` steps, up to
 ``max_passes`` times), and the weights are averaged by Spark. Every whole text is then scored in
@@ -35,7 +34,7 @@ from cashcycle.llm.attention import AttentionOptions, Model, Vocabulary, inputs_
 from cashcycle.llm.contamination import Seeds
 from cashcycle.llm.scratch import Scratch
 from cashcycle.llm.tables import texts
-from cashcycle.llm.textops import bounds, chunks, mix, span_hashes, word_spans
+from cashcycle.llm.textops import bounds, chunks, span_hashes, word_spans
 from cashcycle.llm.tokens import encoder
 
 
@@ -44,7 +43,6 @@ class ScoringOptions:
     tokenizer: str
     end_id: int = 49407
     model: AttentionOptions = field(default_factory=AttentionOptions)
-    one_in: int = 4
     trainer_bytes: int = 32_000_000
     max_trainers: int = 1 << 12
     rounds: int = 1
@@ -56,7 +54,7 @@ class ScoringOptions:
 _MERGE_AT = 2_000_000
 _SLICE = 1 << 14  # weights averaged together
 _AVERAGED = 64  # trainers averaged in one step
-_SEGMENT = 1 << 17  # windows a trainer holds at once
+_SEGMENT = 1 << 18  # windows a trainer holds at once
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -92,9 +90,25 @@ def _encoded(batch: pa.RecordBatch, options: ScoringOptions):
         yield rows, buf, offsets, *words.encode(buf, offsets)
 
 
+def _token_kind(options: ScoringOptions) -> np.dtype:
+    """The shortest integers that hold all token ids and the two marks of ``window_tokens``."""
+    return np.dtype("<u2" if encoder(options.tokenizer).tokenizer.get_vocab_size() < 0xFFFE else "<u4")
+
+
+def _packed_windows(token: np.ndarray, kind: np.dtype) -> bytes:
+    return token.astype(kind).tobytes()  # -1 and -2 become the two largest numbers
+
+
+def _unpacked_windows(data: bytes, kind: np.dtype, width: int) -> np.ndarray:
+    token = np.frombuffer(data, kind).reshape(-1, width)
+    least = np.iinfo(kind).max - 1
+    return np.where(token >= least, token.astype(np.int64) - (least + 2), token).astype(np.int32)
+
+
 def _lessons(train: DataFrame, options: ScoringOptions) -> DataFrame:
-    """(size, windows, id, n): the windows the weights learn from, as bytes, with the bytes of
-    the texts they are from; and how often each token id occurs in all texts, by task."""
+    """(size, windows, id, n): all windows of all texts, as bytes, with the bytes of the texts
+    they are from; and how often each token id occurs in all texts, by task."""
+    kind = _token_kind(options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(encoder(options.tokenizer).tokenizer.get_vocab_size(), np.int64)
@@ -106,18 +120,13 @@ def _lessons(train: DataFrame, options: ScoringOptions) -> DataFrame:
             )
 
         for batch in batches:
-            for rows, buf, offsets, ids, at in _encoded(batch, options):
+            for _, buf, offsets, ids, at in _encoded(batch, options):
                 counts += np.bincount(ids, minlength=len(counts))
                 counts[options.end_id] += len(offsets) - 1
-                drawn = mix(rows.column("doc_id").to_numpy().view(np.uint64))
-
-                def chosen(owner: np.ndarray, number: np.ndarray, drawn=drawn) -> np.ndarray:
-                    return mix(drawn[owner] + number.astype(np.uint64)) % np.uint64(options.one_in) == 0
-
-                parts = window_tokens(ids, at, options.end_id, options.model, chosen)
+                parts = window_tokens(ids, at, options.end_id, options.model)
                 # a very long text may need several rows
                 for k, (token, _) in enumerate(parts):
-                    yield row(0 if k else len(buf), token.astype("<i4").tobytes(), np.empty(0, np.int64))
+                    yield row(0 if k else len(buf), _packed_windows(token, kind), np.empty(0, np.int64))
         yield row(0, b"", np.flatnonzero(counts))
 
     return train.mapInArrow(run, "size long, windows binary, id array<long>, n array<long>")
@@ -150,7 +159,7 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
     """The mean of what all trainers make of ``model``."""
     shared = dealt.sparkSession.sparkContext.broadcast(model)
     buckets = int(np.ceil(np.sqrt(trainers)))
-    width = options.model.context + options.model.scored
+    width, kind = options.model.context + options.model.scored, _token_kind(options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.with_flat(shared.value.flat())
@@ -166,7 +175,7 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
 
         for batch in batches:
             for taken in batch.column("windows"):
-                pieces.append(np.frombuffer(taken.as_py(), "<i4").reshape(-1, width))
+                pieces.append(_unpacked_windows(taken.as_py(), kind, width))
                 size += len(pieces[-1])
                 if size >= _SEGMENT:
                     learn()

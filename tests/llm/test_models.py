@@ -176,3 +176,20 @@ def test_model_learns_from_all_documents_at_any_size(spark):
         found = scoring.fit(train, options).vocabulary.counts
         assert {i: found[i] for i in counts} == counts
         assert found[options.end_id] == len(rows) + counts[options.end_id]
+
+
+def test_weights_learn_from_every_window(spark):
+    """The lessons are all windows of all training texts, marks before and behind them included."""
+    texts = {k: prose(8000 + k, 5 + 90 * (k % 5)) for k in range(40)} | {99: ""}
+    train = spark.createDataFrame(rows_of(texts.items()), SCHEMA).repartition(3)
+    tokenizer = Tokenizer.from_file(PATH)
+    options = scoring.ScoringOptions(PATH)
+    want, width = Counter(), options.model.context + options.model.scored
+    for text in texts.values():
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        for token, _ in attention.window_tokens(ids, np.array([0, len(ids)]), options.end_id, options.model):
+            want.update(w.tobytes() for w in token)
+    rows = scoring._lessons(train.select("doc_id", "text"), options).filter("octet_length(windows) > 0").collect()
+    kind = scoring._token_kind(options)
+    found = Counter(w.tobytes() for r in rows for w in scoring._unpacked_windows(bytes(r.windows), kind, width))
+    assert found == want
