@@ -34,8 +34,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cashcycle.llm.edits import close_pairs
 from cashcycle.llm.linking import linked_groups
-from cashcycle.llm.scratch import Scratch
+from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, mix, span_hashes, stream, word_spans
 
@@ -206,6 +207,43 @@ def _line_texts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, words string")
 
 
+PAIRS = 2048  # pairs of lines in a batch
+BLOCK = 256  # lines
+
+
+def _most(sizes: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
+    """The edit distance at which lines of these lengths are still linked."""
+    return np.floor(np.maximum(sizes, others) * (1 - similarity) + 1e-9).astype(np.int64)
+
+
+def _close_lines(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, wa, wb) whose texts are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            lines = [*batch.column("wa").to_pylist(), *batch.column("wb").to_pylist()]
+            sizes = np.array([len(line) for line in lines], np.int64)
+            most = _most(sizes[:n], sizes[n:], similarity)
+            keep = close_pairs(lines, np.arange(n), np.arange(n, 2 * n), most)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def _close_members(left: pa.StructArray, right: pa.StructArray, asked: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs asked for are similar enough, by the bound first."""
+    size, low, high = ([v.field("bits").field(c).to_numpy() for v in (left, right)] for c in BOUND)
+    low, high = ([side.view(np.uint64) for side in half] for half in (low, high))
+    most = _most(size[0][:, None], size[1], similarity)
+    differ = np.bitwise_count(low[0][:, None] ^ low[1]).astype(np.int64) + np.bitwise_count(high[0][:, None] ^ high[1])
+    asked = asked & (np.abs(size[0][:, None] - size[1]) <= most) & (differ <= 2 * most)
+    x, y = np.nonzero(asked)
+    lines = [*left.field("item").to_pylist(), *right.field("item").to_pylist()]
+    asked[x, y] = close_pairs(lines, x, y + len(left), most[x, y])
+    return asked
+
+
 def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataFrame:
     """(doc_id, line) of every occurrence to remove, lines counted from 0."""
     options = options or LineOptions()
@@ -235,8 +273,13 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
         words = tables["words"]
         both = pairs.join(words.select(F.col("id").alias("a"), F.col("words").alias("wa")), "a")
         both = both.join(words.select(F.col("id").alias("b"), F.col("words").alias("wb")), "b")
-        both = both.withColumn("most", allowed(F.length("wa"), F.length("wb")))
-        return both.filter("levenshtein(wa, wb, most) >= 0").select("a", "b").distinct()
+        return _close_lines(both, options.similarity)
+
+    def payload() -> DataFrame:
+        return tables["words"].select("id", F.col("words").alias("item"))
+
+    def compare(left: pa.StructArray, right: pa.StructArray, asked: np.ndarray) -> np.ndarray:
+        return _close_members(left, right, asked, options.similarity)
 
     def close(left: Column, right: Column) -> Column:
         most = allowed(left["size"], right["size"])
@@ -248,7 +291,8 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     keys = keys.join(shared, "key").join(items.select(F.col("code").alias("id"), F.struct(*BOUND).alias("bits")), "id")
     keys = scratch.keep(keys.select("key", "id", "bits"), "keys")
-    found = linked_groups(scratch, keys, prepare, check, close=close)
+    with arrow_rows(scratch.spark, PAIRS):
+        found = linked_groups(scratch, keys, prepare, check, payload, compare, close=close, block=BLOCK)
     scratch.drop("words", "ids", "keys")
     grouped = items.join(found, items.code == found.id, "left")
     grouped = grouped.withColumn("group", F.coalesce("component", "code"))

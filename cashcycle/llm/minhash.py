@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import Close, linked_groups
-from cashcycle.llm.scratch import Scratch, arrow_rows
+from cashcycle.llm.scratch import Scratch
 from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 
@@ -161,26 +161,23 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def _similar_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of each row's id with the members of its block (ids, sets)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            columns = [batch.column(c) for c in ("id", "shingles", "members")]
-            for own, mine, members in zip(*columns, strict=True):
-                left = np.frombuffer(mine.as_buffer(), np.uint64)
-                for member in members:
-                    right = np.frombuffer(member["shingles"].as_buffer(), np.uint64)
-                    if _linked(left, right, percent):
-                        a.append(member["id"].as_py())
-                        b.append(own.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
-
-
-BLOCK = 64
+def _similar_members(
+    left: pa.StructArray, right: pa.StructArray, asked: np.ndarray, options: NearDuplicateOptions
+) -> np.ndarray:
+    """Which of the pairs asked for are similar enough, by sizes and signatures first."""
+    sizes, signatures, sets = [], [], []
+    for side in (left, right):
+        item = side.field("item")
+        sizes.append(item.field("n").to_numpy())
+        signatures.append(item.field("signature").flatten().to_numpy().reshape(len(side), -1))
+        sets.append([np.frombuffer(v.as_buffer(), np.uint64) for v in item.field("shingles")])
+    small, large = np.minimum(sizes[0][:, None], sizes[1]), np.maximum(sizes[0][:, None], sizes[1])
+    linked = asked & (100 * small >= options.threshold_percent * large)
+    for k, own in enumerate(signatures[0]):
+        linked[k] &= (own != signatures[1]).sum(1) <= options.max_distance
+    for k, m in zip(*np.nonzero(linked), strict=True):
+        linked[k, m] = _linked(sets[0][k], sets[1][m], options.threshold_percent)
+    return linked
 
 
 def near_duplicates(
@@ -226,22 +223,16 @@ def near_duplicates(
         both = both.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
         return _similar(both, options.threshold_percent)
 
-    def check_blocks(probes: DataFrame, members: DataFrame) -> DataFrame:
-        sets, probes = tables["sets"], scratch.keep(probes, "probes")
-        asked = members.join(probes.select("component").distinct(), "component", "left_semi")
-        blocks_of = asked.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-        placed = asked.join(blocks_of, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        blocks = placed.join(sets, "id").groupBy("component", "block").agg(
-            F.collect_list(F.struct("id", "shingles")).alias("members")
-        )
-        spread = probes.join(blocks_of, "component").withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-        rows = spread.select("id", "component", "block").join(sets, "id").join(blocks, ["component", "block"])
-        with arrow_rows(scratch.spark, BLOCK):
-            return scratch.keep(_similar_in_blocks(rows, options.threshold_percent), "in_blocks")
+    def payload() -> DataFrame:
+        whole = tables["brief"].join(tables["sets"], "id")
+        return whole.select("id", F.struct("n", "signature", "shingles").alias("item"))
+
+    def compare(left: pa.StructArray, right: pa.StructArray, asked: np.ndarray) -> np.ndarray:
+        return _similar_members(left, right, asked, options)
 
     keys = items.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    found = linked_groups(scratch, keys, prepare, check, check_blocks, brief=brief)
-    scratch.drop("sets", "probes", "ids", "brief")
+    found = linked_groups(scratch, keys, prepare, check, payload, compare, brief=brief)
+    scratch.drop("sets", "ids", "brief")
     classes = items.join(found, items.doc_id == found.id, "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
     )
