@@ -56,7 +56,8 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
 
 
 Close = Callable[[Column, Column], Column]
-# Takes the members of two blocks and a matrix of the pairs asked for; returns that of the linked ones.
+# Takes the members of two blocks and a matrix of the pairs asked for; returns that of those that
+# can be linked, hardly more than are.
 Compare = Callable[[pa.StructArray, pa.StructArray, np.ndarray], np.ndarray]
 
 SMALL = 32  # components of no more items are compared item by item
@@ -119,7 +120,7 @@ def _met_before(left: pa.StructArray, right: pa.StructArray, key: int) -> np.nda
 
 
 def _linked_in_blocks(rows: DataFrame, compare: Compare) -> DataFrame:
-    """Links (a, b) between the blocks ``x`` and ``y`` of rows (group, x, y, same): of items of
+    """Pairs (a, b) to check between the blocks ``x`` and ``y`` of rows (group, x, y, same): of items of
     different components, at the first key that they have in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,8 +168,8 @@ def linked_groups(
 
     ``keys`` is (key, id), distinct. ``prepare`` gets the ids that share a key at all, once.
     ``check`` takes pairs (a, b), a and b different, and returns those that are linked.
-    ``compare`` does the same for the members of two blocks of about ``block`` items, structs with
-    the id, the bits and what ``payload``, a table (id, item), has of them. With ``close``,
+    ``compare`` leaves out what is not linked of the members of two blocks of about ``block`` items,
+    structs with the id, the bits and what ``payload``, a table (id, item), has of them. With ``close``,
     keys have a third column ``bits``, and only pairs whose bits are close can be linked: others
     are dropped as soon as both sides meet. Where bits are too long to go with every key,
     ``brief`` returns (id, brief) and what is close by it, for the pairs of single items.
@@ -240,7 +241,7 @@ def linked_groups(
     more = dealt(bodies.withColumnRenamed("members", "x")).join(dealt(askers), ["group", "block"])
     rows = rows.union(more.select("group", "x", "y", F.lit(False)))
     with arrow_rows(scratch.spark, _ROWS):
-        in_blocks = scratch.keep(_linked_in_blocks(rows, compare), "links_blocks")
+        in_blocks = scratch.keep(_linked_in_blocks(rows, compare), "pairs_blocks")
 
     few = loose.filter(F.col("n") <= FEW).select("key", "id", "bits", "component", "keys")
     near = close(F.col("x.bits"), F.col("y.bits"))
@@ -255,8 +256,8 @@ def linked_groups(
     )
     pairs = x.join(y, first & near)
     pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    last = scratch.keep(in_blocks.union(check(pairs)), "links_last")
-    scratch.drop("members", "apart1", "apart2", "probes", "whole", "loose", "blocks_keys", "blocks_whole", "links_blocks")
+    last = scratch.keep(check(in_blocks.union(pairs)), "links_last")
+    scratch.drop("members", "apart1", "apart2", "probes", "whole", "loose", "blocks_keys", "blocks_whole", "pairs_blocks")
     if last.isEmpty():
         return found
     return scratch.keep(components(scratch, links.union(last)), "groups3")

@@ -126,15 +126,17 @@ def shingle_features(docs: DataFrame, options: NearDuplicateOptions) -> DataFram
 
 
 def _shingle_sets(packed: DataFrame, size: int) -> DataFrame:
-    """(id, shingles) of packed texts: the sorted hashes as bytes."""
+    """(id, shingles, short) of packed texts: the sorted hashes as bytes, and their first 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
             for rows, buf, offsets in chunks(batch):
-                sets = [s.tobytes() for s in document_shingles(buf, offsets, size)]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _binary(sets)], ["id", "shingles"])
+                sets = document_shingles(buf, offsets, size)
+                whole = _binary([s.tobytes() for s in sets])
+                short = _binary([(s >> np.uint64(48)).astype("<u2").tobytes() for s in sets])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), whole, short], ["id", "shingles", "short"])
 
-    return packed.mapInArrow(run, "id long, shingles binary")
+    return packed.mapInArrow(run, "id long, shingles binary, short binary")
 
 
 def _linked(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
@@ -164,19 +166,26 @@ def _similar(pairs: DataFrame, percent: int) -> DataFrame:
 def _similar_members(
     left: pa.StructArray, right: pa.StructArray, asked: np.ndarray, options: NearDuplicateOptions
 ) -> np.ndarray:
-    """Which of the pairs asked for are similar enough, by sizes and signatures first."""
+    """Which of the pairs asked for can be similar enough, by sizes, signatures and short hashes:
+    no fewer of these are common than of the whole ones."""
     sizes, signatures, sets = [], [], []
     for side in (left, right):
         item = side.field("item")
         sizes.append(item.field("n").to_numpy())
         signatures.append(item.field("signature").flatten().to_numpy().reshape(len(side), -1))
-        sets.append([np.frombuffer(v.as_buffer(), np.uint64) for v in item.field("shingles")])
+        sets.append([np.frombuffer(v.as_buffer(), "<u2") for v in item.field("short")])
     small, large = np.minimum(sizes[0][:, None], sizes[1]), np.maximum(sizes[0][:, None], sizes[1])
     linked = asked & (100 * small >= options.threshold_percent * large)
+    there = np.zeros(1 << 16, bool)
     for k, own in enumerate(signatures[0]):
         linked[k] &= (own != signatures[1]).sum(1) <= options.max_distance
-    for k, m in zip(*np.nonzero(linked), strict=True):
-        linked[k, m] = _linked(sets[0][k], sets[1][m], options.threshold_percent)
+        others = np.flatnonzero(linked[k])
+        if len(others):
+            there[sets[0][k]] = True
+            common = np.array([np.count_nonzero(there[sets[1][m]]) for m in others])
+            either = sizes[0][k] + sizes[1][others] - common
+            linked[k, others] = 100 * common >= options.threshold_percent * either
+            there[sets[0][k]] = False
     return linked
 
 
@@ -225,7 +234,7 @@ def near_duplicates(
 
     def payload() -> DataFrame:
         whole = tables["brief"].join(tables["sets"], "id")
-        return whole.select("id", F.struct("n", "signature", "shingles").alias("item"))
+        return whole.select("id", F.struct("n", "signature", "short").alias("item"))
 
     def compare(left: pa.StructArray, right: pa.StructArray, asked: np.ndarray) -> np.ndarray:
         return _similar_members(left, right, asked, options)
