@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import Close, linked_groups
-from cashcycle.llm.scratch import Scratch
+from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import packed_texts, texts, unpacked
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 
@@ -189,6 +189,9 @@ def _similar_members(
     return linked
 
 
+ROWS = 512  # texts, or pairs with their sets, in a batch
+
+
 def near_duplicates(
     docs: DataFrame, options: NearDuplicateOptions | None = None
 ) -> DataFrame:
@@ -199,7 +202,8 @@ def near_duplicates(
     """
     options = options or NearDuplicateOptions()
     scratch = Scratch(docs.sparkSession)
-    features = scratch.keep(shingle_features(docs, options), "features")
+    with arrow_rows(scratch.spark, ROWS):
+        features = scratch.keep(shingle_features(docs, options), "features")
     worded = features.filter("n_shingles > 0")
     items = worded.groupBy("digest").agg(
         F.min(F.struct("doc_id", "n_shingles", "signature", "keys")).alias("item")
@@ -240,7 +244,8 @@ def near_duplicates(
         return _similar_members(left, right, asked, options)
 
     keys = items.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    found = linked_groups(scratch, keys, prepare, check, payload, compare, brief=brief)
+    with arrow_rows(scratch.spark, ROWS):
+        found = linked_groups(scratch, keys, prepare, check, payload, compare, brief=brief)
     scratch.drop("sets", "ids", "brief")
     classes = items.join(found, items.doc_id == found.id, "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id")
