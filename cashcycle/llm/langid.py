@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import zstandard
@@ -161,9 +162,10 @@ def keep_identified(docs: DataFrame, train: DataFrame, options: LanguageOptions
     known = docs.sparkSession.sparkContext.broadcast(dictionaries(train, options))
 
     @F.pandas_udf("boolean")
-    def clear(column):
+    def clear(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         identifier = Identifier(known.value, options)
-        found = (identifier.predict(t) for t in column)
-        return column.__class__([lang != UNKNOWN and m >= options.min_margin for lang, _, m in found], dtype=bool)
+        for column in columns:
+            found = (identifier.predict(t) for t in column)
+            yield pd.Series([lang != UNKNOWN and m >= options.min_margin for lang, _, m in found], dtype=bool)
 
     return docs.filter(F.col("doc_id").isNotNull() & clear("text"))

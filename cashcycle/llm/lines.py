@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from cashcycle.llm.edits import close_pairs
 from cashcycle.llm.linking import linked_groups
 from cashcycle.llm.scratch import Scratch, arrow_rows
-from cashcycle.llm.tables import packed_texts, texts, unpacked
+from cashcycle.llm.tables import packed_texts_with, texts, unpacked
 from cashcycle.llm.textops import chunks, mix, span_hashes, stream, word_spans
 
 @dataclass(frozen=True)
@@ -264,7 +264,7 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
         wanted = items.join(ids, "code", "left_semi")
         asked = wanted.groupBy(F.col("first.doc_id").alias("doc_id"))
         asked = asked.agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "code")).alias("asked"))
-        tables["words"] = scratch.keep(_line_texts(packed_texts(docs).join(asked, "doc_id")), "words")
+        tables["words"] = scratch.keep(_line_texts(packed_texts_with(docs, asked)), "words")
 
     def allowed(one: Column, other: Column) -> Column:
         return F.floor(F.greatest(one, other) * F.lit(1 - options.similarity) + 1e-9).cast("int")
@@ -336,7 +336,8 @@ def remove_repeated_lines(docs: DataFrame, options: LineOptions | None = None) -
     gone = repeated_lines(docs, options).groupBy(F.col("doc_id").alias(own))
     gone = gone.agg(F.collect_set("line").alias(removed))
     columns = [packed("text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.select(*columns).join(gone, F.col("doc_id") == F.col(own), "left")
+    # by a shuffle, as in packed_texts_with
+    joined = docs.select(*columns).join(gone.hint("merge"), F.col("doc_id") == F.col(own), "left")
     columns = [without("text", removed).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
     out = joined.select(*columns)
     if "n_chars" in docs.columns:

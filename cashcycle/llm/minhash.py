@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cashcycle.llm.linking import Close, linked_groups
 from cashcycle.llm.scratch import Scratch, arrow_rows
-from cashcycle.llm.tables import packed_texts, texts, unpacked
+from cashcycle.llm.tables import packed_texts_with, texts, unpacked
 from cashcycle.llm.textops import chunks, document_shingles, mix, stream
 
 
@@ -216,7 +216,7 @@ def near_duplicates(
         ids = scratch.keep(ids, "ids")
         brief = items.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
         tables["brief"] = scratch.keep(brief.join(ids, "id", "left_semi"), "brief")
-        wanted = packed_texts(docs).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        wanted = packed_texts_with(docs, ids.withColumnRenamed("id", "doc_id"), "left_semi")
         tables["sets"] = scratch.keep(_shingle_sets(wanted, options.shingle).dropDuplicates(["id"]), "sets")
 
     def close(left: Column, right: Column) -> Column:

@@ -43,6 +43,15 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return texts(docs).mapInArrow(run, "doc_id long, packed binary")
 
 
+def packed_texts_with(docs: DataFrame, wanted: DataFrame, how: str = "inner") -> DataFrame:
+    """``packed_texts`` joined to ``wanted`` by ``doc_id``, for a Python step that unpacks them.
+
+    Always by a shuffle: behind a broadcast both steps would share tasks, and a task holds
+    a worker for each, which executors keep.
+    """
+    return packed_texts(docs).join(wanted.hint("merge"), "doc_id", how)
+
+
 def unpacked(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches with ``text`` for ``packed``, a few rows at a time."""
     unpack = zstandard.ZstdDecompressor().decompress
