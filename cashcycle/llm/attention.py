@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+_BLOCK = 1 << 14  # weights updated at once
+
 
 @dataclass(frozen=True)
 class AttentionOptions:
@@ -143,8 +145,9 @@ class Model:
             h += w[f"direct{n}"].take(x[:, o.context - 1 - n : x.shape[1] - n], axis=0)
         return h.reshape(-1, o.width), a, q, k, v, apart
 
-    def _output(self, h: np.ndarray, rank: np.ndarray, learn: bool):
-        """Natural log probabilities of ranks; with ``learn`` also the gradients."""
+    def _output(self, h: np.ndarray, rank: np.ndarray, grads: dict[str, np.ndarray] | None = None):
+        """Natural log probabilities of ranks, and the gradient of ``h``; those of the weights go to
+        ``grads``, where there is one, which is 0 before."""
         o, w = self.options, self.w
         group, member = np.divmod(rank, o.group_size)
         order = np.argsort(group.astype(np.int16), kind="stable")  # groups one after the other
@@ -158,38 +161,41 @@ class Model:
         np.exp(z, out=z)
         total = z @ np.ones(o.groups, np.float32)
         logs -= np.log(total)
-        grads, dh = {}, None
+        dh, learn = None, grads is not None
         if learn:
             z /= total[:, None]
             z[every, group] -= 1
-            grads = {"group": z.T @ h, "group_bias": z.sum(0)}
+            np.matmul(z.T, h, out=grads["group"])
+            z.sum(0, out=grads["group_bias"])
             dh = z @ w["group"]
-            grads["member"], grads["member_bias"] = np.zeros_like(w["member"]), np.zeros_like(w["member_bias"])
-        one = np.ones(o.group_size, np.float32)
-        for g in range(o.groups - 1):
-            lo, hi = cuts[g], cuts[g + 1]
-            if lo == hi:
-                continue
-            part, mine = h[lo:hi], member[lo:hi]
-            y = part @ w["member"][g].T
-            y += w["member_bias"][g]
-            np.clip(y, -40, 40, out=y)
-            own = y[every[: hi - lo], mine]
-            np.exp(y, out=y)
-            total = y @ one
-            logs[lo:hi] += own - np.log(total)
-            if learn:
-                y /= total[:, None]
-                y[every[: hi - lo], mine] -= 1
-                grads["member"][g], grads["member_bias"][g] = y.T @ part, y.sum(0)
-                dh[lo:hi] += y @ w["member"][g]
+        # the products group by group, all else for all groups at once
+        spans = [(g, cuts[g], cuts[g + 1]) for g in range(o.groups - 1) if cuts[g] < cuts[g + 1]]
+        n = int(cuts[o.groups - 1])
+        y, member = np.empty((n, o.group_size), np.float32), member[:n]
+        for g, lo, hi in spans:
+            np.matmul(h[lo:hi], w["member"][g].T, out=y[lo:hi])
+        y += w["member_bias"].take(group[:n], axis=0)
+        np.maximum(y, np.float32(-40), out=y)
+        np.minimum(y, np.float32(40), out=y)
+        own = y[every[:n], member]
+        np.exp(y, out=y)
+        total = y @ np.ones(o.group_size, np.float32)
+        logs[:n] += own - np.log(total)
+        if learn:
+            y /= total[:, None]
+            y[every[:n], member] -= 1
+            for g, lo, hi in spans:
+                part = y[lo:hi]
+                np.matmul(part.T, h[lo:hi], out=grads["member"][g])
+                part.sum(0, out=grads["member_bias"][g])
+                dh[lo:hi] += part @ w["member"][g]
         logp = np.empty_like(logs)
         logp[order] = logs
         if learn:
             back = np.empty_like(dh)
             back[order] = dh
             dh = back
-        return logp, grads, dh
+        return logp, dh
 
     def log10(self, x: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log10 probabilities of the targets of windows, 0 where there is none."""
@@ -199,7 +205,7 @@ class Model:
             h = self._attend(x[lo : lo + 512])[0]
             flat = own.reshape(-1)
             there = np.flatnonzero(flat >= 0)
-            logp = self._output(h[there], self.vocabulary.rank[flat[there]], False)[0]
+            logp = self._output(h[there], self.vocabulary.rank[flat[there]])[0]
             logp = logp + self.vocabulary.tail[flat[there]]
             block = np.zeros(len(flat))
             block[there] = logp / np.log(10)
@@ -207,12 +213,17 @@ class Model:
         return out
 
     def gradients(self, x: np.ndarray, target: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        o, w = self.options, self.w
+        flat = np.zeros(sum(v.size for v in self.w.values()), np.float32)
+        return self._gradients(x, target, flat), self._views(flat)
+
+    def _gradients(self, x: np.ndarray, target: np.ndarray, out: np.ndarray) -> float:
+        """The mean loss; its gradient goes to ``out``, laid out as ``flat``, which is 0 before."""
+        o, grads = self.options, self._views(out)
         h, a, q, k, v, apart = self._attend(x)
         flat = target.reshape(-1)
         there = np.flatnonzero(flat >= 0)
         n = max(1, len(there))
-        logp, grads, part = self._output(h[there], self.vocabulary.rank[flat[there]], True)
+        logp, part = self._output(h[there], self.vocabulary.rank[flat[there]], grads)
         dh = np.zeros_like(h)
         dh[there] = part
         dh = dh.reshape(len(x), o.scored, o.width)
@@ -226,48 +237,66 @@ class Model:
             sums = np.add.reduceat(d.take(order, axis=0), first, axis=0)
             at = 0
             for name in names:
-                grads[name] = np.zeros_like(w[name])
-                grads[name][rows[first]] = sums[:, at : at + w[name].shape[1]]
-                at += w[name].shape[1]
+                width = grads[name].shape[1]
+                grads[name][rows[first]] = sums[:, at : at + width]
+                at += width
 
         da = np.matmul(dh, v.transpose(0, 2, 1))
         ds = a * da
         ds -= a * (ds @ np.ones(a.shape[2], np.float32))[:, :, None]
         by_distance = ds.sum(0)
-        grads["distance"] = np.bincount(apart[apart >= 0], weights=by_distance[apart >= 0], minlength=o.context + o.scored).astype(np.float32)
+        grads["distance"][:] = np.bincount(apart[apart >= 0], weights=by_distance[apart >= 0], minlength=o.context + o.scored)
         ds *= np.float32(1 / np.sqrt(o.key_width))
         back = np.matmul(a.transpose(0, 2, 1), dh), np.matmul(ds.transpose(0, 2, 1), q)
         scatter(["value", "key"], x, np.concatenate(back, axis=2))
         scatter(["direct0", "query"], x[:, o.context - 1 :], np.concatenate([dh, np.matmul(ds, k)], axis=2))
         for m in range(1, o.direct):
             scatter([f"direct{m}"], x[:, o.context - 1 - m : x.shape[1] - m], dh)
-        return -float(logp.sum()) / n, {name: g / n for name, g in grads.items()}
+        out /= n
+        return -float(logp.sum()) / n
 
     def train(self, x: np.ndarray, target: np.ndarray, steps: int, seed: int) -> None:
         """Adam over random batches of windows; the rate falls to a tenth."""
         draw = np.random.default_rng(seed)
-        first = {k: np.zeros_like(v) for k, v in self.w.items()}
-        second = {k: np.zeros_like(v) for k, v in self.w.items()}
+        weights = self.flat()
+        self.w = self._views(weights)
+        first, second, grads = (np.zeros_like(weights) for _ in range(3))
+        spare = np.empty(_BLOCK, np.float32)
         queue = np.empty(0, np.int64)
         for step in range(1, steps + 1):
             if len(queue) < self.options.batch:
                 queue = np.concatenate([queue, draw.permutation(len(x))])
             take, queue = queue[: self.options.batch], queue[self.options.batch :]
-            _, grads = self.gradients(x[take], target[take])
+            grads.fill(0)
+            self._gradients(x[take], target[take], grads)
             rate = self.options.rate * (1 - 0.9 * step / steps)
-            scale = rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-            for name, g in grads.items():
-                m, v = first[name], second[name]
-                m += np.float32(0.1) * (g - m)
-                v += np.float32(0.01) * (g * g - v)
-                self.w[name] -= (scale * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            scale = np.float32(rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
+            for lo in range(0, len(weights), _BLOCK):
+                g, m, v, own = (a[lo : lo + _BLOCK] for a in (grads, first, second, weights))
+                t = spare[: len(g)]
+                np.subtract(g, m, out=t)
+                t *= np.float32(0.1)
+                m += t
+                g *= g
+                g -= v
+                g *= np.float32(0.01)
+                v += g
+                np.sqrt(v, out=t)
+                t += np.float32(1e-8)
+                np.divide(m, t, out=t)
+                t *= scale
+                own -= t
+
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The tables that are laid out in ``flat``."""
+        out, at = {}, 0
+        for k in sorted(self.w):
+            out[k] = flat[at : at + self.w[k].size].reshape(self.w[k].shape)
+            at += self.w[k].size
+        return out
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.w[k].reshape(-1) for k in sorted(self.w)])
 
     def with_flat(self, flat: np.ndarray) -> Model:
-        out, at = {}, 0
-        for k in sorted(self.w):
-            out[k] = flat[at : at + self.w[k].size].reshape(self.w[k].shape).astype(np.float32)
-            at += self.w[k].size
-        return Model(out, self.vocabulary, self.options)
+        return Model(self._views(flat.astype(np.float32)), self.vocabulary, self.options)
