@@ -3,6 +3,7 @@
 The table of distances is walked by antidiagonals, within the band that the bound leaves, for
 all pairs of a batch together. A pair whose two last antidiagonals are beyond its bound goes:
 each way to the end passes one of them. So texts that differ are done after few characters.
+What both texts begin and end with is left out before: a changed word leaves a few characters.
 """
 
 from __future__ import annotations
@@ -15,10 +16,25 @@ _LOOK = 16  # antidiagonals between two looks at what is beyond its bound
 
 def _codes(texts: list[str]) -> list[np.ndarray]:
     """Characters as small numbers from 2, the same in all texts."""
-    points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-    alphabet, codes = np.unique(np.concatenate([*points, np.empty(0, np.uint32)]), return_inverse=True)
-    kind = np.uint8 if len(alphabet) < 250 else np.uint32
-    return np.split((codes + 2).astype(kind), np.cumsum([len(p) for p in points])[:-1])
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    there = np.zeros(int(points.max(initial=0)) + 1, bool)
+    there[points] = True
+    kind = np.uint8 if np.count_nonzero(there) < 250 else np.uint32
+    codes = (np.cumsum(there) + 1).astype(kind)[points]
+    return np.split(codes, np.cumsum([len(t) for t in texts])[:-1])
+
+
+def _middles(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two texts without what they have in common at their begin and end, which leaves their distance."""
+    n = min(len(left), len(right))
+    differ = left[:n] != right[:n]
+    first = int(differ.argmax()) if n else 0
+    if not n or not differ[first]:
+        return left[n:], right[n:]
+    left, right, n = left[first:], right[first:], n - first
+    differ = left[len(left) - n :] != right[len(right) - n :]  # the first characters differ
+    same = int(differ[::-1].argmax()) if differ.any() else n
+    return left[: len(left) - same], right[: len(right) - same]
 
 
 def _within(left: list[np.ndarray], right: list[np.ndarray], most: np.ndarray) -> np.ndarray:
@@ -71,11 +87,16 @@ def close_pairs(texts: list[str], left: np.ndarray, right: np.ndarray, most: np.
     sizes = np.array([len(c) for c in codes], np.int64)
     found = np.zeros(len(left), bool)
     asked = np.flatnonzero(np.abs(sizes[left] - sizes[right]) <= most)
-    asked = asked[np.argsort(sizes[left[asked]] + sizes[right[asked]], kind="stable")[::-1]]
+    middles = [_middles(codes[a], codes[b]) for a, b in zip(left[asked], right[asked], strict=True)]
+    longer = np.array([max(len(a), len(b)) for a, b in middles], np.int64)
+    found[asked] = longer <= most[asked]  # no distance is beyond the longer one's length
+    rest = np.flatnonzero(~found[asked])
+    rest = rest[np.argsort(longer[rest], kind="stable")[::-1]]
     lo = 0
-    while lo < len(asked):
-        part = asked[lo : lo + 1024]
-        part = part[: max(1, _CELLS // (int(most[part].max()) + 1))]
-        found[part] = _within([codes[a] for a in left[part]], [codes[b] for b in right[part]], most[part])
+    while lo < len(rest):
+        part = rest[lo : lo + 1024]
+        part = part[: max(1, _CELLS // (int(most[asked[part]].max()) + 1))]
+        pairs = [middles[k] for k in part]
+        found[asked[part]] = _within([a for a, _ in pairs], [b for _, b in pairs], most[asked[part]])
         lo += len(part)
     return found

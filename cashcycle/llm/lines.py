@@ -85,7 +85,7 @@ def line_offsets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def _classes() -> np.ndarray:
     """The class of a character by its last byte: letters, digits modulo 4, others modulo 2."""
-    table = 30 + np.arange(256) % 2
+    table = (30 + np.arange(256) % 2).astype(np.int32)
     table[ord("a") : ord("z") + 1] = np.arange(26)
     table[ord("0") : ord("9") + 1] = 26 + np.arange(10) % 4
     return table
@@ -100,10 +100,11 @@ def letter_counts(text: np.ndarray, edges: np.ndarray, numbers: np.ndarray) -> t
     """Characters other than spaces of the lines ``numbers``, and their 128 bits of counts."""
     last = np.append((text[1:] & 0xC0) != 0x80, True)
     at = np.flatnonzero(last & (text != 32))
-    line = np.searchsorted(edges, at, "right") - 1
-    place = np.full(len(edges), -1)
-    place[numbers] = np.arange(len(numbers))
-    counts = np.bincount(place[line] * 32 + _CLASSES[text[at]], minlength=32 * len(numbers)).reshape(-1, 32)
+    first = np.full(len(edges) - 1, -32, np.int32)  # where a line's counts begin
+    first[numbers] = np.arange(len(numbers)) * 32
+    which = np.repeat(first, np.diff(edges))[at]  # lines cover the text
+    which += _CLASSES[text[at]]
+    counts = np.bincount(which, minlength=32 * len(numbers)).reshape(-1, 32)
     shifts = np.uint64(4) * np.arange(16, dtype=np.uint64)
     bits = _RING[counts % 8].reshape(len(numbers), 2, 16) << shifts
     return counts.sum(1), np.bitwise_or.reduce(bits, axis=2)
