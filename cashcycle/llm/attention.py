@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-_BLOCK = 1 << 14  # weights updated at once
+_BLOCK = 1 << 16  # weights updated at once
+_CLEAN = 64  # steps between two looks for moments that are all but 0: numbers below 1e-38 are slow
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ class Vocabulary:
         rest = np.where(rank >= options.ranks, counts + 1.0, 0.0)
         with np.errstate(divide="ignore"):
             tail = np.where(rest > 0, np.log(rest / max(1.0, rest.sum())), 0.0)
-        return cls(np.minimum(rank, options.ranks), tail.astype(np.float32), counts)
+        return cls(np.minimum(rank, options.ranks).astype(np.int32), tail.astype(np.float32), counts)
 
 
 def window_tokens(
@@ -89,7 +90,7 @@ def window_tokens(
 
 def inputs_and_targets(token: np.ndarray, vocabulary: Vocabulary, options: AttentionOptions):
     """Input ranks and target ids of windows; a target of -1 is beyond the text's end."""
-    rank = vocabulary.rank.take(token, mode="clip").astype(np.int32)
+    rank = vocabulary.rank.take(token, mode="clip")
     rank[token == -2] = options.ranks + 1
     return rank[:, :-1], token[:, options.context :]
 
@@ -103,6 +104,49 @@ def windows(ids: np.ndarray, edges: np.ndarray, end: int, vocabulary: Vocabulary
     return *inputs_and_targets(token, vocabulary, options), np.concatenate([o for _, o in parts])
 
 
+def _places(rows: np.ndarray, width: int) -> np.ndarray:
+    """Where the numbers of rows of a table of this width stand, by pairs where it is even."""
+    each = width if width % 2 else width // 2
+    return rows.astype(np.int64)[..., None] * each + np.arange(each)
+
+
+def _add_rows(table: np.ndarray, places: np.ndarray, d: np.ndarray) -> None:
+    """Adds ``d`` to the rows of ``table`` at ``places``, a pair of numbers as one where it can."""
+    kind = np.float32 if table.shape[1] % 2 else np.complex64
+    np.add.at(table.reshape(-1).view(kind), places.reshape(-1), d.reshape(-1).view(kind))
+
+
+class Adam:
+    """Moments of ``weights``, which are updated in place; the rate falls to a tenth."""
+
+    def __init__(self, weights: np.ndarray, rate: float, steps: int):
+        self.weights, self.rate, self.steps, self.taken = weights, rate, steps, 0
+        # sums, not means: 10 and 100 times the moments
+        self.first, self.second = np.zeros_like(weights), np.zeros_like(weights)
+        self.spare = np.empty(_BLOCK, np.float32)
+
+    def step(self, grads: np.ndarray) -> None:
+        """One step; ``grads`` is used up."""
+        self.taken += 1
+        rate = self.rate * (1 - 0.9 * self.taken / self.steps)
+        scale = np.float32(rate * np.sqrt(1 - 0.99**self.taken) / (1 - 0.9**self.taken))
+        if self.taken % _CLEAN == 0:
+            self.first[np.abs(self.first) < 1e-30] = 0
+        for lo in range(0, len(grads), _BLOCK):
+            g, m, v, own = (a[lo : lo + _BLOCK] for a in (grads, self.first, self.second, self.weights))
+            t = self.spare[: len(g)]
+            m *= np.float32(0.9)
+            m += g
+            g *= g
+            v *= np.float32(0.99)
+            v += g
+            np.sqrt(v, out=t)
+            t += np.float32(1e-7)
+            np.divide(m, t, out=t)
+            t *= scale
+            own -= t
+
+
 class Model:
     def __init__(self, weights: dict[str, np.ndarray], vocabulary: Vocabulary, options: AttentionOptions):
         self.w, self.vocabulary, self.options = weights, vocabulary, options
@@ -131,14 +175,15 @@ class Model:
         o, w = self.options, self.w
         asked = x[:, o.context - 1 :]
         q, k, v = (w[name].take(rows, axis=0) for name, rows in (("query", asked), ("key", x), ("value", x)))
+        q *= np.float32(1 / np.sqrt(o.key_width))
         apart = np.arange(o.context - 1, o.context - 1 + o.scored)[:, None] - np.arange(o.context - 1 + o.scored)
         bias = np.where(apart >= 0, w["distance"][np.maximum(apart, 0)], -30).astype(np.float32)
         a = np.matmul(q, k.transpose(0, 2, 1))
-        a *= np.float32(1 / np.sqrt(o.key_width))
         a += bias
-        np.clip(a, -30, 30, out=a)
+        np.minimum(a, np.float32(30), out=a)
+        np.maximum(a, np.float32(-30), out=a)
         np.exp(a, out=a)
-        a[:, apart < 0] = 0
+        a *= (apart >= 0).astype(np.float32)
         a /= (a @ np.ones(a.shape[2], np.float32))[:, :, None]
         h = np.matmul(a, v)
         for n in range(o.direct):
@@ -146,27 +191,29 @@ class Model:
         return h.reshape(-1, o.width), a, q, k, v, apart
 
     def _output(self, h: np.ndarray, rank: np.ndarray, grads: dict[str, np.ndarray] | None = None):
-        """Natural log probabilities of ranks, and the gradient of ``h``; those of the weights go to
-        ``grads``, where there is one, which is 0 before."""
+        """Natural log probabilities of ranks, and the gradient of ``h`` by their mean; those of the
+        weights go to ``grads``, where there is one, which is 0 before."""
         o, w = self.options, self.w
         group, member = np.divmod(rank, o.group_size)
         order = np.argsort(group.astype(np.int16), kind="stable")  # groups one after the other
         group, member, h = group[order], member[order], h.take(order, axis=0)
         cuts = np.searchsorted(group, np.arange(o.groups))
-        every = np.arange(len(h))
+        every, ones = np.arange(len(h)), np.ones(len(h), np.float32)
+        each = np.float32(1 / max(1, len(h)))
         z = h @ w["group"].T
         z += w["group_bias"]
-        np.clip(z, -40, 40, out=z)
+        np.maximum(z, np.float32(-40), out=z)
+        np.minimum(z, np.float32(40), out=z)
         logs = z[every, group]
         np.exp(z, out=z)
         total = z @ np.ones(o.groups, np.float32)
         logs -= np.log(total)
         dh, learn = None, grads is not None
         if learn:
-            z /= total[:, None]
-            z[every, group] -= 1
+            z *= (each / total)[:, None]
+            z[every, group] -= each
             np.matmul(z.T, h, out=grads["group"])
-            z.sum(0, out=grads["group_bias"])
+            np.matmul(ones, z, out=grads["group_bias"])
             dh = z @ w["group"]
         # the products group by group, all else for all groups at once
         spans = [(g, cuts[g], cuts[g + 1]) for g in range(o.groups - 1) if cuts[g] < cuts[g + 1]]
@@ -182,12 +229,12 @@ class Model:
         total = y @ np.ones(o.group_size, np.float32)
         logs[:n] += own - np.log(total)
         if learn:
-            y /= total[:, None]
-            y[every[:n], member] -= 1
+            y *= (each / total)[:, None]
+            y[every[:n], member] -= each
             for g, lo, hi in spans:
                 part = y[lo:hi]
                 np.matmul(part.T, h[lo:hi], out=grads["member"][g])
-                part.sum(0, out=grads["member_bias"][g])
+                np.matmul(ones[lo:hi], part, out=grads["member_bias"][g])
                 dh[lo:hi] += part @ w["member"][g]
         logp = np.empty_like(logs)
         logp[order] = logs
@@ -228,31 +275,19 @@ class Model:
         dh[there] = part
         dh = dh.reshape(len(x), o.scored, o.width)
 
-        def scatter(names: list[str], rows: np.ndarray, d: np.ndarray) -> None:
-            """Adds up gradients by row, for tables that are looked up by the same rows."""
-            rows, d = rows.reshape(-1), d.reshape(rows.size, -1)
-            order = np.argsort(rows.astype(np.int16), kind="stable")
-            rows = rows[order]
-            first = np.flatnonzero(np.diff(rows, prepend=-1))
-            sums = np.add.reduceat(d.take(order, axis=0), first, axis=0)
-            at = 0
-            for name in names:
-                width = grads[name].shape[1]
-                grads[name][rows[first]] = sums[:, at : at + width]
-                at += width
-
         da = np.matmul(dh, v.transpose(0, 2, 1))
-        ds = a * da
-        ds -= a * (ds @ np.ones(a.shape[2], np.float32))[:, :, None]
-        by_distance = ds.sum(0)
+        da *= a
+        ds = da - a * (da @ np.ones(a.shape[2], np.float32))[:, :, None]
+        by_distance = (np.ones(len(x), np.float32) @ ds.reshape(len(x), -1)).reshape(apart.shape)
         grads["distance"][:] = np.bincount(apart[apart >= 0], weights=by_distance[apart >= 0], minlength=o.context + o.scored)
-        ds *= np.float32(1 / np.sqrt(o.key_width))
-        back = np.matmul(a.transpose(0, 2, 1), dh), np.matmul(ds.transpose(0, 2, 1), q)
-        scatter(["value", "key"], x, np.concatenate(back, axis=2))
-        scatter(["direct0", "query"], x[:, o.context - 1 :], np.concatenate([dh, np.matmul(ds, k)], axis=2))
-        for m in range(1, o.direct):
-            scatter([f"direct{m}"], x[:, o.context - 1 - m : x.shape[1] - m], dh)
-        out /= n
+        wide, narrow = _places(x, o.width), _places(x, o.key_width)
+        _add_rows(grads["value"], wide, np.matmul(a.transpose(0, 2, 1), dh))
+        _add_rows(grads["key"], narrow, np.matmul(ds.transpose(0, 2, 1), q))
+        dq = np.matmul(ds, k)
+        dq *= np.float32(1 / np.sqrt(o.key_width))
+        _add_rows(grads["query"], narrow[:, o.context - 1 :], dq)
+        for m in range(o.direct):
+            _add_rows(grads[f"direct{m}"], wide[:, o.context - 1 - m : x.shape[1] - m], dh)
         return -float(logp.sum()) / n
 
     def train(self, x: np.ndarray, target: np.ndarray, steps: int, seed: int) -> None:
@@ -260,32 +295,15 @@ class Model:
         draw = np.random.default_rng(seed)
         weights = self.flat()
         self.w = self._views(weights)
-        first, second, grads = (np.zeros_like(weights) for _ in range(3))
-        spare = np.empty(_BLOCK, np.float32)
+        adam, grads = Adam(weights, self.options.rate, steps), np.zeros_like(weights)
         queue = np.empty(0, np.int64)
-        for step in range(1, steps + 1):
+        for _ in range(steps):
             if len(queue) < self.options.batch:
                 queue = np.concatenate([queue, draw.permutation(len(x))])
             take, queue = queue[: self.options.batch], queue[self.options.batch :]
             grads.fill(0)
             self._gradients(x[take], target[take], grads)
-            rate = self.options.rate * (1 - 0.9 * step / steps)
-            scale = np.float32(rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step))
-            for lo in range(0, len(weights), _BLOCK):
-                g, m, v, own = (a[lo : lo + _BLOCK] for a in (grads, first, second, weights))
-                t = spare[: len(g)]
-                np.subtract(g, m, out=t)
-                t *= np.float32(0.1)
-                m += t
-                g *= g
-                g -= v
-                g *= np.float32(0.01)
-                v += g
-                np.sqrt(v, out=t)
-                t += np.float32(1e-8)
-                np.divide(m, t, out=t)
-                t *= scale
-                own -= t
+            adam.step(grads)
 
     def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         """The tables that are laid out in ``flat``."""

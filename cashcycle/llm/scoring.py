@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from cashcycle.llm.attention import AttentionOptions, Model, Vocabulary, inputs_and_targets, window_tokens
 from cashcycle.llm.contamination import Seeds
-from cashcycle.llm.scratch import Scratch
+from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import texts
 from cashcycle.llm.textops import bounds, chunks, span_hashes, word_spans
 from cashcycle.llm.tokens import encoder
@@ -55,6 +55,8 @@ _MERGE_AT = 2_000_000
 _SLICE = 1 << 14  # weights averaged together
 _AVERAGED = 64  # trainers averaged in one step
 _SEGMENT = 1 << 18  # windows a trainer holds at once
+_TEXTS = 512  # in a batch
+_PIECES = 4  # rows of windows in a batch, of half a MB each
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -168,7 +170,10 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
 
         def learn() -> None:
             token = np.concatenate(pieces)
+            pieces.clear()  # not held beside what is learned from
             x, target = inputs_and_targets(token, own.vocabulary, options.model)
+            target = target.copy()
+            del token
             once = -(-len(x) // options.model.batch)
             steps = min(max(options.min_steps, once), options.max_passes * once)
             own.train(x, target, steps, seed=1000 * turn + segments)
@@ -179,7 +184,7 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
                 size += len(pieces[-1])
                 if size >= _SEGMENT:
                     learn()
-                    pieces, size, segments = [], 0, segments + 1
+                    size, segments = 0, segments + 1
         if size:
             learn()
             segments += 1
@@ -197,7 +202,8 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
             )
 
     trained = dealt.mapInArrow(run, "part int, bucket int, n long, weights binary")
-    rows = sorted((r.part, r.n, r.weights) for r in _mean(trained, trainers).collect())  # one model
+    with arrow_rows(dealt.sparkSession, _PIECES):
+        rows = sorted((r.part, r.n, r.weights) for r in _mean(trained, trainers).collect())  # one model
     if not rows:
         return model
     flat = np.concatenate([np.frombuffer(w, float) / n for _, n, w in rows])
@@ -208,7 +214,8 @@ def fit(train: DataFrame, options: ScoringOptions) -> Model:
     """A model of training documents."""
     scratch = Scratch(train.sparkSession)
     rows = texts(train).filter("text IS NOT NULL")
-    lessons = scratch.keep(_lessons(rows, options), "lessons")
+    with arrow_rows(scratch.spark, _TEXTS):
+        lessons = scratch.keep(_lessons(rows, options), "lessons")
     model = Model.start(Vocabulary.fit(_token_counts(lessons, options), options.model), options.model)
     total = lessons.agg(F.sum("size")).first()[0] or 0
     trainers = int(np.clip(np.ceil(total / options.trainer_bytes), 1, options.max_trainers))
@@ -224,7 +231,8 @@ def score(docs: DataFrame, train: DataFrame, options: ScoringOptions) -> DataFra
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    counts = scratch.keep(word_counts(train), "counts")
+    with arrow_rows(spark, _TEXTS):
+        counts = scratch.keep(word_counts(train), "counts")
     words, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     ends = texts(train).count()
     n, v = (words or 0) + ends, distinct + (ends > 0)
@@ -268,7 +276,8 @@ def score(docs: DataFrame, train: DataFrame, options: ScoringOptions) -> DataFra
 
     rows = texts(docs).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
     kinds = "doc_id long, digest long, n_tokens long, n_hit long, gain double, score double, rare array<long>"
-    scored = scratch.keep(rows.mapInArrow(run, kinds), "scored")
+    with arrow_rows(spark, _TEXTS):
+        scored = scratch.keep(rows.mapInArrow(run, kinds), "scored")
     rare = scored.filter("size(rare) > 0").dropDuplicates(["doc_id", "digest"])
     rare = rare.select("doc_id", "digest", F.explode("rare").alias("word"))
     rare = rare.groupBy("word", "doc_id", "digest").agg(F.count(F.lit(1)).alias("times")).join(counts, "word")

@@ -193,3 +193,24 @@ def test_weights_learn_from_every_window(spark):
     kind = scoring._token_kind(options)
     found = Counter(w.tobytes() for r in rows for w in scoring._unpacked_windows(bytes(r.windows), kind, width))
     assert found == want
+
+
+def test_trainers_get_few_rows_of_windows_at_a_time(spark, monkeypatch):
+    """All windows of a trainer in one batch would stand in its executor and its worker besides what it learns from."""
+    texts = [(k, prose(8500 + k, 60)) for k in range(24)]
+    train = spark.createDataFrame(rows_of(texts), SCHEMA).repartition(12)
+    name, during = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, mean = spark.conf.get(name), scoring._mean
+
+    class Watched:
+        def __init__(self, df):
+            self.df = df
+
+        def collect(self):
+            during.append(int(spark.conf.get(name)))
+            return self.df.collect()
+
+    monkeypatch.setattr(scoring, "_mean", lambda trained, trainers: Watched(mean(trained, trainers)))
+    options = scoring.ScoringOptions(PATH, min_steps=1, model=OPTIONS)
+    scoring.fit(train.select("doc_id", "text"), options)
+    assert during == [scoring._PIECES] and spark.conf.get(name) == before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from cashcycle.llm.attention import AttentionOptions, Model, Vocabulary, windows
+from cashcycle.llm.attention import Adam, AttentionOptions, Model, Vocabulary, _add_rows, _places, windows
 
 OPTIONS = AttentionOptions(width=8, key_width=4, context=3, scored=4, groups=4, group_size=5, batch=6)
 
@@ -47,3 +47,28 @@ def test_training_is_adam():
     assert np.abs(model.flat() - start).max() > 0.05
     # entries with gradients of rounding size only may go either way
     assert np.quantile(np.abs(model.flat() - weights), 0.99) < 1e-3
+
+
+def test_rows_are_added_as_pairs():
+    draw = np.random.default_rng(4)
+    for width in (8, 5):
+        flat, rows = np.zeros(1 + 9 * width, np.float32), draw.integers(0, 9, (7, 6))
+        d = draw.standard_normal((7, 6, width)).astype(np.float32)
+        table, want = flat[1:].reshape(9, width), np.zeros((9, width))
+        np.add.at(want, rows, d)
+        _add_rows(table, _places(rows, width), d)
+        assert np.allclose(table, want, atol=1e-5)
+
+
+def test_moments_without_gradients_do_not_linger_below_the_smallest_normal_number():
+    """Such numbers take many times the time of others, and most tokens are rare."""
+    weights = np.zeros(50, np.float32)
+    adam = Adam(weights, 0.01, 1000)
+    for step in range(1000):
+        grads = np.zeros(50, np.float32)
+        if step < 3:
+            grads[: 10 * step] = 0.5
+        adam.step(grads)
+        small = np.abs(adam.first[adam.first != 0])
+        assert not len(small) or small.min() > np.finfo(np.float32).tiny
+    assert (adam.first == 0).all() and (weights[:20] < 0).all() and (weights[20:] == 0).all()
