@@ -84,10 +84,12 @@ def line_offsets(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def _classes() -> np.ndarray:
-    """The class of a character by its last byte: letters, digits modulo 4, others modulo 2."""
+    """The class of a character by its last byte: letters, digits modulo 4, others modulo 2; spaces
+    have one of their own, the last."""
     table = (30 + np.arange(256) % 2).astype(np.int32)
     table[ord("a") : ord("z") + 1] = np.arange(26)
     table[ord("0") : ord("9") + 1] = 26 + np.arange(10) % 4
+    table[ord(" ")] = 32
     return table
 
 
@@ -98,13 +100,13 @@ _RING = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000
 
 def letter_counts(text: np.ndarray, edges: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Characters other than spaces of the lines ``numbers``, and their 128 bits of counts."""
-    last = np.append((text[1:] & 0xC0) != 0x80, True)
-    at = np.flatnonzero(last & (text != 32))
-    first = np.full(len(edges) - 1, -32, np.int32)  # where a line's counts begin
-    first[numbers] = np.arange(len(numbers)) * 32
-    which = np.repeat(first, np.diff(edges))[at]  # lines cover the text
-    which += _CLASSES[text[at]]
-    counts = np.bincount(which, minlength=32 * len(numbers)).reshape(-1, 32)
+    which = _CLASSES[text]
+    more = np.flatnonzero((text[1:] & 0xC0) == 0x80)  # the character goes on
+    which[more] = 32
+    first = np.zeros(len(edges) - 1, np.int32)  # where a line's counts begin, behind those of no line
+    first[numbers] = np.arange(1, len(numbers) + 1) * 33
+    which += np.repeat(first, np.diff(edges))  # lines cover the text
+    counts = np.bincount(which, minlength=33 * (len(numbers) + 1)).reshape(-1, 33)[1:, :32]
     shifts = np.uint64(4) * np.arange(16, dtype=np.uint64)
     bits = _RING[counts % 8].reshape(len(numbers), 2, 16) << shifts
     return counts.sum(1), np.bitwise_or.reduce(bits, axis=2)
@@ -122,15 +124,21 @@ def _band_keys(words: np.ndarray, lengths: np.ndarray, first: np.ndarray, option
     factor = (stream(32, n) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
     shift = (stream(33, n) >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(first), options.bands), np.uint32)
+    drawn = np.empty_like(parts)
     for band in range(options.bands):
         key = np.full(len(first), band + 1, np.uint64)
         for k in range(band * options.band_size, (band + 1) * options.band_size):
-            least = np.minimum.reduceat(parts * factor[k] + shift[k], first)
+            np.multiply(parts, factor[k], out=drawn)
+            drawn += shift[k]
+            least = np.minimum.reduceat(drawn, first)
             key = mix(key * np.uint64(0x10001) + least)
         out[:, band] = (key >> np.uint64(32)).astype(np.uint32)
     return out
 
 
+_CHUNK = 1 << 19  # bytes: what is made of them stays in the processor's cache
+
+
 def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
     """(doc_id, line, code, size, low, high, bands...) of all lines that are long enough; a column of
     bands holds two keys of 32 bits."""
@@ -138,7 +146,7 @@ def line_features(docs: DataFrame, options: LineOptions) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, buf, offsets in chunks(batch):
+            for rows, buf, offsets in chunks(batch, limit=_CHUNK):
                 edges, first_line = line_offsets(buf, offsets)
                 normal = normalise(buf)
                 starts, ends, lines = word_spans(normal, edges)
@@ -178,14 +186,62 @@ def band_columns(options: LineOptions) -> list[str]:
     return [f"bands{k}" for k in range(options.bands // 2)]
 
 
-def band_keys(options: LineOptions) -> Column:
-    """A column of a line's keys: the band's number and its 32 bits."""
-    keys = []
-    for name in band_columns(options):
-        low = F.col(name).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-        for half in (low, F.shiftrightunsigned(name, 32)):
-            keys.append(half.bitwiseOR(F.lit(len(keys) << 32).cast("long")))
-    return F.array(*keys)
+_HELD = 1 << 16  # lines whose keys a task holds at once
+_KEYS_EACH = 1 << 19  # keys of a group, about
+
+
+def shared_keys(items: DataFrame, options: LineOptions, keys_each: int = _KEYS_EACH) -> DataFrame:
+    """(key, id) of the keys that several lines (code, bands...) have: the band's number and its 32 bits.
+
+    Most keys have one line. They travel packed, 12 bytes with the line's code, in groups that
+    hold a range of the keys of one band, as many groups as lines need.
+    """
+    names = band_columns(options)
+    ranges = max(1, -(-items.count() // keys_each))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            codes, *bands = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("code", *names))
+            held.clear()
+            for number, two in enumerate(bands):
+                for half in (0, 1):
+                    low = two.view("<u4")[half::2]
+                    part = (low.astype(np.uint64) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+                    order = np.argsort(part, kind="stable")
+                    own, first = np.unique(part[order], return_index=True)
+                    low, ids = low[order], codes[order]
+                    spans = list(zip(first, np.append(first[1:], len(low)), strict=True))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(own.astype(np.int64) * options.bands + 2 * number + half),
+                            pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
+                            pa.array([ids[a:b].tobytes() for a, b in spans], pa.binary()),
+                        ],
+                        ["part", "keys", "ids"],
+                    )
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= _HELD:
+                yield from packed()
+        if held:
+            yield from packed()
+
+    def several(group: pd.DataFrame) -> pd.DataFrame:
+        low = np.frombuffer(b"".join(group["keys"]), "<u4")
+        ids = np.frombuffer(b"".join(group["ids"]), np.int64)
+        order = np.argsort(low)
+        low, ids = low[order], ids[order]
+        same = np.zeros(len(low) + 1, bool)
+        same[1:-1] = low[1:] == low[:-1]
+        there = same[1:] | same[:-1]
+        band = int(group["part"].iloc[0]) % options.bands
+        return pd.DataFrame({"key": (band << 32) + low[there].astype(np.int64), "id": ids[there]})
+
+    packs = items.select("code", *names).mapInArrow(run, "part long, keys binary, ids binary")
+    return packs.groupBy("part").applyInPandas(several, "key long, id long")
 
 
 def _line_texts(docs: DataFrame) -> DataFrame:
@@ -251,12 +307,17 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
     scratch = Scratch(docs.sparkSession)
     features = scratch.keep(line_features(docs, options), "lines")
     lines = features.select("doc_id", "line", "code")
-    items = features.groupBy("code").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"),
+    # the place as one number: with the least of structs Spark would sort all lines
+    line, span = F.col("line").cast("decimal(10,0)"), F.lit(1 << 31).cast("decimal(10,0)")
+    items = features.withColumn("place", F.col("doc_id").cast("decimal(19,0)") * span + line)
+    items = items.groupBy("code").agg(
+        F.min("place").alias("place"),
         F.count(F.lit(1)).alias("n"),
         *(F.min(name).alias(name) for name in (*BOUND, *band_columns(options))),
     )
-    items = scratch.keep(items, "items")
+    line = F.pmod("place", span)
+    first = F.struct(((F.col("place") - line) / span).cast("long").alias("doc_id"), line.cast("int").alias("line"))
+    items = scratch.keep(items.withColumn("first", first).drop("place"), "items")
 
     tables: dict[str, DataFrame] = {}
 
@@ -287,11 +348,11 @@ def repeated_lines(docs: DataFrame, options: LineOptions | None = None) -> DataF
         differ = [F.bit_count(left[half].bitwiseXOR(right[half])) for half in ("low", "high")]
         return (F.abs(left["size"] - right["size"]) <= most) & (differ[0] + differ[1] <= 2 * most)
 
-    # Most keys have one line: they are counted, then bits go with the lines of the others only.
-    keys = items.select(F.explode(band_keys(options)).alias("key"), F.col("code").alias("id"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    keys = keys.join(shared, "key").join(items.select(F.col("code").alias("id"), F.struct(*BOUND).alias("bits")), "id")
-    keys = scratch.keep(keys.select("key", "id", "bits"), "keys")
+    # bits go with the lines of shared keys only
+    bits = items.select(F.col("code").alias("id"), F.struct(*BOUND).alias("bits"))
+    keys = scratch.keep(shared_keys(items, options), "shared")
+    keys = scratch.keep(keys.join(bits, "id").select("key", "id", "bits"), "keys")
+    scratch.drop("shared")
     with arrow_rows(scratch.spark, PAIRS):
         found = linked_groups(scratch, keys, prepare, check, payload, compare, close=close, block=BLOCK)
     scratch.drop("words", "ids", "keys")

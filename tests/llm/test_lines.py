@@ -5,6 +5,7 @@ import random
 import numpy as np
 from texts_data import SCHEMA, prose, rows_of
 
+from cashcycle.llm import lines
 from cashcycle.llm.lines import letter_counts, line_offsets, normalise, remove_repeated_lines
 
 
@@ -134,3 +135,48 @@ def test_columns_named_like_the_helpers(spark):
     found = remove_repeated_lines(docs)
     assert found.columns == docs.columns
     assert {r.doc_id: r.text for r in found.collect()} == {1: line, 2: ""}
+
+
+def test_keys_of_one_line_are_told_packed(spark, monkeypatch):
+    """The same keys as by counting rows, from a few rows of packed keys, also with many groups."""
+    monkeypatch.setattr(lines, "_HELD", 50)
+    options = lines.LineOptions(bands=4)
+    draw = np.random.default_rng(5)
+    # bands of 32 bits from the whole range, one in three of a few values
+    wide = draw.integers(0, 1 << 32, (400, 4), dtype=np.uint64)
+    few = draw.choice(np.array([0, 1, 7, 1 << 31, (1 << 32) - 1], np.uint64), (400, 4))
+    bands = np.where(draw.random((400, 4)) < 0.33, few, wide)
+    want = {}
+    for code, own in enumerate(bands):
+        for k, low in enumerate(own):
+            want.setdefault((k << 32) + int(low), []).append(code - 200)
+    want = sorted((key, i) for key, ids in want.items() if len(ids) > 1 for i in ids)
+    pairs = (bands[:, 0::2] | bands[:, 1::2] << np.uint64(32)).view(np.int64).tolist()
+    rows = [(code - 200, *own) for code, own in enumerate(pairs)]
+    items = spark.createDataFrame(rows, "code long, bands0 long, bands1 long").repartition(3)
+    for each in (1000, 30):
+        found = lines.shared_keys(items, options, keys_each=each)
+        assert sorted((r.key, r.id) for r in found.collect()) == want
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert lines.shared_keys(items.filter("false"), options).count() == 0
+
+
+def test_first_places_of_any_ids_without_sorting_all_lines(spark, monkeypatch):
+    line = prose(31, 20)
+    ids = [5, 0, 2**63 - 1, -7, -(2**63), 12]
+    texts = [(k, f"{prose(800 + n, 12)}\n{line}\n{line}") for n, k in enumerate(ids)]
+    plans, keep = {}, lines.Scratch.keep
+
+    def kept(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, name)
+
+    monkeypatch.setattr(lines.Scratch, "keep", kept)
+    for left in (ids, [k for k in ids if k >= 0], [2**63 - 1]):
+        rows = [(k, t) for k, t in texts if k in left]
+        found = remove_repeated_lines(spark.createDataFrame(rows_of(rows), SCHEMA).repartition(3))
+        found = {r.doc_id: r.text for r in found.collect()}
+        first = min(left)
+        assert all(t.count(line) == (k == first) for k, t in found.items())
+        assert all(t.startswith(dict(texts)[k].split("\n")[0]) for k, t in found.items())
+    assert "SortAggregate" not in plans["items"]
