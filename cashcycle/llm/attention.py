@@ -13,7 +13,7 @@ scored at: windows overlap, and each token is scored once, from the tokens befor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,6 +21,8 @@ import numpy as np
 _BLOCK = 1 << 16  # weights updated at once
 _CLEAN = 64  # steps between two looks for moments that are all but 0: numbers below 1e-38 are slow
 
+Lesson = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+
 
 @dataclass(frozen=True)
 class AttentionOptions:
@@ -292,6 +294,10 @@ class Model:
 
     def train(self, x: np.ndarray, target: np.ndarray, steps: int, seed: int) -> None:
         """Adam over random batches of windows; the rate falls to a tenth."""
+        self.learn(len(x), lambda take: (x[take], target[take]), steps, seed)
+
+    def learn(self, size: int, lesson: Lesson, steps: int, seed: int) -> None:
+        """``train`` on ``size`` windows, of which ``lesson`` makes inputs and targets by number."""
         draw = np.random.default_rng(seed)
         weights = self.flat()
         self.w = self._views(weights)
@@ -299,10 +305,10 @@ class Model:
         queue = np.empty(0, np.int64)
         for _ in range(steps):
             if len(queue) < self.options.batch:
-                queue = np.concatenate([queue, draw.permutation(len(x))])
+                queue = np.concatenate([queue, draw.permutation(size)])
             take, queue = queue[: self.options.batch], queue[self.options.batch :]
             grads.fill(0)
-            self._gradients(x[take], target[take], grads)
+            self._gradients(*lesson(take), grads)
             adam.step(grads)
 
     def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:

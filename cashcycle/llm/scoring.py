@@ -34,8 +34,8 @@ from cashcycle.llm.attention import AttentionOptions, Model, Vocabulary, inputs_
 from cashcycle.llm.contamination import Seeds
 from cashcycle.llm.scratch import Scratch, arrow_rows
 from cashcycle.llm.tables import texts
-from cashcycle.llm.textops import bounds, chunks, span_hashes, word_spans
-from cashcycle.llm.tokens import encoder
+from cashcycle.llm.textops import bounds, chunks, give_back, span_hashes, word_spans
+from cashcycle.llm.tokens import encoder, forget_encoders
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ _SLICE = 1 << 14  # weights averaged together
 _AVERAGED = 64  # trainers averaged in one step
 _SEGMENT = 1 << 18  # windows a trainer holds at once
 _TEXTS = 512  # in a batch
-_PIECES = 4  # rows of windows in a batch, of half a MB each
+_PIECES = 4  # rows of windows in a batch or written together, of half a MB each
 
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -82,6 +82,8 @@ def word_counts(train: DataFrame) -> DataFrame:
                     yield batch_of(*parts.pop())
         if parts:
             yield batch_of(*merged(parts))
+        parts.clear()
+        give_back()
 
     return texts(train).select("text").mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -101,12 +103,15 @@ def _packed_windows(token: np.ndarray, kind: np.dtype) -> bytes:
     return token.astype(kind).tobytes()  # -1 and -2 become the two largest numbers
 
 
-def _unpacked_windows(data: bytes, kind: np.dtype, width: int) -> np.ndarray:
-    token = np.frombuffer(data, kind).reshape(-1, width)
-    least = np.iinfo(kind).max - 1
+def _unpacked(token: np.ndarray) -> np.ndarray:
+    least = np.iinfo(token.dtype).max - 1
     return np.where(token >= least, token.astype(np.int64) - (least + 2), token).astype(np.int32)
 
 
+def _unpacked_windows(data: bytes, kind: np.dtype, width: int) -> np.ndarray:
+    return _unpacked(np.frombuffer(data, kind).reshape(-1, width))
+
+
 def _lessons(train: DataFrame, options: ScoringOptions) -> DataFrame:
     """(size, windows, id, n): all windows of all texts, as bytes, with the bytes of the texts
     they are from; and how often each token id occurs in all texts, by task."""
@@ -130,6 +135,7 @@ def _lessons(train: DataFrame, options: ScoringOptions) -> DataFrame:
                 for k, (token, _) in enumerate(parts):
                     yield row(0 if k else len(buf), _packed_windows(token, kind), np.empty(0, np.int64))
         yield row(0, b"", np.flatnonzero(counts))
+        give_back()
 
     return train.mapInArrow(run, "size long, windows binary, id array<long>, n array<long>")
 
@@ -171,16 +177,19 @@ def _one_round(dealt: DataFrame, model: Model, turn: int, trainers: int, options
         def learn() -> None:
             token = np.concatenate(pieces)
             pieces.clear()  # not held beside what is learned from
-            x, target = inputs_and_targets(token, own.vocabulary, options.model)
-            target = target.copy()
-            del token
-            once = -(-len(x) // options.model.batch)
+
+            def lesson(take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                return inputs_and_targets(_unpacked(token[take]), own.vocabulary, options.model)
+
+            once = -(-len(token) // options.model.batch)
             steps = min(max(options.min_steps, once), options.max_passes * once)
-            own.train(x, target, steps, seed=1000 * turn + segments)
+            own.learn(len(token), lesson, steps, seed=1000 * turn + segments)
 
+        forget_encoders()
+        give_back()
         for batch in batches:
             for taken in batch.column("windows"):
-                pieces.append(_unpacked_windows(taken.as_py(), kind, width))
+                pieces.append(np.frombuffer(taken.as_py(), kind).reshape(-1, width))  # as they travel
                 size += len(pieces[-1])
                 if size >= _SEGMENT:
                     learn()
@@ -215,7 +224,7 @@ def fit(train: DataFrame, options: ScoringOptions) -> Model:
     scratch = Scratch(train.sparkSession)
     rows = texts(train).filter("text IS NOT NULL")
     with arrow_rows(scratch.spark, _TEXTS):
-        lessons = scratch.keep(_lessons(rows, options), "lessons")
+        lessons = scratch.keep(_lessons(rows, options), "lessons", at_once=_PIECES)
     model = Model.start(Vocabulary.fit(_token_counts(lessons, options), options.model), options.model)
     total = lessons.agg(F.sum("size")).first()[0] or 0
     trainers = int(np.clip(np.ceil(total / options.trainer_bytes), 1, options.max_trainers))
@@ -273,6 +282,7 @@ def score(docs: DataFrame, train: DataFrame, options: ScoringOptions) -> DataFra
                     ],
                     ["doc_id", "digest", "n_tokens", "n_hit", "gain", "score", "rare"],
                 )
+        give_back()
 
     rows = texts(docs).withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
     kinds = "doc_id long, digest long, n_tokens long, n_hit long, gain double, score double, rare array<long>"

@@ -18,11 +18,13 @@ class Scratch:
         self.spark = spark
         self.paths: dict[str, str] = {}
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and go on from the written copy."""
+    def keep(self, df: DataFrame, name: str, at_once: int | None = None) -> DataFrame:
+        """Write ``df`` and go on from the written copy. ``at_once``: so many rows are held together
+        by who writes or reads it, for tables with long rows."""
         self.drop(name)
         path = new_path(self.spark, name)
-        df.write.parquet(path)
+        # Parquet looks at the bytes of a page after 100 rows only, and packs it in memory beside the heap
+        df.write.options(**{} if at_once is None else {"parquet.block.row.count.limit": at_once}).parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -8,7 +8,9 @@ Hashes are 64 bits, fixed for good: the same word has the same hash in every tas
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,13 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 
+def give_back() -> None:
+    """Returns freed memory, which a worker otherwise keeps for its next tasks, to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers."""
     x = np.asarray(x, np.uint64)

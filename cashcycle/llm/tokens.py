@@ -178,3 +178,8 @@ def encoder(path: str) -> WordEncoder:
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
+
+
+def forget_encoders() -> None:
+    """For a step that encodes nothing in workers that did."""
+    _encoders.clear()

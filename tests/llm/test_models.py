@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import math
 import random
 import zlib
@@ -9,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from texts_data import SCHEMA, awkward, prose, rows_of, words
@@ -16,6 +18,7 @@ from tokenizers import Tokenizer
 
 from cashcycle.llm import attention, scoring, toxicity
 from cashcycle.llm.langid import LanguageOptions, _shared, dictionaries, identify, keep_identified
+from cashcycle.llm.scratch import Scratch
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -195,6 +198,28 @@ def test_weights_learn_from_every_window(spark):
     assert found == want
 
 
+def test_windows_are_written_and_read_a_few_rows_at_a_time(spark, monkeypatch):
+    """Rows of half a MB, of which an executor would otherwise hold those of a whole file several times."""
+    texts = [(k, prose(8700 + k, 60)) for k in range(24)]
+    train = spark.createDataFrame(rows_of(texts), SCHEMA).coalesce(1)
+    sizes, keep = [], Scratch.keep
+
+    def kept(self, df, name, *more, **named):
+        out = keep(self, df, name, *more, **named)
+        if name == "lessons":
+            for path in glob.glob(self.paths[name].removeprefix("file:").replace("///", "/") + "/*.parquet"):
+                meta = pq.ParquetFile(path).metadata
+                sizes.append([meta.row_group(k).num_rows for k in range(meta.num_row_groups)])
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    monkeypatch.setattr(scoring, "_TEXTS", 2)
+    options = scoring.ScoringOptions(PATH, min_steps=1, model=OPTIONS)
+    counts = scoring.fit(train.select("doc_id", "text"), options).vocabulary.counts
+    assert [sum(s) for s in sizes] == [13] and max(sizes[0]) <= scoring._PIECES
+    assert counts[options.end_id] >= len(texts)
+
+
 def test_trainers_get_few_rows_of_windows_at_a_time(spark, monkeypatch):
     """All windows of a trainer in one batch would stand in its executor and its worker besides what it learns from."""
     texts = [(k, prose(8500 + k, 60)) for k in range(24)]

@@ -49,6 +49,21 @@ def test_training_is_adam():
     assert np.quantile(np.abs(model.flat() - weights), 0.99) < 1e-3
 
 
+def test_lessons_are_made_a_batch_at_a_time():
+    """A trainer holds its windows as they travel; the weights are those of lessons made before."""
+    model, x, target = lessons()
+    other, asked = model.with_flat(model.flat()), []
+
+    def lesson(take):
+        asked.append(len(take))
+        return x[take], target[take]
+
+    model.train(x, target, 30, seed=8)
+    other.learn(len(x), lesson, 30, seed=8)
+    assert len(asked) == 30 and max(asked) <= OPTIONS.batch
+    assert np.array_equal(model.flat(), other.flat())
+
+
 def test_rows_are_added_as_pairs():
     draw = np.random.default_rng(4)
     for width in (8, 5):
